@@ -1,0 +1,28 @@
+"""Join strategy helpers.
+
+A side is broadcast only behind a size check. Dimension tables (cities,
+products, users) are checked with a bounded action -- ``limit(n + 1).count()``
+reads at most ``n + 1`` rows -- and hinted only when they fit. Anything larger,
+and every side derived from fact data, is left to Catalyst and AQE: AQE turns a
+sort-merge join into a broadcast join at runtime only when the materialised
+shuffle side is below ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and
+otherwise keeps the shuffle join (with skew splitting).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a dimension we are willing to ship to every executor.
+DIMENSION_ROW_LIMIT = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_ROW_LIMIT) -> DataFrame:
+    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check costs one bounded job; use it on dimension scans, not on
+    expensive derived frames (those are AQE's job).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
