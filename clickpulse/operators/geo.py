@@ -1,14 +1,15 @@
 """Q4: top products per area by clicks, with the city share text.
 
 Plan shape (checked with ``explain``):
-1. clicks x cities (broadcast, size-checked dimension) -> partial+final count per
+1. clicks x cities (a dimension: broadcast by the planner's size check) -> partial+final count per
    (area, city, product): the only shuffle that sees click rows, and it carries
    pre-aggregated counts.
 2. per (area, product) total -> ``rank()`` per area, ``rk <= k``: WindowGroupLimit
    partial before the shuffle, so an area's window only sees ~k rows per task.
 3. city lists are built only for the surviving (area, product) pairs (their
    join side is tiny; AQE broadcasts it) and are bounded by the number of cities.
-4. products are joined last, to the few survivors.
+4. products are joined last, to the few survivors (AQE broadcasts the survivors
+   when products is large, or the planner broadcasts products when it is small).
 """
 
 from __future__ import annotations
@@ -18,12 +19,11 @@ from pyspark.sql import functions as F
 
 from clickpulse.functions.share import OTHER_LABEL, share_text
 from clickpulse.operators.topk import top_k_per_group
-from clickpulse.plans.joins import broadcast_if_small
 
 
 def click_geo(visits: DataFrame, cities: DataFrame) -> DataFrame:
     """Click rows located in their city and area: (area, city_name, click_product_id)."""
-    geo = broadcast_if_small(cities.select("city_id", "city_name", "area"))
+    geo = cities.select("city_id", "city_name", "area")
     return (visits.where(F.col("click_product_id") > 0)
             .join(geo, "city_id")
             .select("area", "city_name", "click_product_id"))
@@ -35,7 +35,7 @@ def click_geo_counts(visits: DataFrame, cities: DataFrame, weight: str | None =
     cols = ["city_id", "click_product_id"] + ([weight] if weight else [])
     v = visits.select(*cols).where(F.col("click_product_id") > 0)
     n = F.sum(weight).cast("long") if weight else F.count(F.lit(1))
-    geo = broadcast_if_small(cities.select("city_id", "city_name", "area"))
+    geo = cities.select("city_id", "city_name", "area")
     return (v.join(geo, "city_id")
             .groupBy("area", "city_name", "click_product_id")
             .agg(n.alias("clicks")))
@@ -90,7 +90,7 @@ def area_product_top3(visits: DataFrame, cities: DataFrame, products: DataFrame,
     g = click_geo_counts(visits, cities, weight)
     top = top_k_per_group(_product_counts(g), ["area"], [F.desc("product_count")], k, ties=True)
     shares = _city_lists(g, top)
-    prods = broadcast_if_small(products.select(F.col("product_id").alias("click_product_id"), "product_name"))
+    prods = (products.select(F.col("product_id").alias("click_product_id"), "product_name"))
     return (top.join(shares, ["area", "click_product_id"])
             .join(prods, "click_product_id")
             .select("area",

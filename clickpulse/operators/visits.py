@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.functions.predicates import all_of, optional_predicates
-from clickpulse.plans.joins import broadcast_if_small
 from clickpulse.schemas import VISITS
 
 USER_COLUMNS = ("age", "professional", "gender")
@@ -22,11 +21,11 @@ def filtered_visits(visits: DataFrame, users: DataFrame, params: dict | None = N
     ``city`` needs ``cities`` (city names are resolved through ``city_id``).
     """
     params = params or {}
-    u = broadcast_if_small(users.select("user_id", *USER_COLUMNS))
+    u = users.select("user_id", *USER_COLUMNS)
     joined = visits.join(u, "user_id")
     if params.get("city"):
         if cities is None:
             raise ValueError("the 'city' parameter needs the cities table")
-        joined = joined.join(broadcast_if_small(cities.select("city_id", "city_name")), "city_id")
+        joined = joined.join(cities.select("city_id", "city_name"), "city_id")
     cols = [f.name for f in VISITS.fields if f.name in visits.columns]
     return joined.where(all_of(optional_predicates(params))).select(*cols)

@@ -1,12 +1,17 @@
-"""Join strategy helpers.
+"""Join strategy policy.
 
-A side is broadcast only behind a size check. Dimension tables (cities,
-products, users) are checked with a bounded action -- ``limit(n + 1).count()``
-reads at most ``n + 1`` rows -- and hinted only when they fit. Anything larger,
-and every side derived from fact data, is left to Catalyst and AQE: AQE turns a
-sort-merge join into a broadcast join at runtime only when the materialised
-shuffle side is below ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and
-otherwise keeps the shuffle join (with skew splitting).
+1. Dimension joins (cities, products, users, suppliers) carry no hint. The
+   planner broadcasts a side only when its estimated size is below
+   ``spark.sql.autoBroadcastJoinThreshold``; AQE re-checks with the measured
+   shuffle size (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and turns a
+   sort-merge join into a broadcast join only when the built side really is
+   small. Beyond the threshold the join stays a shuffle join, and AQE splits
+   skewed partitions (``spark.sql.adaptive.skewJoin.enabled``).
+2. An explicit ``broadcast()`` only where the size is bounded by construction:
+   the top-n of a ``limit(n)`` (Q1 -> Q2), the steps of a page-flow parameter (Q3).
+3. ``broadcast_if_small`` for a caller-supplied frame that must be broadcast to
+   be useful: it checks the bound with one bounded job (``limit(n + 1).count()``
+   reads at most ``n + 1`` rows) and otherwise leaves the join to the planner.
 """
 
 from __future__ import annotations
@@ -14,15 +19,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a dimension we are willing to ship to every executor.
+# Rows of a caller-supplied set we are willing to ship to every executor.
 DIMENSION_ROW_LIMIT = 200_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_ROW_LIMIT) -> DataFrame:
-    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The check costs one bounded job; use it on dimension scans, not on
-    expensive derived frames (those are AQE's job).
-    """
+    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

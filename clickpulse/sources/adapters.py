@@ -21,18 +21,14 @@ Mapping (fixed by the test-data contract, so every oracle query can repeat it):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.plans.joins import broadcast_if_small
 from clickpulse.session import pin_utc
 from clickpulse.sources.tables import read_table
 
-EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
-
 def _k() -> Column:
     return F.get_json_object("props", "$.k").try_cast("int")
 
@@ -46,7 +42,7 @@ def epoch_millis(ts_ntz: str | Column) -> Column:
 def cities_from_nation(spark: SparkSession, where: str) -> DataFrame:
     nation = read_table(spark, where, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, where, "region").select("r_regionkey", "r_name")
-    return (nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey)
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
             .select(F.col("n_nationkey").cast("long").alias("city_id"),
                     F.col("n_name").alias("city_name"),
                     F.col("r_name").alias("area")))
@@ -105,7 +101,7 @@ def clicks_from_events(spark: SparkSession, where: str) -> DataFrame:
     ev = read_table(spark, where, "events").select("event_id", "ts", "user_id", "props")
     geo = cities_from_nation(spark, where).select(
         F.col("city_id").alias("geo_key"), F.col("city_name").alias("city"), "area")
-    return (ev.join(broadcast_if_small(geo), (ev.user_id % 25) == geo.geo_key)
+    return (ev.join(geo, (ev.user_id % 25) == geo.geo_key)
             .select("event_id",
                     epoch_millis("ts").alias("ts"),
                     "area", "city",
@@ -129,24 +125,32 @@ def click_counts_from_lineitem(spark: SparkSession, where: str) -> DataFrame:
 
 @dataclass
 class AdapterTables:
-    """All adapted inputs for one test-data directory (lazy DataFrames)."""
+    """All adapted inputs for one test-data directory. Each is a lazy DataFrame
+    defined once and reused (the same logical plan lets Spark reuse exchanges
+    when a query reads an input twice)."""
     spark: SparkSession
     where: str
+    _memo: dict = field(default_factory=dict, repr=False)
+
+    def _get(self, name, build):
+        if name not in self._memo:
+            self._memo[name] = build(self.spark, self.where)
+        return self._memo[name]
 
     def visits(self) -> DataFrame:
-        return visits_from_events(self.spark, self.where)
+        return self._get("visits", visits_from_events)
 
     def users(self) -> DataFrame:
-        return users_from_customer(self.spark, self.where)
+        return self._get("users", users_from_customer)
 
     def cities(self) -> DataFrame:
-        return cities_from_nation(self.spark, self.where)
+        return self._get("cities", cities_from_nation)
 
     def products(self) -> DataFrame:
-        return products_from_part(self.spark, self.where)
+        return self._get("products", products_from_part)
 
     def clicks(self) -> DataFrame:
-        return clicks_from_events(self.spark, self.where)
+        return self._get("clicks", clicks_from_events)
 
     def lineitem_clicks(self) -> DataFrame:
-        return click_counts_from_lineitem(self.spark, self.where)
+        return self._get("lineitem_clicks", click_counts_from_lineitem)

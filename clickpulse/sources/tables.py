@@ -1,5 +1,9 @@
 """Table scans (S1). Column pruning and filter pushdown are Catalyst's: callers
-select the columns they need and the parquet scan's ``ReadSchema`` follows."""
+select the columns they need and the parquet scan's ``ReadSchema`` follows.
+
+Known tables are read with an explicit schema, so no job has to open file
+footers to infer one (at scale, thousands of footers on the driver).
+"""
 
 from __future__ import annotations
 
@@ -10,11 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Input schemas of the tables the adapters read (DDL strings).
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 
 def read_table(spark: SparkSession, where: str, name: str) -> DataFrame:
-    """Read table ``name`` from a directory of ``<name>.parquet`` files, or, when
-    ``where`` is ``"catalog"``, from the session catalog (``spark.table``)."""
+    """Read table ``name`` from a directory of ``<name>.parquet`` files (or
+    folders), or, when ``where`` is ``"catalog"``, from the session catalog."""
     if where == "catalog":
         return spark.table(name)
     path = os.path.join(where, f"{name}.parquet")
-    return spark.read.parquet(path)
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(path)
