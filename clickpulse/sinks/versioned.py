@@ -2,21 +2,26 @@
 
 Layout under ``root``::
 
-    delta/epoch=<e>/batch=<n>/   what batch n added (every batch writes one, maybe empty)
-    base/epoch=<e>/              merged state of all batches before e * every
+    delta/epoch=<e>/batch=<n>/[<part>=<v>/]   what batch n added (every batch writes one)
+    base/epoch=<e>/[<part>=<v>/]              merged state of all batches before e * every
 
 ``every`` batches form an epoch. The last batch of epoch e folds the epoch into
 ``base/epoch=<e+1>``, so a read touches one base plus at most ``every`` deltas
-and never lists the whole history. All writes overwrite a directory named by
-the batch id: a replayed batch rewrites the same files, and reads select
-``batch < n`` (or ``<= n``) by partition pruning, so a half-written attempt of
-batch n is never read by batch n itself.
+and never lists the whole history. With ``partition_by`` (e.g. ``day``) the
+state is stored partitioned, and a read restricted to some values prunes to
+their folders -- a micro-batch reads the days it touched, not all state.
+``retain`` drops expired rows when a base is written (bounded state).
+
+All writes overwrite a directory named by the batch id: a replayed batch
+rewrites the same files, and reads select ``batch < n`` (or ``<= n``) by
+partition pruning, so a half-written attempt of batch n is never read by
+batch n itself.
 """
 
 from __future__ import annotations
 
 import os
-from typing import Callable
+from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,58 +29,62 @@ from pyspark.sql import functions as F
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: str,
-                 merge: Callable[[DataFrame], DataFrame], every: int = 10):
+                 merge: Callable[[DataFrame], DataFrame], every: int = 10,
+                 partition_by: str | None = None,
+                 retain: Callable[[DataFrame], DataFrame] | None = None):
         self.spark, self.root, self.schema, self.merge, self.every = spark, root, schema, merge, every
+        self.partition_by, self.retain = partition_by, retain
+        self.names = [c.strip().split()[0] for c in schema.split(",")]
 
     def _epoch(self, batch_id: int) -> int:
         return batch_id // self.every
 
-    def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.schema)
+    def _write(self, df: DataFrame, path: str) -> None:
+        w = df.select(*self.names).write.mode("overwrite")
+        if self.partition_by:
+            w = w.partitionBy(self.partition_by)
+        w.parquet(path)
 
     def write_delta(self, df: DataFrame, batch_id: int) -> None:
-        path = os.path.join(self.root, "delta", f"epoch={self._epoch(batch_id)}", f"batch={batch_id}")
-        df.select(*self._names()).write.mode("overwrite").parquet(path)
+        self._write(df, os.path.join(self.root, "delta", f"epoch={self._epoch(batch_id)}", f"batch={batch_id}"))
 
-    def _cols(self) -> list[str]:
-        return [c.strip() for c in self.schema.split(",")]
+    def _scan(self, path: str, extra: str = "") -> DataFrame:
+        return self.spark.read.schema(self.schema + extra).option("basePath", path).parquet(path)
 
-    def _names(self) -> list[str]:
-        return [c.split()[0] for c in self._cols()]
-
-    def _read(self, batch_id: int, inclusive: bool) -> DataFrame:
+    def _read(self, batch_id: int, inclusive: bool, only: Iterable | None) -> DataFrame:
         e = self._epoch(batch_id)
         first = e * self.every
         parts = []
         if e > 0:
-            parts.append(self.spark.read.schema(self.schema)
-                         .parquet(os.path.join(self.root, "base", f"epoch={e}")))
+            parts.append(self._scan(os.path.join(self.root, "base", f"epoch={e}")))
         if batch_id > first or inclusive:
-            droot = os.path.join(self.root, "delta", f"epoch={e}")
-            d = (self.spark.read.schema(f"{self.schema}, batch BIGINT").option("basePath", droot)
-                 .parquet(droot))
+            d = self._scan(os.path.join(self.root, "delta", f"epoch={e}"), ", batch BIGINT")
             last = batch_id if inclusive else batch_id - 1
             parts.append(d.where((F.col("batch") >= first) & (F.col("batch") <= last)).drop("batch"))
         if not parts:
-            return self._empty()
+            return self.spark.createDataFrame([], self.schema)
         u = parts[0]
         for p in parts[1:]:
             u = u.unionByName(p)
+        if only is not None:
+            u = u.where(F.col(self.partition_by).isin(list(only)))
         return self.merge(u)
 
-    def read_before(self, batch_id: int) -> DataFrame:
-        """State as of the start of ``batch_id``."""
-        return self._read(batch_id, inclusive=False)
+    def read_before(self, batch_id: int, only: Iterable | None = None) -> DataFrame:
+        """State as of the start of ``batch_id`` (optionally only some partition values)."""
+        return self._read(batch_id, False, only)
 
-    def read_upto(self, batch_id: int) -> DataFrame:
+    def read_upto(self, batch_id: int, only: Iterable | None = None) -> DataFrame:
         """State including ``batch_id`` (its delta must be written)."""
-        return self._read(batch_id, inclusive=True)
+        return self._read(batch_id, True, only)
 
     def maybe_compact(self, batch_id: int) -> None:
         """At the last batch of an epoch, write the next epoch's base."""
         if batch_id % self.every == self.every - 1:
-            path = os.path.join(self.root, "base", f"epoch={self._epoch(batch_id) + 1}")
-            self.read_upto(batch_id).select(*self._names()).write.mode("overwrite").parquet(path)
+            state = self.read_upto(batch_id)
+            if self.retain is not None:
+                state = self.retain(state)
+            self._write(state, os.path.join(self.root, "base", f"epoch={self._epoch(batch_id) + 1}"))
 
 
 def summed(keys: list[str], value: str = "clicks") -> Callable[[DataFrame], DataFrame]:
@@ -84,3 +93,12 @@ def summed(keys: list[str], value: str = "clicks") -> Callable[[DataFrame], Data
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
+
+
+def newer_than(col: str, span: str) -> Callable[[DataFrame], DataFrame]:
+    """Retention rule: keep rows whose ``col`` lies within ``span`` (an interval
+    literal such as ``'60 minutes'``) of the newest value."""
+    def keep(df: DataFrame) -> DataFrame:
+        newest = df.select(F.max(col)).scalar()
+        return df.where(F.col(col) > newest - F.expr(f"INTERVAL {span}"))
+    return keep

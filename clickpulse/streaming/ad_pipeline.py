@@ -28,32 +28,46 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.functions.text import minute_of
+from clickpulse.functions.text import day_of, minute_of
 from clickpulse.operators import ads
 from clickpulse.plans.joins import broadcast_if_small
-from clickpulse.sinks.versioned import VersionedTable, distinct_rows, summed
+from clickpulse.sinks.versioned import VersionedTable, distinct_rows, newer_than, summed
 from clickpulse.sinks.writers import write_batch_snapshot
 from clickpulse.sources.adlog import decode_ad_log, event_time
 
 CLICK_COLS = "ts BIGINT, area STRING, city STRING, userid STRING, adid STRING"
 
 
+def newer_than_day(days: int):
+    """Counter retention: keep the newest ``days`` days (by the ``day`` text key)."""
+    def keep(df: DataFrame) -> DataFrame:
+        newest = df.select(F.max(F.to_date("day"))).scalar()
+        return df.where(F.to_date("day") > F.date_sub(newest, days))
+    return keep
+
+
 class AdStreamJob:
     def __init__(self, spark: SparkSession, state_root: str, threshold: int = ads.DEFAULT_THRESHOLD,
-                 trend_minutes: int = 60, compact_every: int = 10, top_k: int = 3):
+                 trend_minutes: int = 60, compact_every: int = 10, top_k: int = 3,
+                 counter_ttl_days: int | None = None):
         self.spark, self.root, self.threshold = spark, state_root, threshold
         self.trend_minutes, self.top_k = trend_minutes, top_k
         p = lambda name: os.path.join(state_root, name)
+        ttl = None if counter_ttl_days is None else newer_than_day(counter_ttl_days)
+        # (day, user, ad) counters and Q6 counts are stored by day: a batch reads
+        # only the days it touched. Counters may expire after ``counter_ttl_days``.
         self.counters = VersionedTable(spark, p("user_day_ad_counts"),
                                        "day STRING, userid STRING, adid STRING, clicks BIGINT",
-                                       summed(["day", "userid", "adid"]), compact_every)
+                                       summed(["day", "userid", "adid"]), compact_every, "day", ttl)
         self.blacklist = VersionedTable(spark, p("blacklist"), "userid STRING", distinct_rows, compact_every)
         self.area_counts = VersionedTable(spark, p("day_area_city_ad_counts"),
                                           "day STRING, area STRING, city STRING, adid STRING, clicks BIGINT",
-                                          summed(["day", "area", "city", "adid"]), compact_every)
+                                          summed(["day", "area", "city", "adid"]), compact_every, "day")
+        # Minute counts only matter for the trend window: older minutes expire.
         self.minute_counts = VersionedTable(spark, p("ad_minute_counts"),
                                             "adid STRING, minute_ts TIMESTAMP_NTZ, clicks BIGINT",
-                                            summed(["adid", "minute_ts"]), compact_every)
+                                            summed(["adid", "minute_ts"]), compact_every,
+                                            retain=newer_than("minute_ts", f"{trend_minutes} minutes"))
 
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
@@ -70,25 +84,28 @@ class AdStreamJob:
                                      self.path("survivors"), batch_id)
         survivors = spark.read.schema(CLICK_COLS).parquet(spath)
 
+        # The days of one micro-batch: a handful of values (bounded by the
+        # batch's time span), used as partition filters on the day-keyed state.
+        days = [r.day for r in survivors.select(day_of(event_time("ts")).alias("day")).distinct().collect()]
+
         delta = ads.user_day_ad_counts(survivors)
         self.counters.write_delta(delta, batch_id)
-        totals = self.counters.read_upto(batch_id).join(delta.select("day", "userid", "adid"),
-                                                        ["day", "userid", "adid"], "left_semi")
+        totals = self.counters.read_upto(batch_id, only=days).join(
+            delta.select("day", "userid", "adid"), ["day", "userid", "adid"], "left_semi")
         crossed = totals.where(F.col("clicks") >= self.threshold).select("userid").distinct()
         self.blacklist.write_delta(crossed, batch_id)
 
-        area_delta = ads.day_area_city_ad_counts(survivors)
-        self.area_counts.write_delta(area_delta, batch_id)
+        self.area_counts.write_delta(ads.day_area_city_ad_counts(survivors), batch_id)
         minute_delta = (survivors.select("adid", minute_of(event_time("ts")).alias("minute_ts"))
                         .groupBy("adid", "minute_ts").agg(F.count(F.lit(1)).alias("clicks")))
         self.minute_counts.write_delta(minute_delta, batch_id)
 
-        self.publish(batch_id, area_delta.select("day").distinct())
+        self.publish(batch_id, days)
         for t in (self.counters, self.blacklist, self.area_counts, self.minute_counts):
             t.maybe_compact(batch_id)
 
-    def publish(self, batch_id: int, touched_days: DataFrame) -> None:
-        day_totals = self.area_counts.read_upto(batch_id).join(touched_days, "day", "left_semi")
+    def publish(self, batch_id: int, days: list[str]) -> None:
+        day_totals = self.area_counts.read_upto(batch_id, only=days)
         write_batch_snapshot(day_totals, self.path("out", "day_area_city_ad_counts"), batch_id)
         top3 = ads.day_area_ad_top3(ads.day_area_ad_counts(day_totals), self.top_k)
         write_batch_snapshot(ads.day_area_ad_top3_json(top3), self.path("out", "day_area_ad_top3_json"),
