@@ -31,6 +31,11 @@ def pairs_to_json(pairs: str | Column, key: str, value: str) -> Column:
     return F.to_json(F.transform(_c(pairs), lambda p: F.create_map(p[key].cast("string"), p[value])))
 
 
+def parse_day(text: str | Column) -> Column:
+    """``yyyy-MM-dd`` text -> DATE; malformed text gives null."""
+    return F.try_to_timestamp(_c(text), F.lit("yyyy-MM-dd")).cast("date")
+
+
 def day_of(ts_ntz: str | Column) -> Column:
     """``yyyy-MM-dd`` text of a wall-clock timestamp."""
     return F.date_format(_c(ts_ntz), "yyyy-MM-dd")

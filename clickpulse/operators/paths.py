@@ -5,16 +5,22 @@
 
 Skew: a session may be huge (a bot). A window over ``session_id`` would sort
 such a session inside one task, so the session is cut into time slices --
-``action_time`` prefixes, by default one minute (``slice_chars=16``):
-
-1. ``lead`` inside each (session, slice) gives every pair whose two visits
-   share a slice; the same pass marks each slice's first and last page;
-2. one row per slice (first page, last page) -- already partitioned by
-   (session, slice), so no extra shuffle -- and ``lead`` over the slices of a
-   session pairs each slice's last page with the next slice's first page.
-
-Step 2's window sees one row per non-empty slice, not one per visit, so the
-result is exact and no task holds more than one slice of one session.
+``action_time`` prefixes, by default one minute (``slice_chars=16``). One chain,
+no fork:
+
+1. ``lead`` inside each (session, slice) gives the successor of every visit but
+   a slice's last one;
+2. a local aggregate per (session, slice, page, next page) -- no shuffle, the
+   rows are already partitioned by (session, slice) -- counts the in-slice pairs
+   and flags each slice's first page; a slice's last visit is its row with no
+   next page;
+3. one window per session over these reduced rows, slices in descending order
+   with a growing frame, finds for each slice's last visit the first page of
+   the next slice (``last(..., ignorenulls)`` over the frame before the row).
+
+Step 3 sees at most (distinct page pairs + 1) rows per slice, not one row per
+visit, so the result is exact and no task holds more than one slice of one
+session's visits.
 """
 
 from __future__ import annotations
@@ -32,30 +38,37 @@ def page_views(visits: DataFrame) -> DataFrame:
 
 
 def session_jumps(visits: DataFrame, slice_chars: int = MINUTE_SLICE) -> DataFrame:
-    """Every consecutive (from_page, to_page) pair inside sessions, one row per jump."""
+    """Consecutive (from_page, to_page) pairs inside sessions, pre-counted:
+    (from_page, to_page, n) -- sum ``n`` per pair for the number of jumps."""
     rows = visits.select("session_id", "action_time", "event_id", "page_id",
                          F.substring("action_time", 1, slice_chars).alias("slice"))
     w = Window.partitionBy("session_id", "slice").orderBy("action_time", "event_id")
     marked = rows.select("session_id", "slice", "page_id",
                          F.lead("page_id").over(w).alias("next_page"),
-                         F.row_number().over(w).alias("pos"))
-    inner = (marked.where(F.col("next_page").isNotNull())
-             .select(F.col("page_id").alias("from_page"), F.col("next_page").alias("to_page")))
-    ends = (marked.where((F.col("pos") == 1) | F.col("next_page").isNull())
-            .groupBy("session_id", "slice")
-            .agg(F.max(F.when(F.col("pos") == 1, F.col("page_id"))).alias("first_page"),
-                 F.max(F.when(F.col("next_page").isNull(), F.col("page_id"))).alias("last_page")))
-    ws = Window.partitionBy("session_id").orderBy("slice")
-    across = (ends.select("last_page", F.lead("first_page").over(ws).alias("to_page"))
-              .where(F.col("to_page").isNotNull())
-              .select(F.col("last_page").alias("from_page"), "to_page"))
-    return inner.unionByName(across)
+                         (F.row_number().over(w) == 1).alias("is_first"))
+    local = (marked.groupBy("session_id", "slice", "page_id", "next_page")
+             .agg(F.count(F.lit(1)).alias("n"), F.max("is_first").alias("is_first")))
+    # Descending slices; inside a slice the last visit (no next page) comes first,
+    # so the frame before it holds only later slices.
+    ws = (Window.partitionBy("session_id")
+          .orderBy(F.desc("slice"), F.col("next_page").isNull().desc(), "page_id", "next_page")
+          .rowsBetween(Window.unboundedPreceding, -1))
+    next_first = F.last(F.when(F.col("is_first"), F.col("page_id")), ignorenulls=True).over(ws)
+    linked = local.select("page_id", "next_page", "n", next_first.alias("next_first"))
+    pair = F.when(F.col("next_page").isNotNull(),
+                  F.struct(F.col("page_id").alias("from_page"), F.col("next_page").alias("to_page"),
+                           F.col("n").alias("n")))
+    across = F.when(F.col("next_page").isNull() & F.col("next_first").isNotNull(),
+                    F.struct(F.col("page_id").alias("from_page"), F.col("next_first").alias("to_page"),
+                             F.lit(1).cast("long").alias("n")))
+    return (linked.select(F.explode(F.array_compact(F.array(pair, across))).alias("j"))
+            .select("j.from_page", "j.to_page", "j.n"))
 
 
 def page_transitions(visits: DataFrame, slice_chars: int = MINUTE_SLICE) -> DataFrame:
     """(from_page, to_page, jumps) over all sessions."""
     return (session_jumps(visits, slice_chars).groupBy("from_page", "to_page")
-            .agg(F.count(F.lit(1)).alias("jumps")))
+            .agg(F.sum("n").cast("long").alias("jumps")))
 
 
 def parse_flow(flow: str | list) -> list[int]:
@@ -83,7 +96,7 @@ def page_jump_ratio(visits: DataFrame, flow: str | list = "1,2,3,4,5,6,7",
     pairs = F.broadcast(target_flow_pairs(visits.sparkSession, flow))
     wanted = pairs.select("from_page", "to_page")
     jumps = (session_jumps(visits, slice_chars).join(wanted, ["from_page", "to_page"], "left_semi")
-             .groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("jumps")))
+             .groupBy("from_page", "to_page").agg(F.sum("n").cast("long").alias("jumps")))
     views = (visits.join(F.broadcast(pairs.select(F.col("from_page").alias("page_id")).distinct()),
                          "page_id", "left_semi")
              .groupBy("page_id").agg(F.count(F.lit(1)).alias("page_views"))

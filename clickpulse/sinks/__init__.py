@@ -2,9 +2,9 @@
 
 from clickpulse.sinks.writers import (
     replace_table, upsert_partitions, write_batch_snapshot, read_latest_snapshot, write_jdbc,
-    write_ad_log,
+    write_ad_log, with_task_id,
 )
 from clickpulse.sinks.versioned import VersionedTable
 
 __all__ = ["replace_table", "upsert_partitions", "write_batch_snapshot", "read_latest_snapshot",
-           "write_jdbc", "write_ad_log", "VersionedTable"]
+           "write_jdbc", "write_ad_log", "with_task_id", "VersionedTable"]

@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from clickpulse.sources.adlog import encode_ad_log
 
 
+def with_task_id(df: DataFrame, task_id: str) -> DataFrame:
+    """Stamp a run id on every output row (P2). The caller makes the id (one per
+    run), so results stay deterministic and reruns are identifiable."""
+    return df.select(F.lit(task_id).alias("task_id"), *df.columns)
+
+
 def replace_table(df: DataFrame, name_or_path: str, fmt: str = "parquet",
                   partition_by: list[str] | None = None) -> None:
     """Drop-and-replace (K1): a catalog table when ``name_or_path`` has no '/', else a path."""
