@@ -31,6 +31,9 @@ FILTER_PARAMS = {"startDate": "2024-01-05", "endDate": "2024-01-25", "startAge":
                  "endAge": "50", "professional": "BUILDING,MACHINERY", "gender": "F"}
 FILTER_PARAMS_CITY = {"city": "NATION_1,NATION_7,NATION_12,NATION_20", "keywords": "kw_1,kw_4"}
 MERGE_SPLIT_DAY = "2024-01-16"
+# The original's parameter set, moved to the test data's dates: Q0 feeds Q1-Q3.
+REFERENCE_PARAMS = {"startDate": "2024-01-01", "endDate": "2024-01-28", "startAge": "20", "endAge": "50",
+                    "professionals": "", "city": "", "gender": "", "keywords": "", "categoryIds": ""}
 
 
 def _t(spark: SparkSession, sf_dir: str) -> AdapterTables:
@@ -47,6 +50,11 @@ def entry(spark: SparkSession) -> DataFrame:
     return _flagship(spark, FLAGSHIP_SF)
 
 
+def _q0(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return op.filtered_visits(t.visits(), t.users(), REFERENCE_PARAMS)
+
+
 def _survivors(spark, sf_dir):
     return op.blacklist_filtered_clicks(_t(spark, sf_dir).clicks(), BLACKLIST_THRESHOLD)
 
@@ -94,10 +102,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "category_top10": lambda s, d: op.category_top10(_t(s, d).visits()),
         "category_session_counts": lambda s, d: op.category_session_counts(_t(s, d).visits()),
         "category_session_top10": lambda s, d: op.category_session_top10(_t(s, d).visits()),
+        "category_top10_filtered": lambda s, d: op.category_top10(_q0(s, d)),
+        "category_session_top10_filtered": lambda s, d: op.category_session_top10(_q0(s, d)),
         # Q3
         "page_views": lambda s, d: op.page_views(_t(s, d).visits()),
         "page_transitions": lambda s, d: op.page_transitions(_t(s, d).visits()),
         "page_jump_ratio": lambda s, d: op.page_jump_ratio(_t(s, d).visits(), FLOW),
+        "page_jump_ratio_filtered": lambda s, d: op.page_jump_ratio(_q0(s, d), FLOW),
         # Q4
         "click_geo": lambda s, d: op.click_geo(_t(s, d).visits(), _t(s, d).cities()),
         "area_product_counts": lambda s, d: op.area_product_counts(
@@ -309,41 +320,66 @@ _JUMPS = """jumps AS (
   SELECT page_id AS from_page, lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS to_page
   FROM visits)"""
 
+_TOP10 = """
+SELECT * FROM counts ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10"""
 
-def oracle_sql() -> dict[str, str]:
-    flow = [int(x) for x in FLOW.split(",")]
-    flow_rows = ", ".join(f"({a}, {b})" for a, b in zip(flow[:-1], flow[1:]))
-    return {
-        "scan_visits": _with("ev", "visits") + "SELECT * FROM visits",
-        "filtered_visits": _filter_sql(),
-        "filtered_visits_city": _filter_city_sql(),
-        "category_action_counts": _with("ev", "visits") + "," + _ACTIONS + "\nSELECT * FROM counts",
-        "category_top10": _with("ev", "visits") + "," + _ACTIONS + """
-SELECT * FROM counts ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10""",
-        "category_session_counts": _with("ev", "visits") + """
-SELECT click_category_id AS category_id, session_id, count(*) AS click_count
-FROM visits WHERE click_category_id <> -1 GROUP BY 1, 2""",
-        "category_session_top10": _with("ev", "visits") + "," + _ACTIONS + """,
+_SESSION_TOP10 = """,
 top AS (SELECT category_id FROM counts ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10),
 cs AS (SELECT click_category_id AS category_id, session_id, count(*) AS click_count
        FROM visits WHERE click_category_id IN (SELECT category_id FROM top) GROUP BY 1, 2)
 SELECT category_id, session_id, click_count FROM (
   SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rk FROM cs)
-WHERE rk <= 10""",
-        "page_views": _with("ev", "visits") + "SELECT page_id, count(*) AS page_views FROM visits GROUP BY page_id",
-        "page_transitions": _with("ev", "visits") + "," + _JUMPS + """
-SELECT from_page, to_page, count(*) AS jumps FROM jumps WHERE to_page IS NOT NULL GROUP BY 1, 2""",
-        "page_jump_ratio": _with("ev", "visits") + "," + _JUMPS + f""",
+WHERE rk <= 10"""
+
+
+def _on(sql: str, src: str) -> str:
+    """The same SQL text reading ``src`` instead of ``visits``."""
+    return sql.replace("FROM visits", f"FROM {src}")
+
+
+def _q0_cte() -> str:
+    p = REFERENCE_PARAMS
+    return f"""q0 AS (
+  SELECT v.* FROM visits v JOIN users u ON v.user_id = u.user_id
+  WHERE v.date >= '{p['startDate']}' AND v.date <= '{p['endDate']}'
+    AND u.age >= {p['startAge']} AND u.age <= {p['endAge']})"""
+
+
+def _jump_ratio(src: str) -> str:
+    flow = [int(x) for x in FLOW.split(",")]
+    flow_rows = ", ".join(f"({a}, {b})" for a, b in zip(flow[:-1], flow[1:]))
+    return _on(_JUMPS, src) + f""",
 flow(from_page, to_page) AS (VALUES {flow_rows}),
 j AS (SELECT from_page, to_page, count(*) AS jumps FROM jumps WHERE to_page IS NOT NULL GROUP BY 1, 2),
-pv AS (SELECT page_id, count(*) AS page_views FROM visits GROUP BY page_id)
+pv AS (SELECT page_id, count(*) AS page_views FROM {src} GROUP BY page_id)
 SELECT CAST(f.from_page AS VARCHAR) || '-' || CAST(f.to_page AS VARCHAR) AS jump,
        CAST(f.from_page AS BIGINT) AS from_page, CAST(f.to_page AS BIGINT) AS to_page,
        coalesce(j.jumps, 0) AS jumps, coalesce(pv.page_views, 0) AS page_views,
        CASE WHEN coalesce(pv.page_views, 0) > 0
             THEN CAST(coalesce(j.jumps, 0) AS DOUBLE) / CAST(pv.page_views AS DOUBLE) END AS ratio
 FROM flow f LEFT JOIN j ON f.from_page = j.from_page AND f.to_page = j.to_page
-LEFT JOIN pv ON pv.page_id = f.from_page""",
+LEFT JOIN pv ON pv.page_id = f.from_page"""
+
+
+def oracle_sql() -> dict[str, str]:
+    q0 = _with("ev", "visits", "users") + "," + _q0_cte() + ","
+    return {
+        "scan_visits": _with("ev", "visits") + "SELECT * FROM visits",
+        "filtered_visits": _filter_sql(),
+        "filtered_visits_city": _filter_city_sql(),
+        "category_action_counts": _with("ev", "visits") + "," + _ACTIONS + "\nSELECT * FROM counts",
+        "category_top10": _with("ev", "visits") + "," + _ACTIONS + _TOP10,
+        "category_session_counts": _with("ev", "visits") + """
+SELECT click_category_id AS category_id, session_id, count(*) AS click_count
+FROM visits WHERE click_category_id <> -1 GROUP BY 1, 2""",
+        "category_session_top10": _with("ev", "visits") + "," + _ACTIONS + _SESSION_TOP10,
+        "category_top10_filtered": q0 + _on(_ACTIONS, "q0") + _TOP10,
+        "category_session_top10_filtered": q0 + _on(_ACTIONS, "q0") + _on(_SESSION_TOP10, "q0"),
+        "page_views": _with("ev", "visits") + "SELECT page_id, count(*) AS page_views FROM visits GROUP BY page_id",
+        "page_transitions": _with("ev", "visits") + "," + _JUMPS + """
+SELECT from_page, to_page, count(*) AS jumps FROM jumps WHERE to_page IS NOT NULL GROUP BY 1, 2""",
+        "page_jump_ratio": _with("ev", "visits") + "," + _jump_ratio("visits"),
+        "page_jump_ratio_filtered": q0 + _jump_ratio("q0"),
         "click_geo": _with("ev", "visits", "cities") + """
 SELECT c.area, c.city_name, v.click_product_id
 FROM visits v JOIN cities c ON v.city_id = c.city_id WHERE v.click_product_id > 0""",

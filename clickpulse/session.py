@@ -13,6 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Some post-shuffle operators multiply rows (sliding-window fan-out, id-list
+    # explode); a 1 MB coalescing floor would squeeze a small input into one task
+    # before that. At scale partitions are far above either floor.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
