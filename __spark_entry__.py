@@ -36,8 +36,16 @@ REFERENCE_PARAMS = {"startDate": "2024-01-01", "endDate": "2024-01-28", "startAg
                     "professionals": "", "city": "", "gender": "", "keywords": "", "categoryIds": ""}
 
 
+_TABLES: dict = {}
+
+
 def _t(spark: SparkSession, sf_dir: str) -> AdapterTables:
-    return AdapterTables(spark, sf_dir)
+    """Adapted input tables, defined once per session and directory (logical
+    plans only -- nothing is cached, every query reads the files)."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = AdapterTables(spark, sf_dir)
+    return _TABLES[key]
 
 
 def _flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,22 +13,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clickpulse.functions.text import half_up_1dp, percent_text
-
 # Fixed value: the reference's label for the residual bucket is the Chinese
 # word for "other" (其他); this engine defaults to the English word and takes
 # the label as a parameter.
 OTHER_LABEL = "other"
 
 
-def share_text(city_counts: Column, total: Column, top: int = 2, label: str = OTHER_LABEL) -> Column:
+def share_text(city_counts: str, total: str, top: int = 2, label: str = OTHER_LABEL) -> Column:
+    """``city_counts``: name of an ``array<struct<c:bigint, city:string>>`` column;
+    ``total``: name of the group-total column. One SQL expression (JVM-side)."""
+    lab = label.replace("\\", "\\\\").replace("'", "\\'")
     # Ascending sort on (-count, city) = count desc, then name asc (defect D21).
-    ordered = F.array_sort(F.transform(city_counts, lambda x: F.struct(
-        (-x["c"]).alias("nc"), x["city"].alias("city"))))
-    shown = F.transform(F.slice(ordered, 1, top), lambda x: F.struct(
-        x["city"].alias("city"),
-        (F.floor(-x["nc"] * F.lit(1000.0) / total + F.lit(0.5)).cast("double") / F.lit(10.0)).alias("pct")))
-    used = F.aggregate(shown, F.lit(0.0), lambda acc, x: acc + x["pct"])
-    other = half_up_1dp(F.lit(100.0) - used)
-    head = F.array_join(F.transform(shown, lambda x: percent_text(x["city"], x["pct"])), ",")
-    return F.concat(head, F.lit(","), percent_text(F.lit(label), other))
+    shown = (f"slice(array_sort(transform(`{city_counts}`, x -> struct(-x.c AS nc, x.city AS city))), 1, {top})")
+    pct = f"floor(-x.nc * 1000.0D / `{total}` + 0.5D) / 10.0D"
+    head = f"array_join(transform({shown}, x -> concat(x.city, ':', CAST({pct} AS STRING), '%')), ',')"
+    used = f"aggregate({shown}, 0.0D, (acc, x) -> acc + {pct})"
+    other = f"floor((100.0D - {used}) * 10.0D + 0.5D) / 10.0D"
+    return F.expr(f"concat({head}, ',', '{lab}:', CAST({other} AS STRING), '%')")

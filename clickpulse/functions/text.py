@@ -11,8 +11,9 @@ def _c(x: str | Column) -> Column:
 
 
 def id_list(text: str | Column, sep: str = ",") -> Column:
-    """``"3,7,9"`` -> ``array<bigint>`` (F1, F6). Null stays null; a bad id becomes null."""
-    return F.transform(F.split(_c(text), sep), lambda s: F.trim(s).try_cast("long"))
+    """``"3,7,9"`` -> ``array<bigint>`` (F1, F6). Null stays null; a bad id becomes a
+    null element (``try_cast`` of an array is element-wise)."""
+    return F.split(_c(text), sep).try_cast("array<bigint>")
 
 
 def half_up_1dp(x: str | Column) -> Column:
@@ -25,10 +26,10 @@ def percent_text(name: str | Column, pct: str | Column) -> Column:
     return F.concat(_c(name), F.lit(":"), _c(pct).cast("string"), F.lit("%"))
 
 
-def pairs_to_json(pairs: str | Column, key: str, value: str) -> Column:
-    """array<struct> -> ``[{"k1":v1},{"k2":v2}]``, one single-entry object per pair, in
-    array order (F12)."""
-    return F.to_json(F.transform(_c(pairs), lambda p: F.create_map(p[key].cast("string"), p[value])))
+def pairs_to_json(pairs: str, key: str, value: str) -> Column:
+    """array<struct> column -> ``[{"k1":v1},{"k2":v2}]``, one single-entry object per
+    pair, in array order (F12)."""
+    return F.expr(f"to_json(transform(`{pairs}`, p -> map(cast(p.`{key}` AS STRING), p.`{value}`)))")
 
 
 def parse_day(text: str | Column) -> Column:

@@ -91,8 +91,8 @@ def day_area_ad_top3_json(top3: DataFrame) -> DataFrame:
     """(day, area, top3_json) with ``top3_json`` like ``[{"2":9},{"1":5}]`` in rank
     order (A7, F12). Each list holds at most k entries."""
     ranked = F.array_sort(F.collect_list(F.struct("rk", "adid", "clicks")))
-    return (top3.groupBy("day", "area")
-            .agg(pairs_to_json(ranked, "adid", "clicks").alias("top3_json")))
+    return (top3.groupBy("day", "area").agg(ranked.alias("items"))
+            .select("day", "area", pairs_to_json("items", "adid", "clicks").alias("top3_json")))
 
 
 def day_top3_document(top3_json: DataFrame) -> DataFrame:
@@ -129,7 +129,8 @@ def ad_minute_trend(clicks: DataFrame, minutes: int = 60, anchor: Column | None
 def ad_minute_trend_json(trend: DataFrame) -> DataFrame:
     """(adid, trend_json) like ``[{"2024-01-30 23:05":2},...]`` in minute order (K8)."""
     pairs = F.array_sort(F.collect_list(F.struct("minute", "clicks")))
-    return trend.groupBy("adid").agg(pairs_to_json(pairs, "minute", "clicks").alias("trend_json"))
+    return (trend.groupBy("adid").agg(pairs.alias("items"))
+            .select("adid", pairs_to_json("items", "minute", "clicks").alias("trend_json")))
 
 
 def ad_last_hour_sliding(clicks: DataFrame, window_minutes: int = 60, slide_minutes: int = 1) -> DataFrame:

@@ -75,7 +75,7 @@ def city_click_ratio(visits: DataFrame, cities: DataFrame, top_cities: int = 2,
                  F.collect_list(F.struct(F.col("clicks").alias("c"), F.col("city_name").alias("city")))
                  .alias("city_counts"))
             .select("area", "click_product_id", "product_count",
-                    share_text(F.col("city_counts"), F.col("product_count"), top_cities, label)
+                    share_text("city_counts", "product_count", top_cities, label)
                     .alias("city_click_ratio")))
 
 
@@ -96,6 +96,6 @@ def area_product_top3(visits: DataFrame, cities: DataFrame, products: DataFrame,
             .select("area",
                     F.col("click_product_id").alias("product_id"),
                     "product_name", "product_count",
-                    share_text(F.col("city_counts"), F.col("product_count"), top_cities, label)
+                    share_text("city_counts", "product_count", top_cities, label)
                     .alias("city_click_ratio"),
                     "rk"))

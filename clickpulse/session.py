@@ -57,6 +57,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a shared folder for lineage cuts and state; "
+                             "a machine-local folder does not survive executor loss")
         d = tempfile.mkdtemp(prefix="clickpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:

@@ -29,16 +29,6 @@ from pyspark.sql import functions as F
 from clickpulse.session import pin_utc
 from clickpulse.sources.tables import read_table
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").try_cast("int")
-
-
-def epoch_millis(ts_ntz: str | Column) -> Column:
-    """Epoch milliseconds of a wall-clock (NTZ) timestamp read as UTC, truncating."""
-    c = F.col(ts_ntz) if isinstance(ts_ntz, str) else ts_ntz
-    return F.unix_millis(c.cast("timestamp"))
-
-
 def cities_from_nation(spark: SparkSession, where: str) -> DataFrame:
     nation = read_table(spark, where, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, where, "region").select("r_regionkey", "r_name")
@@ -66,47 +56,46 @@ def users_from_customer(spark: SparkSession, where: str) -> DataFrame:
         F.when(key % 2 == 0, "M").otherwise("F").alias("gender"))
 
 
+# The visit columns as SQL over events (with k already extracted).
+_VISIT_SQL = [
+    "date_format(ts, 'yyyy-MM-dd') AS date",
+    "user_id",
+    "concat_ws('_', CAST(user_id AS STRING), date_format(ts, 'yyyy-MM-dd')) AS session_id",
+    "k % 7 + 1 AS page_id",
+    "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS action_time",
+    "CASE WHEN event_type = 'view' THEN concat('kw_', CAST(k % 6 AS STRING)) END AS search_keyword",
+    "CASE WHEN event_type = 'click' THEN k % 20 + 1 ELSE -1L END AS click_category_id",
+    "CASE WHEN event_type = 'click' THEN k + 1 ELSE -1L END AS click_product_id",
+    "CASE WHEN event_type = 'signup' THEN concat_ws(',', CAST(k % 20 + 1 AS STRING),"
+    " CAST((k + 7) % 20 + 1 AS STRING)) END AS order_category_ids",
+    "CASE WHEN event_type = 'signup' THEN concat_ws(',', CAST(k + 1 AS STRING),"
+    " CAST((k + 7) % 100 + 1 AS STRING)) END AS order_product_ids",
+    "CASE WHEN event_type = 'purchase' THEN concat_ws(',', CAST(k % 20 + 1 AS STRING),"
+    " CAST((k + 3) % 20 + 1 AS STRING)) END AS pay_category_ids",
+    "CASE WHEN event_type = 'purchase' THEN concat_ws(',', CAST(k + 1 AS STRING),"
+    " CAST((k + 3) % 100 + 1 AS STRING)) END AS pay_product_ids",
+    "event_id % 25 AS city_id",
+    "event_id",
+]
+
+_K_SQL = "CAST(try_cast(get_json_object(props, '$.k') AS INT) AS BIGINT) AS k"
+
+
 def visits_from_events(spark: SparkSession, where: str) -> DataFrame:
     pin_utc(spark)
-    ev = read_table(spark, where, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    k = _k().cast("long")
-    et = F.col("event_type")
-    date = F.date_format("ts", "yyyy-MM-dd")
-
-    def ids(a: Column, b: Column) -> Column:
-        return F.concat_ws(",", a.cast("string"), b.cast("string"))
-
-    return ev.select(
-        date.alias("date"),
-        F.col("user_id"),
-        F.concat_ws("_", F.col("user_id").cast("string"), date).alias("session_id"),
-        (k % 7 + 1).alias("page_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("action_time"),
-        F.when(et == "view", F.concat(F.lit("kw_"), (k % 6).cast("string"))).alias("search_keyword"),
-        F.when(et == "click", k % 20 + 1).otherwise(F.lit(-1).cast("long")).alias("click_category_id"),
-        F.when(et == "click", k + 1).otherwise(F.lit(-1).cast("long")).alias("click_product_id"),
-        F.when(et == "signup", ids(k % 20 + 1, (k + 7) % 20 + 1)).alias("order_category_ids"),
-        F.when(et == "signup", ids(k + 1, (k + 7) % 100 + 1)).alias("order_product_ids"),
-        F.when(et == "purchase", ids(k % 20 + 1, (k + 3) % 20 + 1)).alias("pay_category_ids"),
-        F.when(et == "purchase", ids(k + 1, (k + 3) % 100 + 1)).alias("pay_product_ids"),
-        (F.col("event_id") % 25).alias("city_id"),
-        F.col("event_id"),
-    )
+    ev = read_table(spark, where, "events").selectExpr("event_id", "ts", "user_id", "event_type", _K_SQL)
+    return ev.selectExpr(*_VISIT_SQL)
 
 
 def clicks_from_events(spark: SparkSession, where: str) -> DataFrame:
     """Ad clicks ``(event_id, ts, area, city, userid, adid)``; ``event_id`` is the
     record id used as order tie-break (the wire format itself has no id)."""
     pin_utc(spark)
-    ev = read_table(spark, where, "events").select("event_id", "ts", "user_id", "props")
-    geo = cities_from_nation(spark, where).select(
-        F.col("city_id").alias("geo_key"), F.col("city_name").alias("city"), "area")
+    ev = read_table(spark, where, "events").selectExpr("event_id", "ts", "user_id", _K_SQL)
+    geo = cities_from_nation(spark, where).selectExpr("city_id AS geo_key", "city_name AS city", "area")
     return (ev.join(geo, (ev.user_id % 25) == geo.geo_key)
-            .select("event_id",
-                    epoch_millis("ts").alias("ts"),
-                    "area", "city",
-                    F.col("user_id").cast("string").alias("userid"),
-                    (_k() % 6 + 1).cast("string").alias("adid")))
+            .selectExpr("event_id", "unix_millis(CAST(ts AS TIMESTAMP)) AS ts", "area", "city",
+                        "CAST(user_id AS STRING) AS userid", "CAST(k % 6 + 1 AS STRING) AS adid"))
 
 
 def click_counts_from_lineitem(spark: SparkSession, where: str) -> DataFrame:

@@ -122,9 +122,9 @@ def test_flow_zero_views_and_unseen_pairs(spark):
 # -- Q4: area top products and the city share text ----------------------------------
 
 def _share(spark, counts, top=2):
-    df = spark.createDataFrame([(counts,)], "cc array<struct<c:bigint,city:string>>")
     total = sum(c for c, _ in counts)
-    return df.select(share_text(F.col("cc"), F.lit(total), top).alias("t")).first().t
+    df = spark.createDataFrame([(counts, total)], "cc array<struct<c:bigint,city:string>>, n bigint")
+    return df.select(share_text("cc", "n", top).alias("t")).first().t
 
 
 def test_city_share_one_city(spark):

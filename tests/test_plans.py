@@ -48,9 +48,13 @@ def test_date_filter_pushed_into_stored_visits(spark, scratch):
         users.where("age >= 20"), "user_id").count()
 
 
-def test_page_jumps_need_no_session_wide_window(spark):
-    text = plan_text(E.queries()["page_transitions"](spark, SF_SMALL))
-    # the per-visit window is partitioned by (session_id, slice), never by session_id alone
-    assert "hashpartitioning(session_id#" in text
-    windows = [ln for ln in text.splitlines() if ln.strip().startswith("Arguments: [lead(page_id")]
-    assert windows
+def test_page_jumps_window_per_slice_then_reduced_rows(spark):
+    text = plan_text(E.queries()["page_transitions"](spark, SF_SMALL), "simple")
+    lines = [ln.strip() for ln in text.splitlines()]
+    lead = [ln for ln in lines if "Window [lead(page_id" in ln]
+    assert lead and all("windowspecdefinition(session_id#" in ln and ", slice#" in ln.split("windowspecdefinition(")[1]
+                        for ln in lead)
+    # the per-session window reads the (session, slice, page, next) aggregate, not visits
+    i = next(k for k, ln in enumerate(lines) if "Window [last(" in ln)
+    below = " ".join(lines[i:i + 6])
+    assert "Exchange hashpartitioning(session_id#" in below and "HashAggregate" in below

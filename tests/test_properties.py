@@ -63,8 +63,8 @@ def test_event_order_blacklist_equals_brute_force(spark, rows, threshold):
 @given(st.lists(st.integers(1, 50), min_size=1, max_size=8), st.integers(1, 3))
 def test_city_shares_sum_to_100(spark, counts, top):
     cc = [(n, f"c{i}") for i, n in enumerate(counts)]
-    df = spark.createDataFrame([(cc,)], "cc array<struct<c:bigint,city:string>>")
-    text = df.select(share_text(F.col("cc"), F.lit(sum(counts)), top).alias("t")).first().t
+    df = spark.createDataFrame([(cc, sum(counts))], "cc array<struct<c:bigint,city:string>>, n bigint")
+    text = df.select(share_text("cc", "n", top).alias("t")).first().t
     parts = text.split(",")
     assert len(parts) == min(top, len(counts)) + 1 and parts[-1].startswith("other:")
     total = sum(float(p.split(":")[1].rstrip("%")) for p in parts)
