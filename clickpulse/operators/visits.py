@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clickpulse.functions.predicates import all_of, optional_predicates
 from clickpulse.schemas import VISITS

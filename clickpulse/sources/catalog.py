@@ -1,6 +1,6 @@
 """Named views for SQL users.
 
-The pipeline itself passes DataFrames around; these views only let existing
+The library itself passes DataFrames around; these views only let existing
 SQL text that reads the original table names run unchanged on the adapted data.
 ``createOrReplaceTempView`` replaces, so running twice in one session works
 (defect D14).

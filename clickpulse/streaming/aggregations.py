@@ -2,7 +2,7 @@
 
 These run on Spark's state store with an event-time watermark, so state for a
 day (or window) is dropped once the watermark passes it (defect D13). They have
-no blacklist in front; the feedback pipeline is ``ad_pipeline``.
+no blacklist in front; the feedback loop is ``ad_stream``.
 """
 
 from __future__ import annotations

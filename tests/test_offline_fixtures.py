@@ -1,7 +1,5 @@
 """Hand fixtures with literal expectations for Q0-Q4 (FIXTURES.md section 3)."""
 
-from pyspark.sql import functions as F
-
 from clickpulse import operators as op
 from clickpulse.functions.share import share_text
 from tests import helpers as h

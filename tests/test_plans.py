@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from clickpulse import operators as op

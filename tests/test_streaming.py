@@ -11,8 +11,8 @@ from clickpulse import operators as op
 from clickpulse.sources import AdapterTables, read_ad_stream
 from clickpulse.sources.adlog import encode_ad_log
 from clickpulse.streaming import (
-    AdStreamJob, ad_window_counts_stream, day_area_city_ad_counts_stream, decoded_click_stream,
-    start_ad_pipeline,
+    ad_window_counts_stream, day_area_city_ad_counts_stream, decoded_click_stream,
+    start_ad_stream,
 )
 from tests import helpers as h
 from tests.conftest import SF_SMALL
@@ -33,7 +33,7 @@ def _run(spark, scratch, batches, threshold, **kw):
     src = os.path.join(scratch, "in")
     _write_batches(src, batches)
     lines = read_ad_stream(spark, src, max_files_per_trigger=1)
-    job, q = start_ad_pipeline(lines, os.path.join(scratch, "state"), os.path.join(scratch, "ckpt"),
+    job, q = start_ad_stream(lines, os.path.join(scratch, "state"), os.path.join(scratch, "ckpt"),
                                threshold=threshold, available_now=True, **kw)
     q.awaitTermination()
     return job, q
@@ -101,6 +101,9 @@ def test_stream_equals_batch_when_nobody_crosses(spark, scratch):
     want = op.day_area_city_ad_counts(clicks)
     got = job.area_counts.read_upto(last)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+    serving = (spark.read.schema("area STRING, city STRING, adid STRING, clicks BIGINT, day STRING")
+               .parquet(os.path.join(job.root, "serving", "day_area_city_ad_counts")))
+    assert sorted(map(tuple, serving.select(*got.columns).collect())) == sorted(map(tuple, got.collect()))
     # the published Q7 snapshot of the last batch covers the days that batch touched
     snap = spark.read.parquet(os.path.join(job.root, "out", "day_area_ad_top3_json", f"batch={last}"))
     want7 = op.day_area_ad_top3_json(op.day_area_ad_top3(op.day_area_ad_counts(want)))
@@ -120,7 +123,7 @@ def test_replay_from_copied_checkpoint_changes_nothing(spark, scratch):
     shutil.copytree(ck, ck2, ignore=lambda d, names: [n for n in names if d.endswith("commits") and n == "2"
                                                       or d.endswith("commits") and n == ".2.crc"])
     lines = read_ad_stream(spark, os.path.join(scratch, "in"), max_files_per_trigger=1)
-    job2, q2 = start_ad_pipeline(lines, os.path.join(scratch, "state"), ck2, threshold=2,
+    job2, q2 = start_ad_stream(lines, os.path.join(scratch, "state"), ck2, threshold=2,
                                  available_now=True, compact_every=2)
     q2.awaitTermination()
     assert q2.lastProgress is not None and q2.lastProgress["batchId"] == 2
