@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from clickpulse.functions.text import day_of, minute_of, minute_text, pairs_to_json
 from clickpulse.operators.topk import kth_per_group, top_k_per_group
+from clickpulse.plans.joins import broadcast_if_small
+from clickpulse.plans.lineage import write_and_reread
 from clickpulse.sources.adlog import event_time
 
 DEFAULT_THRESHOLD = 100
@@ -53,17 +55,22 @@ def blacklist_crossings(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD) -
     return kth.groupBy("userid").agg(F.min(F.struct(*order)).alias("crossing"))
 
 
-def blacklist_filtered_clicks(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+def blacklist_filtered_clicks(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
+                              materialize: bool = True) -> DataFrame:
     """Q5, event-order form: the clicks that pass the blacklist when every click
     is its own micro-batch. A user's clicks up to and including the crossing
     click pass; every later click of that user (any ad, any day) is dropped.
 
-    The crossing table has at most one row per user; the join is planned by
-    AQE (broadcast when small, else a shuffle join whose hot user partitions
-    AQE splits).
+    The crossing table has at most one row per user. It is written once to the
+    shared checkpoint folder and its row count checked: when small it is
+    broadcast and the click table is filtered map-side without any shuffle;
+    otherwise the join is a shuffle join whose hot-user partitions AQE splits.
+    (Leaving the choice to AQE alone would shuffle all clicks before switching.)
     """
     order = _order_cols(clicks)
     cross = blacklist_crossings(clicks, threshold)
+    if materialize:
+        cross = broadcast_if_small(write_and_reread(cross, "blacklist-crossings"))
     joined = clicks.join(cross, "userid", "left")
     keep = F.col("crossing").isNull() | (F.struct(*order) <= F.col("crossing"))
     return joined.where(keep).select(*clicks.columns)

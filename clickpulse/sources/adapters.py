@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpulse.plans.joins import broadcast_if_small
 from clickpulse.session import pin_utc
 from clickpulse.sources.tables import read_table
 
@@ -92,7 +93,8 @@ def clicks_from_events(spark: SparkSession, where: str) -> DataFrame:
     record id used as order tie-break (the wire format itself has no id)."""
     pin_utc(spark)
     ev = read_table(spark, where, "events").selectExpr("event_id", "ts", "user_id", _K_SQL)
-    geo = cities_from_nation(spark, where).selectExpr("city_id AS geo_key", "city_name AS city", "area")
+    geo = broadcast_if_small(
+        cities_from_nation(spark, where).selectExpr("city_id AS geo_key", "city_name AS city", "area"))
     return (ev.join(geo, (ev.user_id % 25) == geo.geo_key)
             .selectExpr("event_id", "unix_millis(CAST(ts AS TIMESTAMP)) AS ts", "area", "city",
                         "CAST(user_id AS STRING) AS userid", "CAST(k % 6 + 1 AS STRING) AS adid"))
@@ -129,14 +131,16 @@ class AdapterTables:
     def visits(self) -> DataFrame:
         return self._get("visits", visits_from_events)
 
+    # Dimensions are size-checked once per instance (one bounded job each) and
+    # carry a broadcast hint only when they fit; larger ones are left to the planner.
     def users(self) -> DataFrame:
-        return self._get("users", users_from_customer)
+        return self._get("users", lambda s, w: broadcast_if_small(users_from_customer(s, w)))
 
     def cities(self) -> DataFrame:
-        return self._get("cities", cities_from_nation)
+        return self._get("cities", lambda s, w: broadcast_if_small(cities_from_nation(s, w)))
 
     def products(self) -> DataFrame:
-        return self._get("products", products_from_part)
+        return self._get("products", lambda s, w: broadcast_if_small(products_from_part(s, w)))
 
     def clicks(self) -> DataFrame:
         return self._get("clicks", clicks_from_events)

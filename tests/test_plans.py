@@ -26,9 +26,19 @@ def test_q4_top_k_is_window_group_limit_and_dims_broadcast(spark):
 
 
 def test_top_k_per_group_uses_partial_limit(spark):
-    for key in ("category_session_top10", "day_area_ad_top3", "blacklist_filtered_clicks"):
+    for key in ("category_session_top10", "day_area_ad_top3"):
         text = plan_text(E.queries()[key](spark, SF_SMALL))
         assert "WindowGroupLimit" in text, key
+    crossings = op.blacklist_crossings(AdapterTables(spark, SF_SMALL).clicks(), 3)
+    assert "WindowGroupLimit" in plan_text(crossings)
+
+
+def test_blacklist_filter_does_not_shuffle_clicks(spark):
+    df = E.queries()["blacklist_filtered_clicks"](spark, SF_SMALL)
+    text = plan_text(df)
+    # the crossing table is materialised and broadcast: no shuffle of the clicks at all
+    assert "hashpartitioning" not in text
+    assert "BroadcastHashJoin" in text and "LeftOuter" in text
 
 
 def test_category_top10_is_take_ordered(spark):
