@@ -42,7 +42,11 @@ _TABLES: dict = {}
 def _t(spark: SparkSession, sf_dir: str) -> AdapterTables:
     """Adapted input tables, defined once per session and directory (logical
     plans only -- nothing is cached, every query reads the files)."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
+        app = None
+    key = (app, id(spark), sf_dir)
     if key not in _TABLES:
         _TABLES[key] = AdapterTables(spark, sf_dir)
     return _TABLES[key]
