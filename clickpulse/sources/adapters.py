@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.plans.joins import broadcast_if_small
+from clickpulse.plans.joins import DIMENSION_ROW_LIMIT, broadcast_if_small
 from clickpulse.session import pin_utc
 from clickpulse.sources.tables import read_table
 
@@ -100,18 +100,26 @@ def clicks_from_events(spark: SparkSession, where: str) -> DataFrame:
                         "CAST(user_id AS STRING) AS userid", "CAST(k % 6 + 1 AS STRING) AS adid"))
 
 
-def click_counts_from_lineitem(spark: SparkSession, where: str) -> DataFrame:
+def click_counts_from_lineitem(spark: SparkSession, where: str,
+                               max_broadcast_rows: int = DIMENSION_ROW_LIMIT) -> DataFrame:
     """Wide click log for the Q4 bench: one click per line item, located at the
-    supplier's nation. Line items are pre-aggregated per (supplier, part) before
-    the supplier join so the join shuffles counts, not rows.
-    Output: (city_id, click_product_id, clicks)."""
+    supplier's nation. Output: (city_id, click_product_id, clicks) -- a weighted
+    click log; consumers sum ``clicks``.
+
+    The supplier side is size-checked: when it fits, it is broadcast and the
+    line items are joined map-side (each row weighs 1; the consumer's partial
+    aggregate does the reduction). When it does not fit, line items are first
+    pre-aggregated per (supplier, part), so the shuffle join moves counts, not rows.
+    """
     li = read_table(spark, where, "lineitem").select("l_suppkey", "l_partkey")
-    per_supp = li.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("clicks"))
     supp = read_table(spark, where, "supplier").select("s_suppkey", "s_nationkey")
-    return (per_supp.join(supp, per_supp.l_suppkey == supp.s_suppkey)
-            .select(F.col("s_nationkey").cast("long").alias("city_id"),
-                    (F.col("l_partkey") + 1).alias("click_product_id"),
-                    "clicks"))
+    out = [F.col("s_nationkey").cast("long").alias("city_id"),
+           (F.col("l_partkey") + 1).alias("click_product_id")]
+    if supp.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+        return (li.join(F.broadcast(supp), li.l_suppkey == supp.s_suppkey)
+                .select(*out, F.lit(1).cast("long").alias("clicks")))
+    per_supp = li.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("clicks"))
+    return per_supp.join(supp, per_supp.l_suppkey == supp.s_suppkey).select(*out, "clicks")
 
 
 @dataclass

@@ -67,3 +67,15 @@ def test_page_jumps_window_per_slice_then_reduced_rows(spark):
     i = next(k for k, ln in enumerate(lines) if "Window [last(" in ln)
     below = " ".join(lines[i:i + 6])
     assert "Exchange hashpartitioning(session_id#" in below and "HashAggregate" in below
+
+
+def test_lineitem_clicks_both_paths_agree(spark):
+    from clickpulse.sources.adapters import click_counts_from_lineitem
+    from clickpulse.sources import cities_from_nation, products_from_part
+    small = click_counts_from_lineitem(spark, SF_SMALL)              # supplier broadcast, rows weigh 1
+    big = click_counts_from_lineitem(spark, SF_SMALL, max_broadcast_rows=1)   # pre-aggregated path
+    assert "HashAggregate" not in plan_text(small) and "HashAggregate" in plan_text(big)
+    c, p = cities_from_nation(spark, SF_SMALL), products_from_part(spark, SF_SMALL)
+    a = op.area_product_top3(small, c, p, weight="clicks")
+    b = op.area_product_top3(big, c, p, weight="clicks")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
