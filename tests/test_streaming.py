@@ -150,3 +150,17 @@ def test_native_streaming_aggregations_equal_batch(spark, scratch):
                     "'yyyy-MM-dd HH:mm'), adid, clicks from q8_stream")
     want = op.ad_last_hour_sliding(AdapterTables(spark, SF_SMALL).clicks())
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_batch_of_only_bad_lines(spark, scratch):
+    b1 = [_line("2019-11-26 10:00:00", "u1", "1"), _line("2019-11-26 10:00:01", "u1", "1")]
+    b2 = ["garbage", "1,2", "x,a,b,c,d"]
+    b3 = [_line("2019-11-26 10:05:00", "u1", "1"), _line("2019-11-26 10:05:01", "u2", "1")]
+    job, q = _run(spark, scratch, [b1, b2, b3], threshold=3, compact_every=2)
+    kept = {r.batch: r.n for r in job.survivors().groupBy("batch").agg(F.count("*").alias("n")).collect()}
+    assert kept == {0: 2, 2: 2}
+    rejects = spark.read.parquet(os.path.join(job.root, "rejects", "batch=1"))
+    assert rejects.count() == 3
+    assert [r.userid for r in job.blacklisted(2).collect()] == ["u1"]
+    totals = {(r.day, r.adid): r.clicks for r in job.area_counts.read_upto(2).collect()}
+    assert totals == {("2019-11-26", "1"): 4}
