@@ -72,3 +72,27 @@ def test_ad_log_text_sink_roundtrip(spark, scratch):
     p = os.path.join(scratch, "adlog")
     write_ad_log(c, path=p)
     assert [r.value for r in read_ad_lines(spark, p).collect()] == [f"{h.ms('2019-11-26 10:00:00')},north,bj,3,5"]
+
+
+def test_retention_at_compaction(spark, scratch):
+    from clickpulse.sinks.versioned import newer_than
+    from clickpulse.streaming.ad_stream import newer_than_day
+    mins = VersionedTable(spark, os.path.join(scratch, "m"), "adid STRING, minute_ts TIMESTAMP_NTZ, clicks BIGINT",
+                          summed(["adid", "minute_ts"]), every=2, retain=newer_than("minute_ts", "60 minutes"))
+    mk = lambda rows: spark.createDataFrame(rows, "adid string, minute_ts string, clicks bigint").selectExpr(
+        "adid", "CAST(minute_ts AS TIMESTAMP_NTZ) AS minute_ts", "clicks")
+    mins.write_delta(mk([("1", "2019-11-26 08:00:00", 1), ("1", "2019-11-26 09:30:00", 2)]), 0)
+    mins.maybe_compact(0)
+    mins.write_delta(mk([("1", "2019-11-26 10:00:00", 3)]), 1)
+    mins.maybe_compact(1)                       # base of epoch 1 keeps (10:00 - 60 min, 10:00]
+    got = sorted((str(r.minute_ts), r.clicks) for r in mins.read_before(2).collect())
+    assert got == [("2019-11-26 09:30:00", 2), ("2019-11-26 10:00:00", 3)]
+
+    days = VersionedTable(spark, os.path.join(scratch, "d"), "day STRING, userid STRING, adid STRING, clicks BIGINT",
+                          summed(["day", "userid", "adid"]), every=1, partition_by="day", retain=newer_than_day(2))
+    days.write_delta(spark.createDataFrame([("2019-11-24", "u", "1", 5), ("2019-11-25", "u", "1", 1),
+                                            ("2019-11-26", "u", "1", 2)], "day string, userid string, adid string, "
+                                                                         "clicks bigint"), 0)
+    days.maybe_compact(0)
+    assert sorted(r.day for r in days.read_before(1).collect()) == ["2019-11-25", "2019-11-26"]
+    assert [r.clicks for r in days.read_before(1, only=["2019-11-26"]).collect()] == [2]
