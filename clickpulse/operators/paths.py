@@ -25,6 +25,8 @@ session's visits.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -91,16 +93,18 @@ def page_jump_ratio(visits: DataFrame, flow: str | list = "1,2,3,4,5,6,7",
     ``jumps`` = session jumps from ``from_page`` to ``to_page`` (0 when none);
     ``page_views`` = all visits of ``from_page``; ``ratio`` = jumps / page_views
     as a double, null when the page was never viewed (D9, D10, D11).
-    The flow has one row per step, so broadcasting it is bounded by the parameter.
+    The flow is a parameter (one row per step), so jumps and views are narrowed
+    with literal predicates before their aggregations (P8) -- no join, no broadcast.
     """
-    pairs = F.broadcast(target_flow_pairs(visits.sparkSession, flow))
-    wanted = pairs.select("from_page", "to_page")
-    jumps = (session_jumps(visits, slice_chars).join(wanted, ["from_page", "to_page"], "left_semi")
+    pages = parse_flow(flow)
+    steps = list(zip(pages[:-1], pages[1:]))
+    pairs = target_flow_pairs(visits.sparkSession, flow)
+    on_flow = reduce(lambda a, b: a | b, [(F.col("from_page") == a) & (F.col("to_page") == b)
+                                         for a, b in steps], F.lit(False))
+    jumps = (session_jumps(visits, slice_chars).where(on_flow)
              .groupBy("from_page", "to_page").agg(F.sum("n").cast("long").alias("jumps")))
-    views = (visits.join(F.broadcast(pairs.select(F.col("from_page").alias("page_id")).distinct()),
-                         "page_id", "left_semi")
-             .groupBy("page_id").agg(F.count(F.lit(1)).alias("page_views"))
-             .withColumnRenamed("page_id", "from_page"))
+    views = (visits.where(F.col("page_id").isin(sorted({a for a, _ in steps})))
+             .groupBy(F.col("page_id").alias("from_page")).agg(F.count(F.lit(1)).alias("page_views")))
     j = F.coalesce(F.col("jumps"), F.lit(0).cast("long"))
     v = F.coalesce(F.col("page_views"), F.lit(0).cast("long"))
     return (pairs.join(jumps, ["from_page", "to_page"], "left")
