@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +76,16 @@ class AdStreamJob:
 
     # -- the foreachBatch body ------------------------------------------------
     def process_batch(self, lines: DataFrame, batch_id: int) -> None:
+        # Two outputs read the batch (rejects, survivors): keep it for the length
+        # of this call so the source (e.g. Kafka) is fetched once. Persisted
+        # blocks lost with an executor are recomputed from the batch's fixed offsets.
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._process(lines, batch_id)
+        finally:
+            lines.unpersist()
+
+    def _process(self, lines: DataFrame, batch_id: int) -> None:
         spark = self.spark
         good, bad = decode_ad_log(lines)
         write_batch_snapshot(bad, self.path("rejects"), batch_id)
@@ -134,7 +145,7 @@ class AdStreamJob:
 
 
 def start_ad_stream(lines: DataFrame, state_root: str, checkpoint: str, threshold: int = ads.DEFAULT_THRESHOLD,
-                      processing_time: str | None = "5 seconds", available_now: bool = False, **kw):
+                    processing_time: str | None = "5 seconds", available_now: bool = False, **kw):
     """Start the stream: ``lines`` is a streaming ``value`` DataFrame (Kafka or files).
     Offsets and progress live in ``checkpoint`` (T7); tests use ``available_now``."""
     job = AdStreamJob(lines.sparkSession, state_root, threshold, **kw)
