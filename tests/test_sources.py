@@ -35,3 +35,10 @@ def test_task_id_and_parse_day(spark):
     df = with_task_id(spark.createDataFrame([("2019-11-26",), ("bad",)], "d string"), "run-1")
     rows = df.select("task_id", parse_day("d").alias("day")).collect()
     assert [(r.task_id, str(r.day)) for r in rows] == [("run-1", "2019-11-26"), ("run-1", "None")]
+
+
+def test_rounding_and_percent_text(spark):
+    from clickpulse.functions import half_up_1dp, percent_text
+    df = spark.createDataFrame([(12.25,), (12.24,), (0.05,), (100.0,)], "x double")
+    got = [r.t for r in df.select(percent_text(F.lit("a"), half_up_1dp("x")).alias("t")).collect()]
+    assert got == ["a:12.3%", "a:12.2%", "a:0.1%", "a:100.0%"]
