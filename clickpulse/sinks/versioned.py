@@ -40,7 +40,11 @@ class VersionedTable:
         return batch_id // self.every
 
     def _write(self, df: DataFrame, path: str) -> None:
-        w = df.select(*self.names).write.mode("overwrite")
+        # REBALANCE: AQE packs rows into few files per partition value (not one
+        # file per task and value) and still splits a value that is too large.
+        df = df.select(*self.names)
+        df = df.hint("rebalance", self.partition_by) if self.partition_by else df.hint("rebalance")
+        w = df.write.mode("overwrite")
         if self.partition_by:
             w = w.partitionBy(self.partition_by)
         w.parquet(path)

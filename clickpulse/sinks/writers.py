@@ -36,7 +36,7 @@ def replace_table(df: DataFrame, name_or_path: str, fmt: str = "parquet",
 def upsert_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Overwrite only the partitions present in ``df`` (K6: the days a batch
     touched). Values must be absolute totals, so a replay rewrites the same."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
@@ -45,7 +45,7 @@ def write_batch_snapshot(df: DataFrame, root: str, batch_id: int) -> str:
     One directory per batch, written whole, so readers never see a half-deleted
     key set (defect D6)."""
     path = os.path.join(root, f"batch={batch_id}")
-    df.write.mode("overwrite").parquet(path)
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
     return path
 
 

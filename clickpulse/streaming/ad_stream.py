@@ -13,9 +13,9 @@ Per batch ``n`` (T2, T5, T6, T8, T9):
    reach it are added to the blacklist for the *next* batches (T6, K9, K10);
 5. per-(day, area, city, ad) and per-(ad, minute) deltas update the running
    counts (T3, A9);
-6. snapshots are published for serving: the Q6 totals of the days this batch
-   touched (also upserted into a day-partitioned serving table), their Q7 top-3
-   JSON (K6, K7), and the Q8 last-hour trend (K8).
+6. outputs are published for serving: the Q6 totals of the days this batch
+   touched, upserted into a day-partitioned table (K6), their Q7 top-3 JSON
+   (K7), and the Q8 last-hour trend (K8), both as per-batch snapshots.
 
 Every write is keyed by the batch id and overwrites, so replaying a batch after
 a failure rewrites the same files (the reference's increments were not
@@ -118,8 +118,7 @@ class AdStreamJob:
 
     def publish(self, batch_id: int, days: list[str]) -> None:
         day_totals = self.area_counts.read_upto(batch_id, only=days)
-        write_batch_snapshot(day_totals, self.path("out", "day_area_city_ad_counts"), batch_id)
-        # Serving table: the touched days' partitions replaced by their absolute totals (K6).
+        # Q6 serving table: the touched days' partitions replaced by their absolute totals (K6).
         upsert_partitions(day_totals, self.path("serving", "day_area_city_ad_counts"), ["day"])
         top3 = ads.day_area_ad_top3(ads.day_area_ad_counts(day_totals), self.top_k)
         write_batch_snapshot(ads.day_area_ad_top3_json(top3), self.path("out", "day_area_ad_top3_json"),
