@@ -25,6 +25,7 @@ idempotent). All state lives under ``state_root`` -- a shared folder.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,13 @@ from clickpulse.sources.adlog import decode_ad_log, event_time
 CLICK_COLS = "ts BIGINT, area STRING, city STRING, userid STRING, adid STRING"
 
 
+def _together(*actions) -> None:
+    """Run independent Spark actions as concurrent jobs; re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        for f in [pool.submit(a) for a in actions]:
+            f.result()
+
+
 def newer_than_day(days: int):
     """Counter retention: keep the newest ``days`` days (by the ``day`` text key)."""
     def keep(df: DataFrame) -> DataFrame:
@@ -100,30 +108,45 @@ class AdStreamJob:
         # batch's time span), used as partition filters on the day-keyed state.
         days = [r.day for r in survivors.select(day_of(event_time("ts")).alias("day")).distinct().collect()]
 
+        # Independent writes run as concurrent Spark jobs (one thread each), in
+        # two waves; each wave only reads what earlier waves wrote.
         delta = ads.user_day_ad_counts(survivors)
-        self.counters.write_delta(delta, batch_id)
-        totals = self.counters.read_upto(batch_id, only=days).join(
-            delta.select("day", "userid", "adid"), ["day", "userid", "adid"], "left_semi")
-        crossed = totals.where(F.col("clicks") >= self.threshold).select("userid").distinct()
-        self.blacklist.write_delta(crossed, batch_id)
-
-        self.area_counts.write_delta(ads.day_area_city_ad_counts(survivors), batch_id)
         minute_delta = (survivors.select("adid", minute_of(event_time("ts")).alias("minute_ts"))
                         .groupBy("adid", "minute_ts").agg(F.count(F.lit(1)).alias("clicks")))
-        self.minute_counts.write_delta(minute_delta, batch_id)
+        _together(lambda: self.counters.write_delta(delta, batch_id),
+                  lambda: self.area_counts.write_delta(ads.day_area_city_ad_counts(survivors), batch_id),
+                  lambda: self.minute_counts.write_delta(minute_delta, batch_id))
+
+        def update_blacklist():
+            totals = self.counters.read_upto(batch_id, only=days).join(
+                delta.select("day", "userid", "adid"), ["day", "userid", "adid"], "left_semi")
+            crossed = totals.where(F.col("clicks") >= self.threshold).select("userid").distinct()
+            self.blacklist.write_delta(crossed, batch_id)
+
+        _together(update_blacklist, *self.publishers(batch_id, days))
+        _together(*[lambda t=t: t.maybe_compact(batch_id)
+                    for t in (self.counters, self.blacklist, self.area_counts, self.minute_counts)])
+
+    def publishers(self, batch_id: int, days: list[str]) -> list:
+        """The published outputs of a batch, as independent write actions."""
+        day_totals = self.area_counts.read_upto(batch_id, only=days)
 
-        self.publish(batch_id, days)
-        for t in (self.counters, self.blacklist, self.area_counts, self.minute_counts):
-            t.maybe_compact(batch_id)
+        def q6():
+            # Q6 serving table: the touched days' partitions replaced by their absolute totals (K6).
+            upsert_partitions(day_totals, self.path("serving", "day_area_city_ad_counts"), ["day"])
+
+        def q7():
+            top3 = ads.day_area_ad_top3(ads.day_area_ad_counts(day_totals), self.top_k)
+            write_batch_snapshot(ads.day_area_ad_top3_json(top3), self.path("out", "day_area_ad_top3_json"),
+                                 batch_id)
+
+        def q8():
+            write_batch_snapshot(self.trend(batch_id), self.path("out", "ad_minute_trend"), batch_id)
+
+        return [q6, q7, q8]
 
     def publish(self, batch_id: int, days: list[str]) -> None:
-        day_totals = self.area_counts.read_upto(batch_id, only=days)
-        # Q6 serving table: the touched days' partitions replaced by their absolute totals (K6).
-        upsert_partitions(day_totals, self.path("serving", "day_area_city_ad_counts"), ["day"])
-        top3 = ads.day_area_ad_top3(ads.day_area_ad_counts(day_totals), self.top_k)
-        write_batch_snapshot(ads.day_area_ad_top3_json(top3), self.path("out", "day_area_ad_top3_json"),
-                             batch_id)
-        write_batch_snapshot(self.trend(batch_id), self.path("out", "ad_minute_trend"), batch_id)
+        _together(*self.publishers(batch_id, days))
 
     # -- state readers ---------------------------------------------------------
     def trend(self, batch_id: int) -> DataFrame:
