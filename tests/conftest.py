@@ -15,6 +15,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
     ckpt = tempfile.mkdtemp(prefix="clickpulse-test-ckpt-")
+    warehouse = tempfile.mkdtemp(prefix="clickpulse-test-warehouse-")
     s = (SparkSession.builder.master("local[*]").appName("clickpulse-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
@@ -22,6 +23,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.checkpoint.dir", ckpt)
+         .config("spark.sql.warehouse.dir", warehouse)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

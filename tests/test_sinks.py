@@ -96,3 +96,9 @@ def test_retention_at_compaction(spark, scratch):
     days.maybe_compact(0)
     assert sorted(r.day for r in days.read_before(1).collect()) == ["2019-11-25", "2019-11-26"]
     assert [r.clicks for r in days.read_before(1, only=["2019-11-26"]).collect()] == [2]
+
+
+def test_replace_catalog_table(spark):
+    replace_table(spark.range(5), "clickpulse_replace_probe")
+    replace_table(spark.range(3), "clickpulse_replace_probe")     # drop-and-replace, rerunnable
+    assert spark.table("clickpulse_replace_probe").count() == 3
