@@ -164,3 +164,18 @@ def test_batch_of_only_bad_lines(spark, scratch):
     assert [r.userid for r in job.blacklisted(2).collect()] == ["u1"]
     totals = {(r.day, r.adid): r.clicks for r in job.area_counts.read_upto(2).collect()}
     assert totals == {("2019-11-26", "1"): 4}
+
+
+def test_processing_time_trigger(spark, scratch):
+    src = os.path.join(scratch, "in")
+    _write_batches(src, [[_line("2019-11-26 10:00:00", "u1", "1")], [_line("2019-11-26 10:00:01", "u2", "2")]])
+    lines = read_ad_stream(spark, src, max_files_per_trigger=1)
+    job, q = start_ad_stream(lines, os.path.join(scratch, "state"), os.path.join(scratch, "ckpt"),
+                             threshold=100, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert job.survivors().count() == 2
+    assert {r.adid: r.clicks for r in job.area_counts.read_upto(q.lastProgress["batchId"]).collect()} \
+        == {"1": 1, "2": 1}
