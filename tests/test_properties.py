@@ -98,3 +98,29 @@ def test_top_k_is_subset_with_rank_at_most_k(spark, rows, k):
         vals = sorted((v for gg, v in rows if gg == g), reverse=True)
         cutoff = vals[min(k, len(vals)) - 1]
         assert sorted(r.v for r in top if r.g == g) == sorted(v for v in vals if v >= cutoff)
+
+
+ids = st.lists(st.integers(1, 6), min_size=1, max_size=3, unique=True)
+action_rows = st.lists(st.tuples(st.one_of(st.just(-1), st.integers(1, 6)),
+                                 st.one_of(st.none(), ids), st.one_of(st.none(), ids)), max_size=25)
+
+
+@SETTINGS
+@given(action_rows)
+def test_category_counts_equal_brute_force(spark, rows):
+    data = [dict(click_category_id=c, click_product_id=(1 if c != -1 else -1),
+                 order_category_ids=None if o is None else ",".join(map(str, o)),
+                 pay_category_ids=None if p is None else ",".join(map(str, p))) for c, o, p in rows]
+    got = sorted(map(tuple, op.category_action_counts(h.visits(spark, data))
+                     .select("category_id", "click_count", "order_count", "pay_count").collect()))
+    want = defaultdict(lambda: [0, 0, 0])
+    for c, o, p in rows:                       # first match wins: click, else order, else pay
+        if c != -1:
+            want[c][0] += 1
+        elif o is not None:
+            for x in o:
+                want[x][1] += 1
+        elif p is not None:
+            for x in p:
+                want[x][2] += 1
+    assert got == sorted((k, *v) for k, v in want.items())
