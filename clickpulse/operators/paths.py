@@ -98,7 +98,8 @@ def page_jump_ratio(visits: DataFrame, flow: str | list = "1,2,3,4,5,6,7",
     """
     pages = parse_flow(flow)
     steps = list(zip(pages[:-1], pages[1:]))
-    pairs = target_flow_pairs(visits.sparkSession, flow)
+    # one row per distinct jump, as when results are keyed by the "x-y" text
+    pairs = target_flow_pairs(visits.sparkSession, flow).select("from_page", "to_page").distinct()
     on_flow = reduce(lambda a, b: a | b, [(F.col("from_page") == a) & (F.col("to_page") == b)
                                          for a, b in steps], F.lit(False))
     jumps = (session_jumps(visits, slice_chars).where(on_flow)

@@ -115,6 +115,9 @@ def test_flow_zero_views_and_unseen_pairs(spark):
     ])
     got = {r.jump: (r.jumps, r.page_views, r.ratio) for r in op.page_jump_ratio(v, "1,2,9,1").collect()}
     assert got == {"1-2": (1, 2, 0.5), "2-9": (0, 1, 0.0), "9-1": (0, 0, None)}
+    # a flow that repeats a step reports each jump once
+    rows = [(r.jump, r.jumps) for r in op.page_jump_ratio(v, "1,2,1,2").collect()]
+    assert sorted(rows) == [("1-2", 1), ("2-1", 1)]
 
 
 # -- Q4: area top products and the city share text ----------------------------------
