@@ -102,3 +102,18 @@ def test_replace_catalog_table(spark):
     replace_table(spark.range(5), "clickpulse_replace_probe")
     replace_table(spark.range(3), "clickpulse_replace_probe")     # drop-and-replace, rerunnable
     assert spark.table("clickpulse_replace_probe").count() == 3
+
+
+def test_state_read_prunes_to_touched_days(spark, scratch):
+    from clickpulse.plans import plan_text
+    t = VersionedTable(spark, os.path.join(scratch, "pd"), "day STRING, k STRING, clicks BIGINT",
+                       summed(["day", "k"]), every=2, partition_by="day")
+    rows = [(f"2019-11-{d:02d}", "a", 1) for d in range(1, 21)]
+    t.write_delta(spark.createDataFrame(rows, "day string, k string, clicks bigint"), 0)
+    t.maybe_compact(0)
+    t.write_delta(spark.createDataFrame(rows, "day string, k string, clicks bigint"), 1)
+    t.maybe_compact(1)
+    df = t.read_before(2, only=["2019-11-05"])
+    text = plan_text(df)
+    assert text.count("PartitionFilters: [isnotnull(day") >= 1 and "2019-11-05" in text
+    assert [(r.day, r.clicks) for r in df.collect()] == [("2019-11-05", 2)]
