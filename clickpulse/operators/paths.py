@@ -39,9 +39,12 @@ def page_views(visits: DataFrame) -> DataFrame:
     return visits.groupBy("page_id").agg(F.count(F.lit(1)).alias("page_views"))
 
 
-def session_jumps(visits: DataFrame, slice_chars: int = MINUTE_SLICE) -> DataFrame:
+def session_jumps(visits: DataFrame, slice_chars: int = MINUTE_SLICE, views: bool = False) -> DataFrame:
     """Consecutive (from_page, to_page) pairs inside sessions, pre-counted:
-    (from_page, to_page, n) -- sum ``n`` per pair for the number of jumps."""
+    (from_page, to_page, n) -- sum ``n`` per pair for the number of jumps.
+
+    ``views=True`` adds (page, null, n) records whose ``n`` sum to the visits of
+    each page, so page views come out of the same scan and chain."""
     rows = visits.select("session_id", "action_time", "event_id", "page_id",
                          F.substring("action_time", 1, slice_chars).alias("slice"))
     w = Window.partitionBy("session_id", "slice").orderBy("action_time", "event_id")
@@ -63,7 +66,11 @@ def session_jumps(visits: DataFrame, slice_chars: int = MINUTE_SLICE) -> DataFra
     across = F.when(F.col("next_page").isNull() & F.col("next_first").isNotNull(),
                     F.struct(F.col("page_id").alias("from_page"), F.col("next_first").alias("to_page"),
                              F.lit(1).cast("long").alias("n")))
-    return (linked.select(F.explode(F.array_compact(F.array(pair, across))).alias("j"))
+    parts = [pair, across]
+    if views:
+        parts.append(F.struct(F.col("page_id").alias("from_page"), F.lit(None).cast("long").alias("to_page"),
+                              F.col("n").alias("n")))
+    return (linked.select(F.explode(F.array_compact(F.array(*parts))).alias("j"))
             .select("j.from_page", "j.to_page", "j.n"))
 
 
@@ -94,7 +101,8 @@ def page_jump_ratio(visits: DataFrame, flow: str | list = "1,2,3,4,5,6,7",
     ``page_views`` = all visits of ``from_page``; ``ratio`` = jumps / page_views
     as a double, null when the page was never viewed (D9, D10, D11).
     The flow is a parameter (one row per step), so jumps and views are narrowed
-    with literal predicates before their aggregations (P8) -- no join, no broadcast.
+    with literal predicates before their aggregation (P8) -- no join, no broadcast;
+    both come from one scan of the visits.
     """
     pages = parse_flow(flow)
     steps = list(zip(pages[:-1], pages[1:]))
@@ -102,14 +110,18 @@ def page_jump_ratio(visits: DataFrame, flow: str | list = "1,2,3,4,5,6,7",
     pairs = target_flow_pairs(visits.sparkSession, flow).select("from_page", "to_page").distinct()
     on_flow = reduce(lambda a, b: a | b, [(F.col("from_page") == a) & (F.col("to_page") == b)
                                          for a, b in steps], F.lit(False))
-    jumps = (session_jumps(visits, slice_chars).where(on_flow)
-             .groupBy("from_page", "to_page").agg(F.sum("n").cast("long").alias("jumps")))
-    views = (visits.where(F.col("page_id").isin(sorted({a for a, _ in steps})))
-             .groupBy(F.col("page_id").alias("from_page")).agg(F.count(F.lit(1)).alias("page_views")))
-    j = F.coalesce(F.col("jumps"), F.lit(0).cast("long"))
+    is_view = F.col("to_page").isNull() & F.col("from_page").isin(sorted({a for a, _ in steps}))
+    # Jumps and views from one scan and one chain: per flow page, its views and a
+    # map to_page -> jumps (bounded by the flow length), then joined to the flow.
+    counts = (session_jumps(visits, slice_chars, views=True).where(on_flow | is_view)
+              .groupBy("from_page", "to_page").agg(F.sum("n").cast("long").alias("n")))
+    per_page = counts.groupBy("from_page").agg(
+        F.max(F.when(F.col("to_page").isNull(), F.col("n"))).alias("page_views"),
+        F.map_from_entries(F.collect_list(F.when(F.col("to_page").isNotNull(), F.struct("to_page", "n"))))
+        .alias("jump_map"))
+    j = F.coalesce(F.try_element_at(F.col("jump_map"), F.col("to_page")), F.lit(0).cast("long"))
     v = F.coalesce(F.col("page_views"), F.lit(0).cast("long"))
-    return (pairs.join(jumps, ["from_page", "to_page"], "left")
-            .join(views, "from_page", "left")
+    return (pairs.join(per_page, "from_page", "left")
             .select(F.concat_ws("-", F.col("from_page").cast("string"), F.col("to_page").cast("string"))
                     .alias("jump"),
                     "from_page", "to_page",
