@@ -1,7 +1,7 @@
 """Q4: top products per area by clicks, with the city share text.
 
 Plan shape (checked with ``explain``):
-1. clicks x cities (a dimension: broadcast by the planner's size check) -> partial+final count per
+1. clicks x cities (a dimension, broadcast after its size check) -> partial+final count per
    (area, city, product): the only shuffle that sees click rows, and it carries
    pre-aggregated counts.
 2. per (area, product) total -> ``rank()`` per area, ``rk <= k``: WindowGroupLimit

@@ -1,17 +1,19 @@
 """Join strategy policy.
 
-1. Dimension joins (cities, products, users, suppliers) carry no hint. The
-   planner broadcasts a side only when its estimated size is below
+1. Dimension tables built by the adapters (cities, products, users) are
+   size-checked once with ``broadcast_if_small`` and carry a broadcast hint only
+   when they fit; operators add no hints to caller-supplied dimensions. Without
+   a hint the planner broadcasts only when the estimated size is below
    ``spark.sql.autoBroadcastJoinThreshold``; AQE re-checks with the measured
-   shuffle size (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and turns a
-   sort-merge join into a broadcast join only when the built side really is
-   small. Beyond the threshold the join stays a shuffle join, and AQE splits
+   shuffle size. Beyond that the join stays a shuffle join, and AQE splits
    skewed partitions (``spark.sql.adaptive.skewJoin.enabled``).
-2. An explicit ``broadcast()`` only where the size is bounded by construction:
-   the top-n of a ``limit(n)`` (Q1 -> Q2), the steps of a page-flow parameter (Q3).
-3. ``broadcast_if_small`` for a caller-supplied frame that must be broadcast to
-   be useful: it checks the bound with one bounded job (``limit(n + 1).count()``
-   reads at most ``n + 1`` rows) and otherwise leaves the join to the planner.
+2. An explicit ``broadcast()`` without a check only where the size is bounded
+   by construction: the top-n of a ``limit(n)`` (Q1 -> Q2).
+3. A derived side that must not force a shuffle of the big side (Q5's crossing
+   table) is materialised first and then passed through ``broadcast_if_small``.
+
+``broadcast_if_small`` checks the bound with one bounded job
+(``limit(n + 1).count()`` reads at most ``n + 1`` rows).
 """
 
 from __future__ import annotations
