@@ -18,3 +18,19 @@ def test_offline_job_writes_four_tables_with_task_id(spark, scratch):
         assert df.count() > 0 and {r.task_id for r in df.select("task_id").distinct().collect()} == {"t-1"}
     ratio = spark.read.parquet(os.path.join(scratch, "jump_page_ratio"))
     assert ratio.count() == 6
+
+
+def test_command_line_offline(scratch):
+    import json
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = os.path.join(scratch, "reports")
+    params = json.dumps({"startDate": "2024-01-01", "endDate": "2024-01-31"})
+    r = subprocess.run([sys.executable, "-m", "clickpulse", "offline", "--tables", SF_SMALL, "--out", out,
+                        "--params", params, "--task-id", "cli"],
+                       cwd=root, capture_output=True, text=True, timeout=600,
+                       env={**os.environ, "PYSPARK_SUBMIT_ARGS": "--master local[2] pyspark-shell"})
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert json.loads(r.stdout.strip().splitlines()[-1]) == {"task_id": "cli", "tables": list(OFFLINE_TABLES)}
+    assert sorted(os.listdir(out)) == sorted(OFFLINE_TABLES)
