@@ -40,3 +40,9 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["area", "product_id", "product_name", "product_count", "city_click_ratio", "rk"]
     assert df.count() > 0
+
+
+def test_limits_only_where_they_are_the_feature():
+    for key, sql in E.oracle_sql().items():
+        if " LIMIT " in sql.upper().replace("\n", " "):
+            assert "top10" in key, key
