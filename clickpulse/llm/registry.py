@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpulse.llm import quality
+from clickpulse.llm import quality, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,9 +15,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_read(spark, sf_dir, "documents"))
 
 
+def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op9_simhash_components": op9_simhash_components,
     }
 
 
