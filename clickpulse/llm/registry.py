@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickpulse.llm import quality, simhash
+from clickpulse.llm import quality, repeats, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,6 +16,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_read(spark, sf_dir, "documents"))
 
 
+def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(_read(spark, sf_dir, "documents"))
+    return out.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -22,6 +28,7 @@ def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_repeated_bytes": op2_repeated_bytes,
         "op9_simhash_components": op9_simhash_components,
     }
 
@@ -57,7 +64,26 @@ SELECT *, NOT base_failed AND 100 * dup_line_chars <= {quality.MOST_REPEATED_LIN
   AND 100 * n_symbols <= {quality.MOST_SYMBOLS} * n_words AND {limits} AS kept FROM b"""
 
 
+_OP2_SQL = """WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT r, doc_id, i, substr(x, 2 * i + 1, 100) AS s
+      FROM (SELECT r, doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS i FROM d WHERE length(x) >= 100)),
+gone AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS m FROM w) WHERE doc_id > m),
+runs AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS k
+         FROM (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM gone)),
+spans AS (SELECT r, k, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY r, k),
+pieces AS (SELECT r, a, substr(x, 2 * coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) + 1,
+                          2 * (a - coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0))) AS piece
+           FROM (SELECT r, a, b FROM spans UNION ALL SELECT r, length(x) // 2, NULL FROM d) JOIN d USING (r)),
+kept AS (SELECT r, string_agg(piece, '' ORDER BY a) AS x FROM pieces GROUP BY r),
+n AS (SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT d.doc_id, length(d.x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(kept.x)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN n USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": _op1_sql(),
+        "op2_repeated_bytes": _OP2_SQL,
     }
