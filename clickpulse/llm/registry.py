@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import quality, repeats, simhash
+from clickpulse.llm import language, quality, repeats, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_read(spark, sf_dir, "documents"))
+
+
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -29,6 +33,7 @@ def queries() -> dict:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_repeated_bytes": op2_repeated_bytes,
+        "op3_language_id": op3_language_id,
         "op9_simhash_components": op9_simhash_components,
     }
 
