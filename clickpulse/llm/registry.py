@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import language, quality, repeats, simhash
+from clickpulse.llm import language, packing, quality, repeats, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_read(spark, sf_dir, "documents"))
 
 
+def op8_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def queries() -> dict:
         "op1_quality_rules": op1_quality_rules,
         "op2_repeated_bytes": op2_repeated_bytes,
         "op3_language_id": op3_language_id,
+        "op8_length_buckets": op8_length_buckets,
         "op9_simhash_components": op9_simhash_components,
     }
 
