@@ -30,13 +30,14 @@ carried in a struct, so their names can't clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from clickpulse.llm import textcols as T
 
@@ -323,3 +324,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     earlier = texts.groupBy("bucket").applyInArrow(_meet_texts(cfg), _ANSWER)
     schema = StructType([StructField("rest", rows.schema["rest"].dataType), *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")), StructField("kept", BinaryType())])
     return by_chunk.cogroup(held.unionByName(earlier).groupBy("chunk")).applyInArrow(_cut(cfg), schema)
+
+
+def _whole_characters(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for kept in batches:
+        yield pa.array([None if x is None else x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
+
+
+whole_characters = F.arrow_udf(_whole_characters, StringType())
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs``, all columns, their texts without the repeats (a character cut in two goes with them);
+    ``chars_col``, if there is one, is counted anew."""
+    out = remove_repeats(docs, id_col, text_col).select("rest", whole_characters("kept").alias("kept"))
+    new = {text_col: F.col("kept")}
+    if chars_col in docs.columns:
+        new[chars_col] = F.length("kept").cast(docs.schema[chars_col].dataType)
+    return out.select(*(new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns))
