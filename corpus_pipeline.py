@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import quality
+from clickpulse.llm import language, packing, quality, repeats, simhash
 from clickpulse.session import scratch_path
 
 
@@ -21,8 +21,32 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.where(quality.accepted(F.col("text")))
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that is recognised; learned from the labels of these documents."""
+    return language.accepted(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.one_of_each(docs)
+
+
+def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without the byte strings that an earlier one has."""
+    return repeats.without_repeats(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's bucket and batch."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality_rules", quality_stage),
+    ("language_id", language_stage),
+    ("simhash_near_dedup", near_duplicate_stage),
+    ("suffix_array_dedup", repeats_stage),
+    ("packing", packing_stage),
 ]
 
 #: A trained classifier and a byte-wise suffix sort are not SQL: tests hold ``run`` against plain versions.
