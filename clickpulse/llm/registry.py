@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import chat, language, packing, quality, repeats, simhash
+from clickpulse.llm import byte_bpe, chat, language, packing, quality, repeats, simhash, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,6 +36,14 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chats(own.unionByName(extra)))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encoder(path, public_tokenizers.PATTERN)
+    back = byte_bpe.decoder(path, public_tokenizers.PATTERN)
+    coded = _read(spark, sf_dir, "documents").select("doc_id", ids("text").alias("ids"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2(back("ids"), 256).alias("decoded_sha256"))
+
+
 def op8_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
@@ -43,14 +52,20 @@ def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_repeated_bytes": op2_repeated_bytes,
         "op3_language_id": op3_language_id,
         "op6_chat_format": op6_chat_format,
+        "op7_byte_bpe": op7_byte_bpe,
         "op8_length_buckets": op8_length_buckets,
         "op9_simhash_components": op9_simhash_components,
+        "op10_token_counts": op10_token_counts,
     }
 
 
