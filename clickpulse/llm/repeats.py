@@ -44,7 +44,7 @@ from clickpulse.llm import textcols as T
 WINDOW = 50
 #: Length of the k-grams; a window holds WINDOW - GRAM + 1 of them.
 GRAM = 26
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Grams hashed at a time.
 STEP = 1 << 18
 HASH_BITS = 48
