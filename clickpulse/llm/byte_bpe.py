@@ -20,6 +20,7 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
@@ -143,7 +144,7 @@ def decoder(path: str, pattern: str):
         own = bpe(path, pattern)
         for lists in batches:
             ids = lists.flatten().to_numpy(zero_copy_only=False)
-            sizes = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+            sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(sizes)])
             out, offsets = own.decode(ids)
             yield T.binary(out, offsets[ends]).cast(pa.binary())
