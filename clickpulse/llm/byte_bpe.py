@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from clickpulse.llm import textcols as T
+from clickpulse.llm.merges import Merges
 
-MEMO_PIECES, MEMO_PAIRS, MEMO_BYTES = 300_000, 2_000_000, 64
+MEMO_PIECES, MEMO_PAIRS, MEMO_BYTES = 700_000, 1_000_000, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -35,17 +36,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The merges themselves, lowest rank first: for pairs of tokens, so on short input only."""
-    parts = [piece[i:i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        rank, i = min((ranks.get(parts[i] + parts[i + 1], len(ranks) + 1), i) for i in range(len(parts) - 1))
-        if rank > len(ranks):
-            break
-        parts[i:i + 2] = [parts[i] + parts[i + 1]]
-    return [ranks[p] for p in parts]
-
-
 class ByteBpe:
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
@@ -56,7 +46,8 @@ class ByteBpe:
             self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self.automaton.make_automaton()
         self.pieces: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.merges = Merges(self.ranks)
+        self.pairs: dict[int, bool] = {}
         size = max(self.tokens) + 1
         self.sizes = np.zeros(size, dtype=np.int64)
         for rank, token in self.tokens.items():
@@ -66,40 +57,44 @@ class ByteBpe:
 
     def holds(self, a: int, b: int) -> bool:
         """Whether the two tokens stay apart, and whole, beside each other."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= MEMO_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[a, b] = merged(self.tokens[a] + self.tokens[b], self.ranks) == [a, b]
-        return known
+        if len(self.pairs) >= MEMO_PAIRS:
+            self.pairs.clear()
+        found = self.pairs[a << 32 | b] = self.merges.apart(self.tokens[a], self.tokens[b])
+        return found
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        at: list[list[tuple[int, int]]] = [[] for _ in piece]
-        for end, (size, rank) in self.automaton.iter(piece.decode("latin-1")):
-            at[end - size + 1].append((size, rank))  # ascending sizes at each start, as ends ascend
-        taken: list[tuple[int, int]] = []  # (index in at[place], place)
-        dead = bytearray(len(piece) + 1)  # places from which the rest can't be encoded
-        place, k = 0, len(at[0]) - 1
-        last = -1
-        while place < len(piece):
+        n = len(piece)
+        at: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        for end, match in self.automaton.iter(piece.decode("latin-1")):
+            at[end + 1 - match[0]].append(match)  # ascending sizes at each start, as ends ascend
+        taken: list[tuple[int, int, int]] = []  # place, number in at[place], token
+        dead = bytearray(n + 1)  # places from which the rest can't be encoded
+        known = self.pairs.get
+        place, k, last = 0, len(at[0]) - 1, -1
+        while place < n:
+            here = at[place]
             while k >= 0:
-                size, rank = at[place][k]
-                if not dead[place + size] and (last < 0 or self.holds(last, rank)):
-                    break
+                size, rank = here[k]
+                if not dead[place + size]:
+                    if last < 0:
+                        break
+                    fits = known(last << 32 | rank)
+                    if self.holds(last, rank) if fits is None else fits:
+                        break
                 k -= 1
             if k >= 0:
-                taken.append((k, place))
+                taken.append((place, k, rank))
                 place, last = place + size, rank
-                k = len(at[place]) - 1 if place < len(piece) else -1
+                k = len(at[place]) - 1 if place < n else -1
             else:
                 dead[place] = 1
-                k, place = taken.pop()
+                place, k, _ = taken.pop()
                 k -= 1
-                last = at[taken[-1][1]][taken[-1][0]][1] if taken else -1
-        return [at[p][i][1] for i, p in taken]
+                last = taken[-1][2] if taken else -1
+        return [rank for _, _, rank in taken]
 
     def piece_ids(self, piece: str) -> bytes:
         """The ids as int32 bytes, memoised for short pieces."""
