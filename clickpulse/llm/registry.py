@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import byte_bpe, chat, language, neighbours, packing, quality, repeats, simhash, token_counts
+from clickpulse.llm import byte_bpe, chat, language, lm_score, neighbours, packing, quality, repeats, simhash, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_read(spark, sf_dir, "documents"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -65,6 +69,7 @@ def queries() -> dict:
         "op1_quality_rules": op1_quality_rules,
         "op2_repeated_bytes": op2_repeated_bytes,
         "op3_language_id": op3_language_id,
+        "op4_lm_score": op4_lm_score,
         "op5_nearest_vectors": op5_nearest_vectors,
         "op6_chat_format": op6_chat_format,
         "op7_byte_bpe": op7_byte_bpe,

@@ -43,8 +43,14 @@ class Slice:
         return per_segment(flags, self.offsets)
 
 
-def per_segment(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sum of ``values`` in each segment between neighbouring offsets."""
+def per_segment(values: np.ndarray, offsets: np.ndarray, kind: type = np.int64) -> np.ndarray:
+    """Sum of ``values`` in each segment between neighbouring offsets (each segment's own sum, if not of integers)."""
+    if kind is not np.int64:
+        out = np.zeros(len(offsets) - 1, dtype=kind)
+        full = np.flatnonzero(np.diff(offsets))
+        if len(full):
+            out[full] = np.add.reduceat(values, offsets[:-1][full])
+        return out
     run = np.zeros(len(values) + 1, dtype=np.int64)
     np.cumsum(values, out=run[1:])
     return run[offsets[1:]] - run[offsets[:-1]]
@@ -115,10 +121,25 @@ def binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, dtype=np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
+def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, part: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """The segments' elements, back to back, and their offsets; indices are made for some elements at a time."""
+    offsets = np.zeros(len(lengths) + 1, dtype=np.int64)
+    np.cumsum(lengths, out=offsets[1:])
+    out = np.empty(offsets[-1], dtype=data.dtype)
+    lo = 0
+    while lo < len(lengths):
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + part, side="right")) - 1)
+        if hi == lo + 1:
+            out[offsets[lo]:offsets[hi]] = data[starts[lo]:starts[lo] + lengths[lo]]
+        else:
+            out[offsets[lo]:offsets[hi]] = data[ragged(starts[lo:hi], lengths[lo:hi])[0]]
+        lo = hi
+    return out, offsets
+
+
 def segment_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Equal codes exactly for equal byte segments."""
-    index, offsets = ragged(starts, ends - starts)
-    return binary(data[index], offsets).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return binary(*gather(data, starts, ends - starts)).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
