@@ -35,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
@@ -48,6 +49,8 @@ CHUNK_BYTES = 4 << 20
 #: Grams hashed at a time.
 STEP = 1 << 18
 HASH_BITS = 48
+#: Stretches handled at a time.
+PART = 1 << 14
 NO_ID = np.iinfo(np.int64).max
 
 _SYMBOL = T.mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
@@ -167,7 +170,7 @@ class Chunk:
                 size = self.last[lo:hi] - self.first[lo:hi] + self.window
                 out["bucket"].append(b)
                 out["sizes"].append(size.astype("<u2").tobytes())
-                out["text"].append(self.data[T.ragged(self.first[lo:hi], size)[0]].tobytes())
+                out["text"].append(T.gather(self.data, self.first[lo:hi], size)[0].tobytes())
                 out["ids"].append(self.low[lo:hi].astype("<i8").tobytes())
                 out["hashes"].append(_pack(self.hash[lo:hi]))
         return out
@@ -183,18 +186,21 @@ class Chunk:
                 flags.append(_flags(answers[b], at[hi] - at[lo]))
         earlier = np.concatenate(flags) if flags else np.zeros(0, dtype=bool)
         starts, last = self.runs.first[self.picked], self.runs.last[self.picked]
-        source, bounds = T.ragged(at[self.code], n[self.code])
-        gone = earlier[source] | np.repeat(self.ids[self.runs.row[self.picked]] > self.low[self.code], last - starts + 1)
-        windows = T.ragged(starts, last - starts + 1)[0][gone]
-        run = np.zeros(len(self.data) + 1, np.int64)
-        run[windows + 1] = 1
+        gone, bounds = T.gather(earlier, at[self.code], n[self.code])
+        gone |= np.repeat(self.ids[self.runs.row[self.picked]] > self.low[self.code], np.diff(bounds))
+        run = np.zeros(len(self.data) + 1, np.int32)
+        for k in range(0, len(starts), PART):
+            own = slice(k, k + PART)
+            run[T.ragged(starts[own], last[own] - starts[own] + 1)[0] + 1] = gone[bounds[k]:bounds[min(k + PART, len(starts))]]
         np.cumsum(run, out=run)
-        back = np.maximum(np.arange(1, len(run)) - self.window, 0)
-        return run[1:] > run[back]
+        cover = run[1:].copy()  # windows from the last WINDOW places
+        if len(cover) >= self.window:
+            cover[self.window - 1:] -= run[:len(run) - self.window]
+        return cover > 0
 
 
 def _by_bucket(rows: pa.Table, step: int) -> dict[int, bytes]:
-    own = rows.filter(pa.compute.equal(rows.column("step"), step))
+    own = rows.filter(pc.equal(rows.column("step"), step))
     return dict(zip(own.column("bucket").to_pylist(), own.column("bits").to_pylist(), strict=True))
 
 
@@ -259,6 +265,26 @@ def _send_texts(cfg):
     return send
 
 
+def _earlier(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, hashes: np.ndarray, window: int) -> np.ndarray:
+    """For each stretch, each of its windows: does another one with a smaller id hold it."""
+    code = T.binary(data, offsets).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    n = int(code.max()) + 1
+    low = np.full(n, NO_ID)
+    np.minimum.at(low, code, ids)
+    sample = np.zeros(n, np.int64)
+    sample[code[::-1]] = np.arange(len(code))[::-1]
+    count = (np.diff(offsets) - window + 1)[sample]
+    # Only stretches that differ around the same gram can still share windows.
+    mates = np.unique(hashes[sample], return_inverse=True, return_counts=True)
+    mixed = np.flatnonzero(mates[2][mates[1]] > 1)
+    found = np.zeros(int(count.sum()), dtype=bool)  # by distinct stretch and window
+    base = np.concatenate([[0], np.cumsum(count)])
+    starts, _ = T.ragged(offsets[sample[mixed]], count[mixed])
+    owner = np.repeat(low[mixed], count[mixed])
+    found[T.ragged(base[mixed], count[mixed])[0]] = repeated_low(data, starts, owner, window) < owner
+    return T.gather(found, base[code], count[code])[0] | np.repeat(low[code] < ids, count[code])
+
+
 def _meet_texts(cfg):
     window = cfg[0]
 
@@ -268,23 +294,18 @@ def _meet_texts(cfg):
         hashes = np.concatenate([_unpack(x) for x in rows.column("hashes").to_pylist()])
         size, ids, data = np.concatenate(sizes), np.concatenate(read("ids", "<i8")).astype(np.int64), np.concatenate(read("text", np.uint8))
         offsets = np.concatenate([[0], np.cumsum(size)])
-        code = T.binary(data, offsets).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        n = int(code.max()) + 1
-        low = np.full(n, NO_ID)
-        np.minimum.at(low, code, ids)
-        sample = np.zeros(n, np.int64)
-        sample[code[::-1]] = np.arange(len(code))[::-1]
-        # Only stretches that differ around the same gram can still share windows.
-        mates = np.unique(hashes[sample], return_inverse=True, return_counts=True)
-        mixed = np.flatnonzero(mates[2][mates[1]] > 1)
-        count = size[sample] - window + 1
-        earlier = np.zeros(int(count.sum()), dtype=bool)  # by distinct stretch and window
-        base = np.concatenate([[0], np.cumsum(count)])
-        starts, _ = T.ragged(offsets[sample[mixed]], count[mixed])
-        owner = np.repeat(low[mixed], count[mixed])
-        earlier[T.ragged(base[mixed], count[mixed])[0]] = repeated_low(data, starts, owner, window) < owner
-        flags = earlier[T.ragged(base[code], count[code])[0]] | np.repeat(low[code] < ids, count[code])
-        ends = np.concatenate([[0], np.cumsum(count[code])])
+        ends = np.concatenate([[0], np.cumsum(size - window + 1)])
+        flags = np.zeros(ends[-1], dtype=bool)
+        order = np.argsort(hashes, kind="stable")
+        borders = np.flatnonzero(np.concatenate([[True], hashes[order[1:]] != hashes[order[:-1]], [True]]))
+        lo = 0
+        while lo < len(order):  # some hashes at a time: equal windows have equal ones
+            hi = borders[min(np.searchsorted(borders, lo + PART), len(borders) - 1)]
+            own = order[lo:hi]
+            text, edges = T.gather(data, offsets[own], size[own])
+            found = _earlier(text, edges, ids[own], hashes[own], window)
+            flags[T.ragged(ends[own], size[own] - window + 1)[0]] = found
+            lo = hi
         at = np.cumsum([0, *(len(x) for x in sizes)])
         bits = [np.packbits(flags[ends[a]:ends[b]]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
         return pa.table({"chunk": rows.column("chunk"), "step": pa.array([2] * len(bits), pa.int32()), "bucket": rows.column("bucket"), "bits": pa.array(bits, pa.binary())})
