@@ -4,8 +4,8 @@ Input per group: an array of ``struct(c, city)`` (one entry per city -- bounded
 by the number of cities, never by rows) and the group total ``n``.
 Output text: the ``top`` cities by (count desc, name asc) as ``name:pct%`` with
 ``pct = floor(c * 1000 / n + 0.5) / 10``, then the residual bucket
-``label:other%`` with ``other = half-up(100 - sum of the shown pct)``
-(defect D1 fixed), always emitted, comma-joined.
+``label:other%``, the same share of the clicks of all other cities (defect D1
+fixed; from counts, so it is never negative), always emitted, comma-joined.
 """
 
 from __future__ import annotations
@@ -27,6 +27,6 @@ def share_text(city_counts: str, total: str, top: int = 2, label: str = OTHER_LA
     shown = (f"slice(array_sort(transform(`{city_counts}`, x -> struct(-x.c AS nc, x.city AS city))), 1, {top})")
     pct = f"floor(-x.nc * 1000.0D / `{total}` + 0.5D) / 10.0D"
     head = f"array_join(transform({shown}, x -> concat(x.city, ':', CAST({pct} AS STRING), '%')), ',')"
-    used = f"aggregate({shown}, 0.0D, (acc, x) -> acc + {pct})"
-    other = f"floor((100.0D - {used}) * 10.0D + 0.5D) / 10.0D"
+    rest = f"(`{total}` - aggregate({shown}, 0L, (acc, x) -> acc - x.nc))"
+    other = f"floor({rest} * 1000.0D / `{total}` + 0.5D) / 10.0D"
     return F.expr(f"concat({head}, ',', '{lab}:', CAST({other} AS STRING), '%')")

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from clickpulse.functions.text import day_of, minute_of, minute_text, pairs_to_json
 from clickpulse.operators.topk import kth_per_group, top_k_per_group
-from clickpulse.plans.joins import broadcast_if_small
-from clickpulse.plans.lineage import write_and_reread
 from clickpulse.sources.adlog import event_time
 
 DEFAULT_THRESHOLD = 100
@@ -56,21 +54,19 @@ def blacklist_crossings(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD) -
 
 
 def blacklist_filtered_clicks(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-                              materialize: bool = True) -> DataFrame:
+                              crossings: DataFrame | None = None) -> DataFrame:
     """Q5, event-order form: the clicks that pass the blacklist when every click
     is its own micro-batch. A user's clicks up to and including the crossing
     click pass; every later click of that user (any ad, any day) is dropped.
 
-    The crossing table has at most one row per user. It is written once to the
-    shared checkpoint folder and its row count checked: when small it is
-    broadcast and the click table is filtered map-side without any shuffle;
-    otherwise the join is a shuffle join whose hot-user partitions AQE splits.
-    (Leaving the choice to AQE alone would shuffle all clicks before switching.)
+    The crossing table has at most one row per user. By default it is part of
+    the plan: nothing runs and nothing is written while the query is built. A
+    caller that filters the same clicks several times can write
+    ``blacklist_crossings`` once, pass it as ``crossings`` and remove it
+    afterwards. AQE broadcasts the table if it turns out small, else splits hot users' partitions.
     """
     order = _order_cols(clicks)
-    cross = blacklist_crossings(clicks, threshold)
-    if materialize:
-        cross = broadcast_if_small(write_and_reread(cross, "blacklist-crossings"))
+    cross = blacklist_crossings(clicks, threshold) if crossings is None else crossings
     joined = clicks.join(cross, "userid", "left")
     keep = F.col("crossing").isNull() | (F.struct(*order) <= F.col("crossing"))
     return joined.where(keep).select(*clicks.columns)
@@ -147,13 +143,17 @@ def ad_last_hour_sliding(clicks: DataFrame, window_minutes: int = 60, slide_minu
 
     Built from minute counts: each (adid, minute) count is fanned out to the
     ceil(w / s) windows containing it and re-summed, so the fan-out multiplies
-    aggregated rows, not clicks.
+    aggregated rows, not clicks. Counts are dealt by (adid, block of one window's
+    length): neighbouring minutes are in one task, so its partial sums send about
+    two rows per minute of the block, not one per minute and window.
     """
     mc = _minute_counts(clicks)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     em = F.timestamp_diff("MINUTE", epoch, F.col("minute_ts"))
     n = -(-window_minutes // slide_minutes)
-    fanned = (mc.select("adid", "clicks", em.alias("em"),
+    placed = (mc.select("adid", "clicks", em.alias("em"))
+              .withColumn("block", F.floor(F.col("em") / window_minutes)).repartition("adid", "block"))
+    fanned = (placed.select("adid", "clicks", "em",
                         F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"))
               .withColumn("start", F.col("em") - F.col("em") % slide_minutes - F.col("j") * slide_minutes)
               .where(F.col("start") > F.col("em") - window_minutes))

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from clickpulse.functions.text import id_list
 from clickpulse.operators.topk import top_k_per_group
-from clickpulse.plans.joins import broadcast_if_small
 
 
 def category_actions(visits: DataFrame) -> DataFrame:
@@ -60,14 +59,14 @@ def category_session_top10(visits: DataFrame, categories: DataFrame | None = Non
     """Q2: per category of ``categories`` (default: Q1's top ``n_categories``),
     the ``n`` sessions with most clicks, ties broken by session id (W2, P8, J5).
 
-    The category set is broadcast: Q1's is bounded by its limit; a caller's set
-    is size-checked first. The semi join runs on click rows before the
+    Q1's set is broadcast, being bounded by its limit; a caller's set is left to
+    the planner, which decides in bytes. The semi join runs on click rows before the
     (category, session) aggregation, so only relevant clicks are shuffled.
     """
     if categories is None:
         cats = F.broadcast(category_top10(visits, n_categories).select("category_id"))
     else:
-        cats = broadcast_if_small(categories.select("category_id"))
+        cats = categories.select("category_id")
     clicks = (visits.where(F.col("click_category_id") != -1)
               .select(F.col("click_category_id").alias("category_id"), "session_id")
               .join(cats, "category_id", "left_semi"))

@@ -52,10 +52,18 @@ def area_product_counts(visits: DataFrame, cities: DataFrame, weight: str | None
 
 
 def area_product_rank(visits: DataFrame, cities: DataFrame, weight: str | None = None) -> DataFrame:
-    """Every (area, product) with ``rk = rank() over (area order by product_count desc)``."""
+    """Every (area, product) with ``rk = rank() over (area order by product_count desc)``.
+
+    The window runs over an area's distinct counts, not its products: a count's
+    rank is one more than the products with a larger one. Ties share a count, so the join back gives them one rank."""
     from pyspark.sql import Window
-    w = Window.partitionBy("area").orderBy(F.desc("product_count"))
-    return area_product_counts(visits, cities, weight).withColumn("rk", F.rank().over(w).cast("long"))
+    counts = area_product_counts(visits, cities, weight)
+    larger = (Window.partitionBy("area").orderBy(F.desc("product_count"))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ranks = (counts.groupBy("area", "product_count").agg(F.count(F.lit(1)).alias("products"))
+             .select("area", "product_count", (F.coalesce(F.sum("products").over(larger), F.lit(0)) + 1).cast("long").alias("rk")))
+    return (counts.join(ranks, ["area", "product_count"])
+            .select("area", "click_product_id", "product_count", "rk"))
 
 
 def _city_lists(geo_counts: DataFrame, groups: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 """Q3: page single-jump conversion along a target page flow.
 
 "Next page" is the successor of a visit inside its session in
-(action_time, event_id) order (D18), over all pages of the session.
+(action_time, event_id) order (D18), over all pages of the session; a log
+without ``event_id`` is ordered by (action_time, page_id), which is
+deterministic. A visit with a null page is a visit: no jump goes to, from or across it.
 
 Skew: a session may be huge (a bot). A window over ``session_id`` would sort
 such a session inside one task, so the session is cut into time slices --
@@ -45,26 +47,29 @@ def session_jumps(visits: DataFrame, slice_chars: int = MINUTE_SLICE, views: boo
 
     ``views=True`` adds (page, null, n) records whose ``n`` sum to the visits of
     each page, so page views come out of the same scan and chain."""
-    rows = visits.select("session_id", "action_time", "event_id", "page_id",
-                         F.substring("action_time", 1, slice_chars).alias("slice"))
-    w = Window.partitionBy("session_id", "slice").orderBy("action_time", "event_id")
+    order = ["action_time", *(["event_id"] if "event_id" in visits.columns else []), "page_id"]
+    rows = visits.select("session_id", *order, F.substring("action_time", 1, slice_chars).alias("slice"))
+    w = Window.partitionBy("session_id", "slice").orderBy(*order)
+    # A null page is a visit like any other: "has a next visit" is not "next page is known".
     marked = rows.select("session_id", "slice", "page_id",
-                         F.lead("page_id").over(w).alias("next_page"),
+                         F.lead(F.struct("page_id")).over(w).alias("next"),
                          (F.row_number().over(w) == 1).alias("is_first"))
-    local = (marked.groupBy("session_id", "slice", "page_id", "next_page")
+    local = (marked.groupBy("session_id", "slice", "page_id",
+                            F.col("next.page_id").alias("next_page"), F.col("next").isNull().alias("is_last"))
              .agg(F.count(F.lit(1)).alias("n"), F.max("is_first").alias("is_first")))
-    # Descending slices; inside a slice the last visit (no next page) comes first,
-    # so the frame before it holds only later slices.
+    # Descending slices; inside a slice its last visit comes first, so the frame
+    # before it holds only later slices.
     ws = (Window.partitionBy("session_id")
-          .orderBy(F.desc("slice"), F.col("next_page").isNull().desc(), "page_id", "next_page")
+          .orderBy(F.desc("slice"), F.desc("is_last"), "page_id", "next_page")
           .rowsBetween(Window.unboundedPreceding, -1))
-    next_first = F.last(F.when(F.col("is_first"), F.col("page_id")), ignorenulls=True).over(ws)
-    linked = local.select("page_id", "next_page", "n", next_first.alias("next_first"))
-    pair = F.when(F.col("next_page").isNotNull(),
+    next_first = F.last(F.when(F.col("is_first"), F.struct("page_id")), ignorenulls=True).over(ws)
+    linked = local.select("page_id", "next_page", "is_last", "n", next_first.alias("next_first"))
+    known = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull()
+    pair = F.when(~F.col("is_last") & known("page_id", "next_page"),
                   F.struct(F.col("page_id").alias("from_page"), F.col("next_page").alias("to_page"),
                            F.col("n").alias("n")))
-    across = F.when(F.col("next_page").isNull() & F.col("next_first").isNotNull(),
-                    F.struct(F.col("page_id").alias("from_page"), F.col("next_first").alias("to_page"),
+    across = F.when(F.col("is_last") & known("page_id", "next_first.page_id"),
+                    F.struct(F.col("page_id").alias("from_page"), F.col("next_first.page_id").alias("to_page"),
                              F.lit(1).cast("long").alias("n")))
     parts = [pair, across]
     if views:

@@ -1,8 +1,7 @@
-"""Physical-plan helpers: size-checked broadcast, lineage cuts, plan inspection."""
+"""Physical-plan helpers: lineage cuts, plan inspection."""
 
-from clickpulse.plans.joins import broadcast_if_small, DIMENSION_ROW_LIMIT
 from clickpulse.plans.lineage import cut_lineage, write_and_reread
 from clickpulse.plans.inspect import plan_text, assert_plan
 
-__all__ = ["broadcast_if_small", "DIMENSION_ROW_LIMIT", "cut_lineage", "write_and_reread",
+__all__ = ["cut_lineage", "write_and_reread",
            "plan_text", "assert_plan"]

@@ -1,31 +1,11 @@
 """Join strategy policy.
 
-1. Dimension tables built by the adapters (cities, products, users) are
-   size-checked once with ``broadcast_if_small`` and carry a broadcast hint only
-   when they fit; operators add no hints to caller-supplied dimensions. Without
-   a hint the planner broadcasts only when the estimated size is below
-   ``spark.sql.autoBroadcastJoinThreshold``; AQE re-checks with the measured
-   shuffle size. Beyond that the join stays a shuffle join, and AQE splits
-   skewed partitions (``spark.sql.adaptive.skewJoin.enabled``).
-2. An explicit ``broadcast()`` without a check only where the size is bounded
-   by construction: the top-n of a ``limit(n)`` (Q1 -> Q2).
-3. A derived side that must not force a shuffle of the big side (Q5's crossing
-   table) is materialised first and then passed through ``broadcast_if_small``.
-
-``broadcast_if_small`` checks the bound with one bounded job
-(``limit(n + 1).count()`` reads at most ``n + 1`` rows).
+No operator counts rows to choose a join. Sizes are decided in bytes: the
+planner broadcasts a side whose estimate is below
+``spark.sql.autoBroadcastJoinThreshold``, AQE does so with the measured size of a
+finished shuffle, and any other join is a shuffle join whose skewed partitions AQE splits
+(``spark.sql.adaptive.skewJoin.enabled``). Nothing is checked, and no job
+runs, while a query is being built; a table that grows gets a new verdict on
+its next run. An explicit ``broadcast()`` stands only where the size is bounded
+by construction: the top-n of a ``limit(n)`` (Q1 -> Q2), or k rows of each of a dimension's areas (Q4).
 """
-
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows of a caller-supplied set we are willing to ship to every executor.
-DIMENSION_ROW_LIMIT = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_ROW_LIMIT) -> DataFrame:
-    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

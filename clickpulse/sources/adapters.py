@@ -26,7 +26,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.plans.joins import DIMENSION_ROW_LIMIT, broadcast_if_small
 from clickpulse.session import pin_utc
 from clickpulse.sources.tables import read_table
 
@@ -82,9 +81,17 @@ _VISIT_SQL = [
 _K_SQL = "CAST(try_cast(get_json_object(props, '$.k') AS INT) AS BIGINT) AS k"
 
 
-def visits_from_events(spark: SparkSession, where: str) -> DataFrame:
+def visits_from_events(spark: SparkSession, where: str, params: dict | None = None) -> DataFrame:
+    """The visit log; a date range in ``params`` (``startDate``, ``endDate``, both inclusive) reaches the
+    scan as a range of ``ts``, which the derived ``date`` text could not."""
     pin_utc(spark)
-    ev = read_table(spark, where, "events").selectExpr("event_id", "ts", "user_id", "event_type", _K_SQL)
+    ev = read_table(spark, where, "events")
+    day = lambda key: F.lit(str((params or {}).get(key) or "").strip()).cast("timestamp_ntz")
+    if str((params or {}).get("startDate") or "").strip():
+        ev = ev.where(F.col("ts") >= day("startDate"))
+    if str((params or {}).get("endDate") or "").strip():
+        ev = ev.where(F.col("ts") < day("endDate") + F.expr("INTERVAL 1 DAY"))
+    ev = ev.selectExpr("event_id", "ts", "user_id", "event_type", _K_SQL)
     return ev.selectExpr(*_VISIT_SQL)
 
 
@@ -93,31 +100,24 @@ def clicks_from_events(spark: SparkSession, where: str) -> DataFrame:
     record id used as order tie-break (the wire format itself has no id)."""
     pin_utc(spark)
     ev = read_table(spark, where, "events").selectExpr("event_id", "ts", "user_id", _K_SQL)
-    geo = broadcast_if_small(
-        cities_from_nation(spark, where).selectExpr("city_id AS geo_key", "city_name AS city", "area"))
+    geo = cities_from_nation(spark, where).selectExpr("city_id AS geo_key", "city_name AS city", "area")
     return (ev.join(geo, (ev.user_id % 25) == geo.geo_key)
             .selectExpr("event_id", "unix_millis(CAST(ts AS TIMESTAMP)) AS ts", "area", "city",
                         "CAST(user_id AS STRING) AS userid", "CAST(k % 6 + 1 AS STRING) AS adid"))
 
 
-def click_counts_from_lineitem(spark: SparkSession, where: str,
-                               max_broadcast_rows: int = DIMENSION_ROW_LIMIT) -> DataFrame:
+def click_counts_from_lineitem(spark: SparkSession, where: str) -> DataFrame:
     """Wide click log for the Q4 bench: one click per line item, located at the
-    supplier's nation. Output: (city_id, click_product_id, clicks) -- a weighted
-    click log; consumers sum ``clicks``.
+    supplier's nation. Output: one (city_id, click_product_id, clicks) row per
+    (supplier, part) -- a weighted click log; consumers sum ``clicks``.
 
-    The supplier side is size-checked: when it fits, it is broadcast and the
-    line items are joined map-side (each row weighs 1; the consumer's partial
-    aggregate does the reduction). When it does not fit, line items are first
-    pre-aggregated per (supplier, part), so the shuffle join moves counts, not rows.
+    Line items are counted per (supplier, part) before the join, so the shuffles
+    move counts, not rows, whatever the suppliers' size.
     """
     li = read_table(spark, where, "lineitem").select("l_suppkey", "l_partkey")
     supp = read_table(spark, where, "supplier").select("s_suppkey", "s_nationkey")
     out = [F.col("s_nationkey").cast("long").alias("city_id"),
            (F.col("l_partkey") + 1).alias("click_product_id")]
-    if supp.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        return (li.join(F.broadcast(supp), li.l_suppkey == supp.s_suppkey)
-                .select(*out, F.lit(1).cast("long").alias("clicks")))
     per_supp = li.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("clicks"))
     return per_supp.join(supp, per_supp.l_suppkey == supp.s_suppkey).select(*out, "clicks")
 
@@ -136,19 +136,19 @@ class AdapterTables:
             self._memo[name] = build(self.spark, self.where)
         return self._memo[name]
 
-    def visits(self) -> DataFrame:
+    def visits(self, params: dict | None = None) -> DataFrame:
+        if params:
+            return visits_from_events(self.spark, self.where, params)
         return self._get("visits", visits_from_events)
 
-    # Dimensions are size-checked once per instance (one bounded job each) and
-    # carry a broadcast hint only when they fit; larger ones are left to the planner.
     def users(self) -> DataFrame:
-        return self._get("users", lambda s, w: broadcast_if_small(users_from_customer(s, w)))
+        return self._get("users", users_from_customer)
 
     def cities(self) -> DataFrame:
-        return self._get("cities", lambda s, w: broadcast_if_small(cities_from_nation(s, w)))
+        return self._get("cities", cities_from_nation)
 
     def products(self) -> DataFrame:
-        return self._get("products", lambda s, w: broadcast_if_small(products_from_part(s, w)))
+        return self._get("products", products_from_part)
 
     def clicks(self) -> DataFrame:
         return self._get("clicks", clicks_from_events)

@@ -10,30 +10,49 @@ from pyspark.sql import functions as F
 
 from clickpulse.schemas import AD_LINE_FIELDS
 
+#: Plausible click times: not before 2000, and not more than a day after the
+#: batch arrives (a phone's clock may be ahead; one click dated years ahead must not steer the windows).
+EARLIEST_MS = 946_684_800_000
+MAX_AHEAD = "1 day"
+
+
 def encode_ad_log(clicks: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Clicks -> ``value`` text lines (the producer half of the message bus)."""
-    value = F.concat_ws(",", *[F.col(c).cast("string") for c in AD_LINE_FIELDS])
-    return clicks.select(*keep, value.alias("value"))
+    """Clicks -> ``value`` text lines (the producer half of the message bus).
+
+    A null keeps its place as an empty field. The format has no quoting: a field
+    that holds the delimiter or a line break can't be written, so ``value`` is null for such a row
+    (a reader would take its pieces for other fields)."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in AD_LINE_FIELDS]
+    sound = ~F.concat(*fields).rlike("[,\\r\\n]")
+    return clicks.select(*keep, F.when(sound, F.concat_ws(",", *fields)).alias("value"))
 
 
-def decode_ad_log(lines: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+def decode_ad_log(lines: DataFrame, keep: tuple[str, ...] = (), latest: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """``value`` lines -> (clicks, rejects).
 
-    A line is accepted when it has at least five fields and the first parses as
-    a long; extra fields are ignored, as in the reference. Rejects keep the raw
-    line and a reason.
+    A line is accepted when its first five fields are there and not blank, and
+    the first is a plausible time in epoch ms: from ``EARLIEST_MS`` to
+    ``latest`` (a timestamp; default: ``MAX_AHEAD`` after now, when the batch is
+    read). Fields are trimmed; extra ones are ignored, as in the reference. Rejects
+    keep the raw line and the first reason that applies.
     """
     parts = F.split(F.coalesce(F.col("value"), F.lit("")), ",")
-    fields = [F.get(parts, 0).try_cast("long").alias("ts")] + [
-        F.get(parts, i).alias(name) for i, name in enumerate(AD_LINE_FIELDS[1:], start=1)]
-    parsed = lines.select(*keep, "value", *fields)
-    ok = F.col("ts").isNotNull()
+    text = lambda i: F.nullif(F.trim(F.get(parts, i)), F.lit(""))
+    fields = [text(0).try_cast("long").alias("ts")] + [
+        text(i).alias(name) for i, name in enumerate(AD_LINE_FIELDS[1:], start=1)]
+    parsed = lines.select(*keep, "value", F.size(parts).alias("_fields"), *fields)
+    latest = F.current_timestamp() + F.expr(f"INTERVAL {MAX_AHEAD}") if latest is None else latest
+    blank = F.lit(False)
     for name in AD_LINE_FIELDS[1:]:
-        ok = ok & F.col(name).isNotNull()
+        blank = blank | F.col(name).isNull()
     reason = (F.when(F.col("ts").isNull(), F.lit("bad timestamp"))
-              .otherwise(F.lit("too few fields")))
-    good = parsed.where(ok).select(*keep, *AD_LINE_FIELDS)
-    bad = parsed.where(~ok).select(*keep, "value", reason.alias("reason"))
+              .when(F.col("_fields") < len(AD_LINE_FIELDS), F.lit("too few fields"))
+              .when(F.col("ts") < EARLIEST_MS, F.lit("timestamp too early"))
+              .when(F.col("ts") > F.unix_millis(latest), F.lit("timestamp too late"))
+              .when(blank, F.lit("blank field")))
+    judged = parsed.withColumn("_reason", reason)
+    good = judged.where("_reason IS NULL").select(*keep, *AD_LINE_FIELDS)
+    bad = judged.where("_reason IS NOT NULL").select(*keep, "value", F.col("_reason").alias("reason"))
     return good, bad
 
 

@@ -9,8 +9,12 @@ from __future__ import annotations
 
 import os
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
+from clickpulse.schemas import CITIES, PRODUCTS, USERS, VISITS, assert_schema
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -40,3 +44,34 @@ def read_table(spark: SparkSession, where: str, name: str) -> DataFrame:
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
     return reader.parquet(path)
+
+
+#: The names of the four tables of a click log as its producers write them.
+CLICK_LOG = {"visits": "user_visit_action", "users": "user_info", "products": "product_info", "cities": "city_info"}
+
+
+@dataclass
+class ClickLogTables:
+    """A click log under its own table names, in a folder of ``<name>.parquet`` or in the
+    catalog (``where="catalog"``). Columns and types are checked when a table is opened;
+    ``event_id``, an explicit order of visits in the same second, may be missing."""
+
+    spark: SparkSession
+    where: str
+
+    def _table(self, name: str, schema, optional: tuple[str, ...] = ()) -> DataFrame:
+        df = read_table(self.spark, self.where, CLICK_LOG[name])
+        wanted = type(schema)([f for f in schema.fields if f.name not in optional or f.name in df.columns])
+        return assert_schema(df, wanted)
+
+    def visits(self, params: dict | None = None) -> DataFrame:
+        return self._table("visits", VISITS, ("event_id",))
+
+    def users(self) -> DataFrame:
+        return self._table("users", USERS)
+
+    def products(self) -> DataFrame:
+        return self._table("products", PRODUCTS)
+
+    def cities(self) -> DataFrame:
+        return self._table("cities", CITIES)

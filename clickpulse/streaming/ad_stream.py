@@ -5,7 +5,7 @@ Per batch ``n`` (T2, T5, T6, T8, T9):
 1. decode the lines; malformed ones go to ``rejects/batch=n`` (D17);
 2. read the blacklist as of the batch start (state before ``n``) and drop its
    users with a left anti join -- the set is re-read every batch, so it
-   refreshes (T5); it is broadcast when its checked size allows;
+   refreshes (T5); the planner broadcasts it when its files are small;
 3. the survivors are written once to ``survivors/batch=n`` and read back: the
    shared intermediate of all outputs (T8), with its lineage cut;
 4. per-(day, user, ad) counts of the survivors become a counter delta; only the
@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 
 from clickpulse.functions.text import day_of, minute_of
 from clickpulse.operators import ads
-from clickpulse.plans.joins import broadcast_if_small
 from clickpulse.sinks.versioned import VersionedTable, distinct_rows, newer_than, summed
 from clickpulse.sinks.writers import upsert_partitions, write_batch_snapshot
 from clickpulse.sources.adlog import decode_ad_log, event_time
@@ -99,7 +98,7 @@ class AdStreamJob:
         write_batch_snapshot(bad, self.path("rejects"), batch_id)
 
         denied = self.blacklist.read_before(batch_id)
-        survivors = good.join(broadcast_if_small(denied), "userid", "left_anti")
+        survivors = good.join(denied, "userid", "left_anti")
         spath = write_batch_snapshot(survivors.select(*[c.split()[0] for c in CLICK_COLS.split(", ")]),
                                      self.path("survivors"), batch_id)
         survivors = spark.read.schema(CLICK_COLS).parquet(spath)

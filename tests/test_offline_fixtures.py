@@ -134,9 +134,9 @@ def test_city_share_one_city(spark):
 
 def test_city_share_three_cities_and_rounding(spark):
     assert _share(spark, [(3, "b"), (5, "a"), (2, "c")]) == "a:50.0%,b:30.0%,other:20.0%"
-    assert _share(spark, [(1, "a"), (1, "b"), (1, "c")]) == "a:33.3%,b:33.3%,other:33.4%"
+    assert _share(spark, [(1, "a"), (1, "b"), (1, "c")]) == "a:33.3%,b:33.3%,other:33.3%"
     # half up: 1/16 = 6.25% -> 6.3%
-    assert _share(spark, [(15, "a"), (1, "b")]) == "a:93.8%,b:6.3%,other:-0.1%"
+    assert _share(spark, [(15, "a"), (1, "b")]) == "a:93.8%,b:6.3%,other:0.0%"
 
 
 def test_city_share_tie_broken_by_name(spark):

@@ -8,7 +8,7 @@ from clickpulse.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 from tools.oracle_check import digest
 
-KEYS = sorted(E.queries())
+KEYS = sorted(E.click_log_queries())
 
 
 @pytest.fixture(scope="module")
@@ -20,14 +20,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.click_log_oracle_sql()) == set(E.click_log_queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF_SMALL)
+    df = E.click_log_queries()[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    rel = con.sql(E.oracle_sql()[key])
+    rel = con.sql(E.click_log_oracle_sql()[key])
     orows = rel.fetchall()
     cs, hs, _ = digest(df.columns, rows)
     co, ho, _ = digest(rel.columns, orows)
@@ -43,6 +43,6 @@ def test_entry_runs(spark):
 
 
 def test_limits_only_where_they_are_the_feature():
-    for key, sql in E.oracle_sql().items():
+    for key, sql in E.click_log_oracle_sql().items():
         if " LIMIT " in sql.upper().replace("\n", " "):
             assert "top10" in key, key

@@ -56,3 +56,11 @@ def test_hot_user_blacklist_exact(spark):
             black.add(user)
     assert got == sorted(want)
     assert "bot" in black
+
+
+def test_null_pages_are_visits_but_make_no_jump(spark):
+    from tests.helpers import visits
+    rows = [dict(session_id="s", page_id=p, action_time=f"2019-11-26 10:0{m}:00") for m, p in ((0, 1), (0, None), (0, 2), (1, None), (2, 3), (2, 4))]
+    for chars in (16, 13):
+        got = sorted(map(tuple, op.page_transitions(visits(spark, rows), chars).collect()))
+        assert got == [(3, 4, 1)], (chars, got)

@@ -42,3 +42,54 @@ def test_rounding_and_percent_text(spark):
     df = spark.createDataFrame([(12.25,), (12.24,), (0.05,), (100.0,)], "x double")
     got = [r.t for r in df.select(percent_text(F.lit("a"), half_up_1dp("x")).alias("t")).collect()]
     assert got == ["a:12.3%", "a:12.2%", "a:0.1%", "a:100.0%"]
+
+
+def test_encoding_keeps_places_and_refuses_delimiters(spark):
+    from clickpulse.sources import decode_ad_log, encode_ad_log
+    rows = [(1, 1574762400000, "a", None, "u", "1"), (2, 1574762400000, "a,b", "c", "u", "1"),
+            (3, 1574762400000, "a", "c\n", "u", "1"), (4, 1574762400000, "a", "c", "u", "1")]
+    lines = encode_ad_log(spark.createDataFrame(rows, "id INT, ts BIGINT, area STRING, city STRING, userid STRING, adid STRING"), ("id",))
+    got = {r.id: r.value for r in lines.collect()}
+    assert got == {1: "1574762400000,a,,u,1", 2: None, 3: None, 4: "1574762400000,a,c,u,1"}
+    good, bad = decode_ad_log(lines, ("id",))
+    assert [r.id for r in good.collect()] == [4]
+    assert {r.id: r.reason for r in bad.collect()} == {1: "blank field", 2: "bad timestamp", 3: "bad timestamp"}
+
+
+def test_damaged_lines_are_rejected_with_a_reason(spark):
+    from clickpulse.sources import decode_ad_log
+    lines = {"9223372036854775807,n,c,u,1": "timestamp too late", "99999999999999999,n,c,u,1": "timestamp too late",
+             "-9999999999999999,n,c,u,1": "timestamp too early", "7226582400000,n,c,u,1": "timestamp too late",
+             "1574762400000,,,,": "blank field", "x,n,c,u,1": "bad timestamp", "": "bad timestamp",
+             "1574762400000,n,c,u": "too few fields"}
+    good, bad = decode_ad_log(spark.createDataFrame([(x,) for x in [*lines, " 1574762400000, n,c,u,1 ,more"]], "value STRING"))
+    assert {r.value: r.reason for r in bad.collect()} == lines
+    assert [tuple(r) for r in good.collect()] == [(1574762400000, "n", "c", "u", "1")]
+
+
+def test_click_log_under_its_own_names(spark, scratch):
+    """The offline job reads a click log's four tables, without ``event_id``, and gives what the adapted tables give."""
+    import os
+
+    import pytest
+
+    from clickpulse.jobs import parquet_writer, run_offline
+    from clickpulse.schemas import SchemaMismatch
+    from clickpulse.sources import AdapterTables
+    from clickpulse.sources.tables import CLICK_LOG, ClickLogTables
+    from tests.conftest import SF_SMALL
+    t = AdapterTables(spark, SF_SMALL)
+    log = os.path.join(scratch, "log")
+    for name, df in (("visits", t.visits().drop("event_id")), ("users", t.users()), ("products", t.products()), ("cities", t.cities())):
+        df.write.parquet(os.path.join(log, f"{CLICK_LOG[name]}.parquet"))
+    params = {"startDate": "2024-01-02", "endDate": "2024-01-20"}
+    a, b = os.path.join(scratch, "a"), os.path.join(scratch, "b")
+    names = run_offline(spark, SF_SMALL, params, "t", parquet_writer(a))
+    run_offline(spark, log, params, "t", parquet_writer(b), click_log=True)
+    tied = t.visits().groupBy("session_id", "action_time").count().where("count > 1").count()
+    for name in names:
+        x, y = (sorted(map(str, spark.read.parquet(os.path.join(d, name)).collect())) for d in (a, b))
+        assert x == y or (name == "jump_page_ratio" and tied), name
+    t.users().drop("age").write.parquet(os.path.join(scratch, "bad", "user_info.parquet"))
+    with pytest.raises(SchemaMismatch):
+        ClickLogTables(spark, os.path.join(scratch, "bad")).users()
