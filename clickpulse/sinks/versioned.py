@@ -23,9 +23,14 @@ from __future__ import annotations
 import os
 from typing import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: How far a row's time may be ahead of the clock and still steer retention and windows.
+AHEAD = "5 minutes"
+#: Epochs kept besides the current one.
+KEPT_EPOCHS = 2
+
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: str,
@@ -89,6 +94,16 @@ class VersionedTable:
             if self.retain is not None:
                 state = self.retain(state)
             self._write(state, os.path.join(self.root, "base", f"epoch={self._epoch(batch_id) + 1}"))
+            self._drop_epoch(self._epoch(batch_id) - KEPT_EPOCHS)
+
+    def _drop_epoch(self, epoch: int) -> None:
+        """Remove an epoch that newer bases have replaced; the last ones stay for replays and readers under way."""
+        if epoch < 0:
+            return
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        for kind in ("delta", "base"):
+            old = path(os.path.join(self.root, kind, f"epoch={epoch}"))
+            old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def summed(keys: list[str], value: str = "clicks") -> Callable[[DataFrame], DataFrame]:
@@ -99,10 +114,17 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def newest(df: DataFrame, col: str) -> Column:
+    """The newest value of a wall-clock column that isn't ahead of this moment by more than ``AHEAD``:
+    one row dated into the future must not push the others out of a window."""
+    sound = F.col(col) <= F.localtimestamp() + F.expr(f"INTERVAL {AHEAD}")
+    return df.select(F.max(F.when(sound, F.col(col)))).scalar()
+
+
 def newer_than(col: str, span: str) -> Callable[[DataFrame], DataFrame]:
     """Retention rule: keep rows whose ``col`` lies within ``span`` (an interval
-    literal such as ``'60 minutes'``) of the newest value."""
+    literal such as ``'60 minutes'``) of the newest value, or after it."""
     def keep(df: DataFrame) -> DataFrame:
-        newest = df.select(F.max(col)).scalar()
-        return df.where(F.col(col) > newest - F.expr(f"INTERVAL {span}"))
+        edge = newest(df, col) - F.expr(f"INTERVAL {span}")
+        return df.where(F.coalesce(F.col(col) > edge, F.lit(True)))
     return keep

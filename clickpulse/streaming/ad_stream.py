@@ -28,12 +28,14 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.functions.text import day_of, minute_of
 from clickpulse.operators import ads
-from clickpulse.sinks.versioned import VersionedTable, distinct_rows, newer_than, summed
+from clickpulse.session import pin_utc
+from clickpulse.sinks.versioned import VersionedTable, distinct_rows, newer_than, newest, summed
 from clickpulse.sinks.writers import upsert_partitions, write_batch_snapshot
 from clickpulse.sources.adlog import decode_ad_log, event_time
 
@@ -48,10 +50,12 @@ def _together(*actions) -> None:
 
 
 def newer_than_day(days: int):
-    """Counter retention: keep the newest ``days`` days (by the ``day`` text key)."""
+    """Counter retention: keep the newest ``days`` days (by the ``day`` text key), and later ones;
+    a day ahead of the clock is not the newest."""
     def keep(df: DataFrame) -> DataFrame:
-        newest = df.select(F.max(F.to_date("day"))).scalar()
-        return df.where(F.to_date("day") > F.date_sub(newest, days))
+        day = F.to_date("day")
+        last = df.select(F.max(F.when(day <= F.to_date(F.localtimestamp()), day))).scalar()
+        return df.where(F.coalesce(day > F.date_sub(last, days), F.lit(True)))
     return keep
 
 
@@ -61,6 +65,8 @@ class AdStreamJob:
                  counter_ttl_days: int | None = None):
         self.spark, self.root, self.threshold = spark, state_root, threshold
         self.trend_minutes, self.top_k = trend_minutes, top_k
+        self.owned = False
+        pin_utc(spark)
         p = lambda name: os.path.join(state_root, name)
         ttl = None if counter_ttl_days is None else newer_than_day(counter_ttl_days)
         # (day, user, ad) counters and Q6 counts are stored by day: a batch reads
@@ -81,11 +87,28 @@ class AdStreamJob:
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
 
+    def _own_state(self) -> None:
+        """The state belongs to one query (a checkpoint's id): another one's batch numbers start again at 0
+        and would overwrite it."""
+        query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if self.owned or query is None:
+            return
+        path = self.path("_owner")
+        try:
+            owner = self.spark.read.text(path).first()[0]
+        except AnalysisException:
+            self.spark.createDataFrame([(query,)], "value STRING").coalesce(1).write.mode("overwrite").text(path)
+            owner = query
+        if owner != query:
+            raise ValueError(f"{self.root} holds the state of query {owner}; this checkpoint's is {query}")
+        self.owned = True
+
     # -- the foreachBatch body ------------------------------------------------
     def process_batch(self, lines: DataFrame, batch_id: int) -> None:
         # Two outputs read the batch (rejects, survivors): keep it for the length
         # of this call so the source (e.g. Kafka) is fetched once. Persisted
         # blocks lost with an executor are recomputed from the batch's fixed offsets.
+        self._own_state()
         lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._process(lines, batch_id)
@@ -152,7 +175,7 @@ class AdStreamJob:
         """Q8 over the running minute counts: the last ``trend_minutes`` minutes
         ending with the latest minute seen."""
         mc = self.minute_counts.read_upto(batch_id)
-        anchor = mc.select(F.max("minute_ts")).scalar()
+        anchor = newest(mc, "minute_ts")
         lo = anchor - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(self.trend_minutes))
         return (mc.where((F.col("minute_ts") > lo) & (F.col("minute_ts") <= anchor))
                 .select("adid", F.date_format("minute_ts", "yyyy-MM-dd HH:mm").alias("minute"), "clicks"))

@@ -117,3 +117,23 @@ def test_state_read_prunes_to_touched_days(spark, scratch):
     text = plan_text(df)
     assert text.count("PartitionFilters: [isnotnull(day") >= 1 and "2019-11-05" in text
     assert [(r.day, r.clicks) for r in df.collect()] == [("2019-11-05", 2)]
+
+
+def test_one_future_row_does_not_expire_the_others(spark, scratch):
+    from clickpulse.sinks.versioned import newer_than
+    from clickpulse.streaming.ad_stream import newer_than_day
+    rows = [("1", "2019-11-26 08:00:00", 1), ("1", "2019-11-26 09:30:00", 2), ("1", "2199-01-01 00:00:00", 3)]
+    df = spark.createDataFrame(rows, "adid string, minute_ts string, clicks bigint").selectExpr(
+        "adid", "CAST(minute_ts AS TIMESTAMP_NTZ) AS minute_ts", "clicks", "substr(minute_ts, 1, 10) AS day")
+    assert sorted(r.clicks for r in newer_than("minute_ts", "60 minutes")(df).collect()) == [2, 3]
+    assert sorted(r.clicks for r in newer_than_day(2)(df).collect()) == [1, 2, 3]
+    assert newer_than("minute_ts", "60 minutes")(df.where("clicks = 3")).count() == 1
+
+
+def test_old_epochs_are_removed_and_state_stays_right(spark, scratch):
+    t = VersionedTable(spark, os.path.join(scratch, "t"), "k STRING, clicks BIGINT", summed(["k"]), every=1)
+    for n in range(6):
+        t.write_delta(spark.createDataFrame([("a", 1)], "k string, clicks bigint"), n)
+        t.maybe_compact(n)
+    assert [tuple(r) for r in t.read_before(6).collect()] == [("a", 6)]
+    assert sorted(os.listdir(os.path.join(scratch, "t", "delta"))) == ["epoch=4", "epoch=5"]

@@ -179,3 +179,21 @@ def test_processing_time_trigger(spark, scratch):
     assert job.survivors().count() == 2
     assert {r.adid: r.clicks for r in job.area_counts.read_upto(q.lastProgress["batchId"]).collect()} \
         == {"1": 1, "2": 1}
+
+
+def test_damaged_and_future_lines_do_not_stop_or_steer_the_stream(spark, scratch):
+    bad = ["9223372036854775807,north,beijing,u9,1", f"{h.ms('2199-01-01 00:00:00')},north,beijing,u9,1", "1574762400000,n,c, ,1"]
+    good = [_line(f"2019-11-26 10:0{i}:00", "u1", "1") for i in range(4)]
+    job, q = _run(spark, scratch, [good[:2] + bad, good[2:]], threshold=100, compact_every=1)
+    assert q.exception() is None
+    assert job.survivors().count() == 4
+    assert sorted((r.minute, r.clicks) for r in job.trend(1).collect()) == [(f"2019-11-26 10:0{i}", 1) for i in range(4)]
+
+
+def test_state_of_another_checkpoint_is_refused(spark, scratch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    _run(spark, scratch, [[_line("2019-11-26 10:00:00", "u1", "1")]], threshold=100)
+    lines = read_ad_stream(spark, os.path.join(scratch, "in"), max_files_per_trigger=1)
+    with pytest.raises(StreamingQueryException, match="holds the state of query"):
+        start_ad_stream(lines, os.path.join(scratch, "state"), os.path.join(scratch, "other"), threshold=100, available_now=True)[1].awaitTermination()
