@@ -28,7 +28,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 from clickpulse.llm import textcols as T
 from clickpulse.llm.merges import Merges
 
-MEMO_PIECES, MEMO_PAIRS, MEMO_BYTES = 700_000, 1_000_000, 64
+MEMO_PIECES, MEMO_PAIRS, MEMO_BYTES = 500_000, 1_000_000, 64
+
+#: Rows decoded at a time.
+DECODED_ROWS = 512
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -112,8 +115,7 @@ class ByteBpe:
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All bytes of the ids, back to back, and the offset of each id."""
-        index, offsets = T.ragged(self.begins[ids], self.sizes[ids])
-        return self.bytes[index], offsets
+        return T.gather(self.bytes, self.begins[ids], self.sizes[ids])
 
 
 @lru_cache(maxsize=4)
@@ -126,7 +128,7 @@ def encoder(path: str, pattern: str):
     """A column function from text to its token ids."""
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = bpe(path, pattern)
-        for texts in batches:
+        for texts in (part for batch in batches for part in T.some_rows(batch)):
             ids = [own.encode(t) if t else b"" for t in texts.to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
             yield pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
@@ -137,7 +139,7 @@ def decoder(path: str, pattern: str):
     """A column function from token ids to their bytes."""
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = bpe(path, pattern)
-        for lists in batches:
+        for lists in (batch.slice(i, DECODED_ROWS) for batch in batches for i in range(0, len(batch), DECODED_ROWS)):
             ids = lists.flatten().to_numpy(zero_copy_only=False)
             sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(sizes)])

@@ -8,13 +8,19 @@ A null text is the empty text throughout.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Rows sent to a Python worker at a time.
+BATCH_ROWS = 1000
 
 #: ASCII white space: 0x20 and 0x09-0x0D.
 WHITE = np.zeros(256, dtype=bool)
@@ -25,6 +31,22 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python workers in small Arrow batches: the session's default of 10,000 rows is far too
+    many for documents (a smaller setting is left as it is)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def trim() -> None:
+    """Give memory that the allocators hold back to the system: workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @dataclass
 class Slice:
     """Rows ``lo`` to ``hi`` of an array: their bytes, back to back, and ``hi - lo + 1`` offsets."""
@@ -79,6 +101,16 @@ def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[Slice]:
         lo = hi
 
 
+def some_rows(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """The array again, in slices of about ``size`` bytes, for code that makes Python objects of the rows."""
+    offsets = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1)
+        yield texts.slice(lo, hi - lo)
+        lo = hi
+
+
 @dataclass
 class Words:
     """Maximal runs of bytes outside ``WHITE``; a word never crosses a row."""
