@@ -5,24 +5,19 @@
 without ``event_id`` is ordered by (action_time, page_id), which is
 deterministic. A visit with a null page is a visit: no jump goes to, from or across it.
 
-Skew: a session may be huge (a bot). A window over ``session_id`` would sort
-such a session inside one task, so the session is cut into time slices --
-``action_time`` prefixes, by default one minute (``slice_chars=16``). One chain,
-no fork:
-
-1. ``lead`` inside each (session, slice) gives the successor of every visit but
-   a slice's last one;
-2. a local aggregate per (session, slice, page, next page) -- no shuffle, the
-   rows are already partitioned by (session, slice) -- counts the in-slice pairs
-   and flags each slice's first page; a slice's last visit is its row with no
-   next page;
-3. one window per session over these reduced rows, slices in descending order
-   with a growing frame, finds for each slice's last visit the first page of
-   the next slice (``last(..., ignorenulls)`` over the frame before the row).
-
-Step 3 sees at most (distinct page pairs + 1) rows per slice, not one row per
-visit, so the result is exact and no task holds more than one slice of one
-session's visits.
+Skew: a session may be huge (a bot), and so may one minute of it. A window over
+``session_id`` would sort it inside one task, so the visits are linked in three
+levels, each exact:
+
+1. ``lead`` inside each fine slice of a session: one second of visits whose ids agree but for
+   their last 16 bits (without ids: one second's visits of one page);
+2. fine slices of the same minute (``slice_chars=16`` of ``action_time``): a
+   slice's last visit is followed by the first page of the next slice that is there
+   (``last(..., ignorenulls)`` over the frame before the row, slices descending);
+3. minutes of a session, in the same way.
+
+Between levels equal (page, next page) pairs are counted together, so levels 2 and 3
+see the distinct pairs and one border of each slice, not its visits.
 """
 
 from __future__ import annotations
@@ -34,6 +29,7 @@ from pyspark.sql import functions as F
 
 MINUTE_SLICE = 16   # len("yyyy-MM-dd HH:mm")
 HOUR_SLICE = 13     # len("yyyy-MM-dd HH")
+FINE_ID_BITS = 16   # ids in one fine slice
 
 
 def page_views(visits: DataFrame) -> DataFrame:
@@ -41,37 +37,48 @@ def page_views(visits: DataFrame) -> DataFrame:
     return visits.groupBy("page_id").agg(F.count(F.lit(1)).alias("page_views"))
 
 
+def _counted(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Equal (page, next) rows of a group as one, with their number."""
+    return (rows.groupBy(*group, "page_id", "next", "is_last")
+            .agg(F.sum("n").alias("n"), F.max("is_first").alias("is_first")))
+
+
+def _linked(rows: DataFrame, group: list[str], part: str) -> DataFrame:
+    """Joins the parts of each group: a part's last row gets the first page of the next part."""
+    ahead = (Window.partitionBy(*group).orderBy(F.desc(part), F.desc("is_last"), "page_id", "next")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    follows = F.last(F.when(F.col("is_first"), F.struct("page_id")), ignorenulls=True).over(ahead)
+    earliest = F.min(part).over(Window.partitionBy(*group))
+    out = rows.select(*group, part, "page_id", "next", "is_last", "is_first", "n", follows.alias("follows"),
+                      earliest.alias("earliest"))
+    return out.select(*group, "page_id", F.when(F.col("is_last"), F.col("follows")).otherwise(F.col("next")).alias("next"),
+                      (F.col("is_last") & F.col("follows").isNull()).alias("is_last"),
+                      (F.col("is_first") & (F.col(part) == F.col("earliest"))).alias("is_first"), "n")
+
+
 def session_jumps(visits: DataFrame, slice_chars: int = MINUTE_SLICE, views: bool = False) -> DataFrame:
     """Consecutive (from_page, to_page) pairs inside sessions, pre-counted:
     (from_page, to_page, n) -- sum ``n`` per pair for the number of jumps.
 
     ``views=True`` adds (page, null, n) records whose ``n`` sum to the visits of
     each page, so page views come out of the same scan and chain."""
-    order = ["action_time", *(["event_id"] if "event_id" in visits.columns else []), "page_id"]
-    rows = visits.select("session_id", *order, F.substring("action_time", 1, slice_chars).alias("slice"))
-    w = Window.partitionBy("session_id", "slice").orderBy(*order)
+    ids = "event_id" in visits.columns
+    order = ["action_time", *(["event_id"] if ids else []), "page_id"]
+    tie = F.shiftright("event_id", FINE_ID_BITS) if ids else F.col("page_id")
+    rows = visits.select("session_id", *order, F.struct("action_time", tie.alias("tie")).alias("fine"),
+                         F.substring("action_time", 1, slice_chars).alias("slice"))
+    w = Window.partitionBy("session_id", "fine").orderBy(*order)
     # A null page is a visit like any other: "has a next visit" is not "next page is known".
-    marked = rows.select("session_id", "slice", "page_id",
+    marked = rows.select("session_id", "slice", "fine", "page_id",
                          F.lead(F.struct("page_id")).over(w).alias("next"),
-                         (F.row_number().over(w) == 1).alias("is_first"))
-    local = (marked.groupBy("session_id", "slice", "page_id",
-                            F.col("next.page_id").alias("next_page"), F.col("next").isNull().alias("is_last"))
-             .agg(F.count(F.lit(1)).alias("n"), F.max("is_first").alias("is_first")))
-    # Descending slices; inside a slice its last visit comes first, so the frame
-    # before it holds only later slices.
-    ws = (Window.partitionBy("session_id")
-          .orderBy(F.desc("slice"), F.desc("is_last"), "page_id", "next_page")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    next_first = F.last(F.when(F.col("is_first"), F.struct("page_id")), ignorenulls=True).over(ws)
-    linked = local.select("page_id", "next_page", "is_last", "n", next_first.alias("next_first"))
-    known = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull()
-    pair = F.when(~F.col("is_last") & known("page_id", "next_page"),
-                  F.struct(F.col("page_id").alias("from_page"), F.col("next_page").alias("to_page"),
+                         (F.row_number().over(w) == 1).alias("is_first"), F.lit(1).cast("long").alias("n"))
+    marked = marked.withColumn("is_last", F.col("next").isNull())
+    minutes = _linked(_counted(marked, ["session_id", "slice", "fine"]), ["session_id", "slice"], "fine")
+    linked = _linked(_counted(minutes, ["session_id", "slice"]), ["session_id"], "slice")
+    pair = F.when(F.col("page_id").isNotNull() & F.col("next.page_id").isNotNull(),
+                  F.struct(F.col("page_id").alias("from_page"), F.col("next.page_id").alias("to_page"),
                            F.col("n").alias("n")))
-    across = F.when(F.col("is_last") & known("page_id", "next_first.page_id"),
-                    F.struct(F.col("page_id").alias("from_page"), F.col("next_first.page_id").alias("to_page"),
-                             F.lit(1).cast("long").alias("n")))
-    parts = [pair, across]
+    parts = [pair]
     if views:
         parts.append(F.struct(F.col("page_id").alias("from_page"), F.lit(None).cast("long").alias("to_page"),
                               F.col("n").alias("n")))

@@ -64,3 +64,19 @@ def test_null_pages_are_visits_but_make_no_jump(spark):
     for chars in (16, 13):
         got = sorted(map(tuple, op.page_transitions(visits(spark, rows), chars).collect()))
         assert got == [(3, 4, 1)], (chars, got)
+
+
+def test_hot_minute_of_a_hot_session(spark):
+    """A third of all visits in one minute of one session: exact, and no fine slice holds more than its ids."""
+    v = AdapterTables(spark, SF_ORACLE).visits()
+    hot = F.col("event_id") % 3 == 0
+    v = (v.withColumn("session_id", F.when(hot, F.lit("hot_session")).otherwise(F.col("session_id")))
+         .withColumn("action_time", F.when(hot, F.concat(F.lit("2024-01-05 10:10:"), F.lpad((F.col("event_id") % 60).cast("string"), 2, "0"))).otherwise(F.col("action_time")))
+         .withColumn("page_id", F.when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("page_id"))))
+    w = Window.partitionBy("session_id").orderBy("action_time", "event_id")
+    naive = (v.select(F.col("page_id").alias("from_page"), F.lead("page_id").over(w).alias("to_page"))
+             .where("from_page is not null and to_page is not null").groupBy("from_page", "to_page").agg(F.count("*").alias("jumps")))
+    for chars in (16, 13):
+        assert sorted(map(tuple, op.page_transitions(v, chars).collect())) == sorted(map(tuple, naive.collect()))
+    spread = v.where(hot).groupBy("action_time", F.shiftright("event_id", 16)).count().agg(F.max("count"), F.count("*")).first()
+    assert spread[0] <= 200 and spread[1] >= 20
