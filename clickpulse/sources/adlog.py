@@ -36,11 +36,12 @@ def decode_ad_log(lines: DataFrame, keep: tuple[str, ...] = (), latest: Column |
     read). Fields are trimmed; extra ones are ignored, as in the reference. Rejects
     keep the raw line and the first reason that applies.
     """
-    parts = F.split(F.coalesce(F.col("value"), F.lit("")), ",")
-    text = lambda i: F.nullif(F.trim(F.get(parts, i)), F.lit(""))
+    # The fields once as a column: an expression used for every field would be evaluated for each.
+    split = lines.select(*keep, "value", F.split(F.coalesce(F.col("value"), F.lit("")), ",").alias("_parts"))
+    text = lambda i: F.nullif(F.trim(F.get("_parts", i)), F.lit(""))
     fields = [text(0).try_cast("long").alias("ts")] + [
         text(i).alias(name) for i, name in enumerate(AD_LINE_FIELDS[1:], start=1)]
-    parsed = lines.select(*keep, "value", F.size(parts).alias("_fields"), *fields)
+    parsed = split.select(*keep, "value", F.size("_parts").alias("_fields"), *fields)
     latest = F.current_timestamp() + F.expr(f"INTERVAL {MAX_AHEAD}") if latest is None else latest
     blank = F.lit(False)
     for name in AD_LINE_FIELDS[1:]:
