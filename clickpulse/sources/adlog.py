@@ -37,8 +37,9 @@ def decode_ad_log(lines: DataFrame, keep: tuple[str, ...] = (), latest: Column |
     keep the raw line and the first reason that applies.
     """
     # The fields once as a column: an expression used for every field would be evaluated for each.
-    split = lines.select(*keep, "value", F.split(F.coalesce(F.col("value"), F.lit("")), ",").alias("_parts"))
-    text = lambda i: F.nullif(F.trim(F.get("_parts", i)), F.lit(""))
+    parts = F.expr("transform(split(coalesce(value, ''), ','), x -> nullif(trim(x), ''))")
+    split = lines.select(*keep, "value", parts.alias("_parts"))
+    text = lambda i: F.get("_parts", i)
     fields = [text(0).try_cast("long").alias("ts")] + [
         text(i).alias(name) for i, name in enumerate(AD_LINE_FIELDS[1:], start=1)]
     parsed = split.select(*keep, "value", F.size("_parts").alias("_fields"), *fields)
