@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +24,12 @@ from clickpulse import operators as op  # noqa: E402
 from clickpulse.sources import AdapterTables, decode_ad_log, encode_ad_log  # noqa: E402
 
 # The training-data operators and their pipeline are optional: without them the rest still works.
-try:
+# What is there is imported as usual, errors included.
+_LLM = find_spec("clickpulse.llm")
+if _LLM and _LLM.origin and find_spec("corpus_pipeline"):
     import corpus_pipeline
     from clickpulse.llm import registry as llm_registry
-except ModuleNotFoundError as gone:
-    if gone.name not in ("corpus_pipeline", "clickpulse.llm"):
-        raise
+else:
     corpus_pipeline = llm_registry = None
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
