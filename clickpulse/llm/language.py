@@ -30,7 +30,7 @@ FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
 FIT_PER_LANG = 500
 MAX_LANGS = 256
-SLICE = 1 << 20
+SLICE = 1 << 19
 EPOCHS, BATCH = 4, 16
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.001
 UNKNOWN = "und"
@@ -96,6 +96,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         rows += batch.num_rows
         for part in T.slices(batch.column(0), SLICE):
             seen += np.bincount(grams(part)[1], minlength=FEATURES)
+    T.trim()
     used = np.flatnonzero(seen)
     yield pa.RecordBatch.from_pydict({"feature": pa.array(np.append(used, -1)), "n": pa.array(np.append(seen[used], rows))})
 
@@ -179,6 +180,7 @@ def _temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = FIT_PER_LANG) -> Model | None:
     """Learn from the rows of ``train`` with a language and a text; None if there are none."""
+    T.small_batches(train.sparkSession)
     rows = train.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
     top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
     if not top:
@@ -189,8 +191,11 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     total, df = found.pop(-1), np.zeros(FEATURES)
     df[list(found)] = list(found.values())
     idf = np.log((1 + total) / (1 + df)) + 1
-    order = F.expr("row_number() OVER (PARTITION BY lang ORDER BY xxhash64(id), id)")
-    picked = rows.where(F.col("lang").isin(langs)).select("id", "lang", order.alias("n")).where(F.col("n") <= per_lang)
+    # The first rows of each shard of a language, then of the language: no task gets a share from every other one.
+    picked = rows.where(F.col("lang").isin(langs)).select("id", "lang", F.expr("pmod(xxhash64(id, 1), 64)").alias("shard"))
+    for group in ("lang, shard", "lang"):
+        order = F.expr(f"row_number() OVER (PARTITION BY {group} ORDER BY xxhash64(id), id)")
+        picked = picked.select("id", "lang", "shard", order.alias("n")).where(F.col("n") <= per_lang)
     keep = F.broadcast(picked.select("id", "lang").distinct()) if len(langs) * per_lang <= 200_000 else picked.select("id", "lang").distinct()
     sample = rows.join(keep, ["id", "lang"], "left_semi").dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(len(langs) * per_lang)
     got = sample.select("text", "lang").mapInArrow(_vectors, "lang string, feature array<int>, n array<int>").toArrow()
@@ -220,6 +225,7 @@ def predictor(model: Model | None):
             best = np.concatenate([x.argmax(axis=1) for x in p]) if p else np.zeros(0, np.int64)
             score = np.concatenate([x.max(axis=1) for x in p]) if p else np.zeros(0)
             yield pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
+        T.trim()
 
     udf = F.arrow_udf(predict, SCHEMA)
     return lambda text: F.when(text.rlike(r"\p{L}"), udf(text)).otherwise(unknown)

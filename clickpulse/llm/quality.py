@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
@@ -138,6 +138,7 @@ def _quality(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         counts = {c: np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64) for c in _COUNTS}
         counts |= _verdict(counts)
         yield pa.StructArray.from_arrays([pa.array(counts[f.name], type=f.type) for f in _TYPE], fields=list(_TYPE))
+    T.trim()
 
 
 quality_of = F.arrow_udf(_quality, SCHEMA)
@@ -145,10 +146,12 @@ quality_of = F.arrow_udf(_quality, SCHEMA)
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: its id, the counts of ``SCHEMA``, ``base_failed`` and ``kept``."""
+    T.small_batches(docs.sparkSession)
     q = docs.select(F.col(id_col), quality_of(F.col(text_col)).alias("q"))
     return q.select(id_col, "q.*")
 
 
-def accepted(text: Column) -> Column:
-    """Whether a text passes; for ``docs.where(...)``, which leaves all columns as they are."""
-    return quality_of(text)["kept"]
+def accepted(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that pass."""
+    T.small_batches(docs.sparkSession)
+    return docs.where(quality_of(F.col(text_col))["kept"])

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from clickpulse.llm import byte_bpe, chat, language, lm_score, neighbours, packing, quality, repeats, simhash, token_counts
 
+from clickpulse.llm.textcols import small_batches
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

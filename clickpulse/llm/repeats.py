@@ -232,6 +232,7 @@ def repeated_low(data: np.ndarray, starts: np.ndarray, ids: np.ndarray, depth: i
 def _send_anchors(cfg):
     def send(docs: pa.Table) -> pa.Table:
         used, blobs = Chunk(docs, cfg).anchors()
+        T.trim()
         return pa.table({"bucket": pa.array(used, pa.int64()), "chunk": pa.array([docs.column("chunk")[0].as_py()] * len(used), pa.int64()),
                          "hashes": pa.array([h for h, _ in blobs], pa.binary()), "shared": pa.array([s for _, s in blobs], pa.binary())})
     return send
@@ -261,6 +262,7 @@ def _send_texts(cfg):
         own = Chunk(docs, cfg)
         own.stretches(_by_bucket(answers, 1))
         out = own.texts()
+        T.trim()
         return pa.table(out | {"chunk": [docs.column("chunk")[0].as_py()] * len(out["bucket"])}).select(schema.names).cast(schema) if out["bucket"] else schema.empty_table()
     return send
 
@@ -307,6 +309,7 @@ def _meet_texts(cfg):
             flags[T.ragged(ends[own], size[own] - window + 1)[0]] = found
             lo = hi
         at = np.cumsum([0, *(len(x) for x in sizes)])
+        T.trim()
         bits = [np.packbits(flags[ends[a]:ends[b]]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
         return pa.table({"chunk": rows.column("chunk"), "step": pa.array([2] * len(bits), pa.int32()), "bucket": rows.column("bucket"), "bits": pa.array(bits, pa.binary())})
     return meet
@@ -325,6 +328,7 @@ def _cut(cfg):
         begins[first] |= gone[first]
         removed = T.per_segment(gone, own.offsets)
         size = np.diff(own.offsets)
+        T.trim()
         kept = T.binary(own.data[~gone], np.concatenate([[0], np.cumsum(size - removed)])).cast(pa.binary())
         return pa.table({"rest": docs.column("rest"), "n_bytes": pa.array(size), "n_removed": pa.array(removed), "n_spans": pa.array(T.per_segment(begins, own.offsets)), "kept": kept})
     return cut
@@ -333,6 +337,7 @@ def _cut(cfg):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row for each row of ``docs``: ``rest`` (a struct of its columns but the text), ``n_bytes``,
     ``n_removed``, ``n_spans`` and ``kept``, the remaining bytes of the text."""
+    T.small_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     chunks = max(1, -(-total // chunk_bytes))
     cfg = (window, gram, chunks)

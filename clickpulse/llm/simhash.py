@@ -72,6 +72,7 @@ def _fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
         parts = [fingerprints(p) for p in T.slices(texts)]
         yield pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64))
+    T.trim()
 
 
 fingerprint_of = F.arrow_udf(_fingerprints, LongType())
@@ -116,12 +117,14 @@ def components(fps: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id, ``fingerprint`` (hex) and ``component_id``."""
+    T.small_batches(docs.sparkSession)
     fps = write_and_reread(docs.select(F.col(id_col).alias("id"), fingerprint_of(F.col(text_col)).alias("fp")), "simhash-fps")
     return fps.join(components(fps), "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, but only the first (by id, then text) of each component."""
+    T.small_batches(docs.sparkSession)
     key = "_row_key"
     tagged = write_and_reread(docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), fingerprint_of(F.col(text_col)).alias("fp"), F.monotonically_increasing_id().alias(key)), "simhash-docs")
     thin = tagged.select("id", "fp", key)
