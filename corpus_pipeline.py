@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clickpulse.llm import language, packing, quality, repeats, simhash
 from clickpulse.session import scratch_path
@@ -18,7 +17,7 @@ from clickpulse.session import scratch_path
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept."""
-    return docs.where(quality.accepted(F.col("text")))
+    return quality.accepted(docs)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
