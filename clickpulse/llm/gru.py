@@ -86,9 +86,14 @@ def lanes(lengths: np.ndarray, most: int) -> list[np.ndarray]:
     return [np.array(found[i]) for i in sorted(range(n), key=lambda i: (-loads[i], i))]
 
 
-def _exp(logits: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """exp(logits), shifted (in place) by each row's largest if the weights allow large ones; states lie between -1 and 1."""
-    if np.abs(weights).sum(axis=1).max() + np.abs(bias).max() > 60:
+def _large(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether logits could leave the range of exp; states lie between -1 and 1."""
+    return bool(np.abs(weights).sum(axis=1).max() + np.abs(bias).max() > 60)
+
+
+def _exp(logits: np.ndarray, large: bool) -> np.ndarray:
+    """exp(logits), shifted (in place) by each row's largest if they could be large."""
+    if large:
         logits -= logits.max(axis=1, keepdims=True)
     return np.exp(logits)
 
@@ -125,22 +130,23 @@ class Gru:
             h = out[t] = new + z * (h - new)
         return out
 
-    def output(self, h: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, dict | None, np.ndarray | None]:
-        """Log-probability (natural) of each target's class, times its word's if its class has a word layer. With weights, also the gradients of their
-        sum by parameter (negated, for descent) and by state."""
+    def output(self, h: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray | None, dict | None, np.ndarray | None]:
+        """Log-probability (natural) of each target's class, times its word's if its class has a word layer. With
+        weights, instead the gradients of their weighted sum by parameter (negated, for descent) and by state."""
         p, cls = self.p, self.class_of[target]
         rows = np.arange(len(h))
         logits = h @ p["class_w"] + p["class_b"]
-        e = _exp(logits, p["class_w"].T, p["class_b"])
-        total = e.sum(axis=1, keepdims=True)
-        score = logits[rows, cls] - np.log(total[:, 0])
-        grads = back = None
-        if weight is not None:
-            e /= total
-            e[rows, cls] -= 1
-            e *= weight[:, None]
+        e = _exp(logits, _large(p["class_w"].T, p["class_b"]))
+        total = e.sum(axis=1)
+        score = grads = back = None
+        if weight is None:
+            score = logits[rows, cls] - np.log(total)
+        else:
+            e *= (weight / total)[:, None]
+            e[rows, cls] -= weight
             grads = {"class_w": h.T @ e, "class_b": e.sum(axis=0), "word": {}}
             back = e @ p["class_w"].T
+        large = _large(p["word_w"], p["word_b"])
         order = np.argsort(cls, kind="stable")
         cuts = np.searchsorted(cls[order], np.arange(self.shape.layered + 1))
         for c in range(self.shape.layered):
@@ -150,14 +156,15 @@ class Gru:
                 continue
             own = h[at]
             logits = own @ p["word_w"][a:b].T + p["word_b"][a:b]
-            e = _exp(logits, p["word_w"][a:b], p["word_b"][a:b])
-            total = e.sum(axis=1, keepdims=True)
-            k = np.arange(len(at))
-            score[at] += logits[k, target[at] - a] - np.log(total[:, 0])
-            if weight is not None:
-                e /= total
-                e[k, target[at] - a] -= 1
-                e *= weight[at][:, None]
+            e = _exp(logits, large)
+            total = e.sum(axis=1)
+            k, own_target = np.arange(len(at)), target[at] - a
+            if weight is None:
+                score[at] += logits[k, own_target] - np.log(total)
+            else:
+                own_weight = weight[at]
+                e *= (own_weight / total)[:, None]
+                e[k, own_target] -= own_weight
                 grads["word"][c] = (e.T @ own, e.sum(axis=0))
                 back[at] += e @ p["word_w"][a:b]
         return score, grads, back
@@ -180,24 +187,25 @@ class Gru:
             flat_w = weight.ravel()
             _, grads, back = self.output(out.reshape(-1, n), target.ravel(), flat_w / max(1.0, flat_w.sum()) * 32)
             back = back.reshape(out.shape)
-            steps = np.empty((*ids.shape, 3 * n), dtype=np.float32)
-            inner = np.empty_like(steps)
+            inner = np.empty((*ids.shape, 3 * n), dtype=np.float32)  # by the gates' inputs from the state
+            new_in = np.empty_like(out)  # by the new state's input from the token
             dh = np.zeros_like(out[0])
             for t in range(len(ids) - 1, -1, -1):
                 before, z, r, new, v = tape[t]
                 dh += back[t]
                 dn = dh * (1 - z) * (1 - new * new)
-                steps[t, :, :n] = inner[t, :, :n] = dh * (before - new) * z * (1 - z)
-                steps[t, :, n:2 * n] = inner[t, :, n:2 * n] = dn * v * r * (1 - r)
-                steps[t, :, 2 * n:] = dn
+                new_in[t] = dn
+                inner[t, :, :n] = dh * (before - new) * z * (1 - z)
+                inner[t, :, n:2 * n] = dn * v * r * (1 - r)
                 inner[t, :, 2 * n:] = dn * r
                 dh = (dh * z + inner[t] @ self.p["state"].T) * keep[t][:, None]
             before = np.stack([x[0] for x in tape]).reshape(-1, n)
             self._descend("state", slice(None), before.T @ inner.reshape(-1, 3 * n), rate)
+            inner[:, :, 2 * n:] = new_in  # now by the inputs from the token
             used, back_to = np.unique(ids.ravel(), return_inverse=True)
             order = np.argsort(back_to, kind="stable")
             begins = np.searchsorted(back_to[order], np.arange(len(used)))
-            self._descend("gates", used, np.add.reduceat(steps.reshape(-1, 3 * n)[order], begins, axis=0), rate)
+            self._descend("gates", used, np.add.reduceat(inner.reshape(-1, 3 * n)[order], begins, axis=0), rate)
             self._descend("class_w", slice(None), grads["class_w"], rate)
             self._descend("class_b", slice(None), grads["class_b"], rate)
             for c, (w, b) in grads["word"].items():

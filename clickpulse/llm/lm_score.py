@@ -37,7 +37,7 @@ from clickpulse.plans import write_and_reread
 HEAD, HEAD_CLASSES = 2048, 32
 TAIL_BITS = 6
 TAILS = 1 << TAIL_BITS
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 #: Shares of the training rows, by a hash of the id, for one round of training each (of 16).
 ROUNDS = ((0, 1), (1, 4), (4, 16))
 TRAIN_LANES, SCORE_LANES = 256, 256
@@ -87,6 +87,7 @@ def _send_words(buckets: int):
         counts = np.bincount(which[train], minlength=len(words)).astype(np.uint64)
         cuts = _cuts(words, buckets)
         used = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+        T.trim()
         return pa.table({"bucket": pa.array(used, pa.int64()), "chunk": pa.array([rows.column("chunk")[0].as_py()] * len(used), pa.int64()),
                          "keys": pa.array([_pack(words[cuts[b]:cuts[b + 1]]) for b in used], pa.binary()),
                          "counts": pa.array([_bytes(counts[cuts[b]:cuts[b + 1]]) for b in used], pa.binary())})
@@ -170,6 +171,7 @@ def _train(model: Model, rate: float):
                 net.train(ids[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], TRAIN_LANES, rate)
                 lo = hi
             tokens += len(ids)
+        T.trim()
         if tokens:
             blocks = np.array_split(net.flat, BLOCKS)
             yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "part": pa.array([TaskContext.get().partitionId() % BLOCKS] * BLOCKS, pa.int32()),
@@ -242,6 +244,7 @@ def _score(model: Model | None, buckets: int):
                 lo = hi
         else:
             total = T.per_segment(base[which], offsets, np.float64)
+        T.trim()
         return pa.table({"id": rows.column("id"), "n_tokens": pa.array(np.diff(offsets)), "n_known": pa.array(T.per_segment((count > 0)[which], offsets)),
                          "base_score": pa.array(T.per_segment(base[which], offsets, np.float64)), "score": pa.array(total)})
     return score
@@ -254,6 +257,7 @@ def held_out(id_col: Column) -> Column:
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row for each row of ``docs``: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``
     (log10); learns from the rows not held out."""
+    T.small_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     chunks = max(1, -(-total // chunk_bytes))
     rows = docs.select(F.pmod(F.xxhash64(id_col, text_col), F.lit(chunks)).alias("chunk"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), (~held_out(F.col(id_col))).alias("train"))

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.llm import byte_bpe, chat, language, lm_score, neighbours, packing, quality, repeats, simhash, token_counts
-
 from clickpulse.llm.textcols import small_batches
 
 
