@@ -25,9 +25,10 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from clickpulse.llm import textcols as T
 
 #: Lengths of the n-grams, and the percentage of the word characters that may lie inside repeated ones.
-MOST_REPEATED = {3: 60, 5: 55, 7: 52, 10: 50}
+#: All are below the base rule's share, which any repeated n-gram counts towards.
+MOST_REPEATED = {3: 30, 5: 29, 7: 28, 10: 25}
 #: The same for whole lines that occur twice or more.
-MOST_REPEATED_LINES = 50
+MOST_REPEATED_LINES = 30
 #: Symbols for each 100 words.
 MOST_SYMBOLS = 40
 MIN_WORDS, MOST_REPEAT_WORDS = 50, 50

@@ -40,3 +40,19 @@ def test_verdicts_and_columns(spark):
     failed = dict(rows(quality.quality_rules(df), "doc_id", "base_failed"))
     assert failed[1] and failed[2] and failed[3] and failed[5] and not failed[0] and not failed[4]
     assert quality.quality_rules(docs(spark, [])).collect() == []
+
+
+def test_coverage_alone_rejects(spark):
+    rng = random.Random(3)
+    fresh = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+    passage, line, triples = fresh(10), fresh(10), [fresh(3) for _ in range(6)]
+    texts = [fresh(50) + "".join(f"\n{line}" for _ in range(5)),  # half of the words: the base rule accepts it
+             " ".join(x for _ in range(3) for x in (fresh(20), passage)),  # one third, in 10-grams
+             " ".join(x for t in triples * 2 for x in (fresh(4), t)),  # 36 of 84 words, in 3-grams
+             fresh(90) + f" {passage} " + fresh(1) + f" {passage}",  # 20 of 111 words
+             fresh(100)]
+    got = quality.quality_rules(docs(spark, texts))
+    assert rows(got, "doc_id", "base_failed") == [(i, False) for i in range(5)]
+    assert all(n == 0 for (n,) in rows(got, "n_symbols"))
+    assert rows(got.where("kept"), "doc_id") == [(3,), (4,)]
+    assert rows(quality.accepted(docs(spark, texts)), "doc_id") == [(3,), (4,)]
