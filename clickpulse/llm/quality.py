@@ -30,7 +30,7 @@ MOST_REPEATED = {3: 30, 5: 29, 7: 28, 10: 25}
 #: The same for whole lines that occur twice or more.
 MOST_REPEATED_LINES = 30
 #: Symbols for each 100 words.
-MOST_SYMBOLS = 40
+MOST_SYMBOLS = 10
 MIN_WORDS, MOST_REPEAT_WORDS = 50, 50
 
 SYMBOLS = np.zeros(256, dtype=bool)

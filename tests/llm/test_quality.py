@@ -56,3 +56,13 @@ def test_coverage_alone_rejects(spark):
     assert all(n == 0 for (n,) in rows(got, "n_symbols"))
     assert rows(got.where("kept"), "doc_id") == [(3,), (4,)]
     assert rows(quality.accepted(docs(spark, texts)), "doc_id") == [(3,), (4,)]
+
+
+def test_lines_of_words_joined_by_bars_are_rejected(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    menu = "\n".join(" ".join(word() for _ in range(6)) + " | " + word() for _ in range(20))  # 20 symbols for 160 words
+    prose = " ".join(word() for _ in range(150)) + " 5% & 7% of $10 | more" + "".join(f" {word()}" for _ in range(40))
+    got = quality.quality_rules(docs(spark, [menu, menu.replace(" | ", " "), prose]))
+    assert rows(got, "doc_id", "n_symbols", "base_failed") == [(0, 20, False), (1, 0, False), (2, 5, False)]
+    assert rows(got.where("kept"), "doc_id") == [(1,), (2,)]
