@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from clickpulse.llm import textcols as T
+from clickpulse.plans import write_and_reread
 
 WINDOW = 50
 #: Length of the k-grams; a window holds WINDOW - GRAM + 1 of them.
@@ -51,6 +52,8 @@ STEP = 1 << 18
 HASH_BITS = 48
 #: Stretches handled at a time.
 PART = 1 << 14
+#: What a row takes besides its text.
+ROW_BYTES = 64
 NO_ID = np.iinfo(np.int64).max
 
 _SYMBOL = T.mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
@@ -96,7 +99,9 @@ def runs(data: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> Runs:
         done = inside.copy()
         done[:-1] &= ~inside[1:] | (at[1:] != at[:-1])
         first, last = np.flatnonzero(fresh), np.flatnonzero(done)
-        found.append((start[first], start[last], h[at[first].astype(np.int64)] >> np.uint64(64 - HASH_BITS), row[first]))
+        # The smallest hashes crowd at the low end: mixed once more (one-to-one), ranges of them are equal shares.
+        chosen = T.mix64(h[at[first].astype(np.int64)])
+        found.append((start[first], start[last], chosen >> np.uint64(64 - HASH_BITS), row[first]))
     return Runs(*(np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.uint64 if i == 2 else np.int64) for i in range(4)))
 
 
@@ -334,15 +339,35 @@ def _cut(cfg):
     return cut
 
 
+def dealt(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> tuple[DataFrame, int]:
+    """``chunk``, ``id``, ``text`` and ``rest`` (a struct of the other columns) of each row, and the number of chunks.
+
+    Equal rows share a chunk, unless they would fill one: then they are written
+    once with a number each, by which they spread (and still do when a task is run again).
+    """
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    rows = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), rest.alias("rest"))
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long")
+    by_key = rows.select("key", size.alias("size")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    large_key = F.when((F.col("n") > 1) & (F.col("size") > chunk_bytes), F.col("key"))
+    equal = write_and_reread(by_key.groupBy(large_key.alias("key")).agg(F.sum("size").alias("size")), "repeats-sizes")
+    total, large = equal.agg(F.sum("size"), F.count("key")).first()
+    chunks = max(1, -(-(total or 0) // chunk_bytes))
+    out = ("chunk", "id", "text", "rest")
+    if not large:
+        return rows.withColumn("chunk", F.pmod("key", F.lit(chunks))).select(*out), chunks
+    keys = F.broadcast(equal.where("key IS NOT NULL").select("key"))  # fewer than chunks
+    spread = write_and_reread(rows.join(keys, "key", "left_semi").withColumn("copy", F.monotonically_increasing_id()), "repeats-equal-rows")
+    once = rows.join(keys, "key", "left_anti").withColumn("chunk", F.pmod("key", F.lit(chunks)))
+    return once.select(*out).unionByName(spread.withColumn("chunk", F.pmod(F.xxhash64("key", "copy"), F.lit(chunks))).select(*out)), chunks
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row for each row of ``docs``: ``rest`` (a struct of its columns but the text), ``n_bytes``,
     ``n_removed``, ``n_spans`` and ``kept``, the remaining bytes of the text."""
     T.small_batches(docs.sparkSession)
-    total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-    chunks = max(1, -(-total // chunk_bytes))
+    rows, chunks = dealt(docs, id_col, text_col, chunk_bytes)
     cfg = (window, gram, chunks)
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
-    rows = docs.select(F.pmod(F.xxhash64(id_col, text_col), F.lit(chunks)).alias("chunk"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), rest.alias("rest"))
     by_chunk = rows.groupBy("chunk")
     anchors = by_chunk.applyInArrow(_send_anchors(cfg), "bucket long, chunk long, hashes binary, shared binary")
     held = anchors.groupBy("bucket").applyInArrow(_meet_anchors, _ANSWER)

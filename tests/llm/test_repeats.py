@@ -74,3 +74,22 @@ def test_filter_keeps_columns_and_whole_characters(spark):
     assert out.columns == df.columns and out.schema["n_chars"].dataType == df.schema["n_chars"].dataType
     assert dict(rows(out, "doc_id", "text"))[1] == "à" and dict(rows(out, "doc_id", "n_chars"))[1] == 1
     assert repeats.without_repeats(docs(spark, [])).collect() == []
+
+
+def test_ranges_of_hashes_are_equal_shares():
+    data = np.random.default_rng(8).integers(97, 123, 300_000).astype(np.uint8)
+    found = repeats.runs(data, np.array([0, len(data)]), repeats.WINDOW, repeats.GRAM)
+    shares = np.bincount((found.hash >> np.uint64(repeats.HASH_BITS - 6)).astype(np.int64), minlength=64) / len(found.hash)
+    assert len(shares) == 64 and shares.max() < 1.3 / 64 and shares.min() > 0.7 / 64
+
+
+def test_many_equal_rows_spread_over_chunks(spark):
+    rng = random.Random(9)
+    prose = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
+    same, shared = prose(900), prose(200)
+    items = [(7, same + shared)] * 200 + [(None, same)] * 100 + [(3, shared), (8, prose(60) + shared), (9, None)] + [(20 + i, prose(500)) for i in range(20)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in items], "doc_id LONG, text STRING, source STRING")
+    out, chunks = repeats.dealt(df, "doc_id", "text", 20_000)
+    sizes = [r["count"] for r in out.groupBy("chunk").count().collect()]
+    assert sum(sizes) == len(items) and chunks > 10 and max(sizes) < 60
+    assert run(spark, items, chunk_bytes=20_000) == plain(items)
