@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm import byte_bpe, chat, language, lm_score, neighbours, packing, quality, repeats, simhash, token_counts
+from clickpulse.llm import byte_bpe, chat, language, lm_score, mixing, neighbours, packing, quality, repeats, simhash, spelling, token_counts, turns
 from clickpulse.llm.textcols import small_batches
 
 
@@ -66,6 +66,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.damaged_words(_read(spark, sf_dir, "documents")))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.mix(_read(spark, sf_dir, "documents")).taken()
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = turns.read_back(turns.repair(turns.damage(rows))).withColumnRenamed("conv_id", "_conv")
+    every = rows.select("conv_id").distinct()
+    counts = (F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))
+    return (every.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+            .select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")))
+
+
 def queries() -> dict:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -78,6 +96,9 @@ def queries() -> dict:
         "op8_length_buckets": op8_length_buckets,
         "op9_simhash_components": op9_simhash_components,
         "op10_token_counts": op10_token_counts,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_source_mix": op12_source_mix,
+        "op13_turn_repair": op13_turn_repair,
     }
 
 
@@ -153,10 +174,113 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIG
 FROM c"""
 
 
+def _crc32_sql(text: str) -> str:
+    """crc32 of the UTF-8 bytes of a text whose characters are below U+0800, a bit at a time."""
+    octets = f"flatten(list_transform(string_split({text}, ''), c -> CASE WHEN c = '' THEN [] WHEN ord(c) < 128 THEN [ord(c)] ELSE [192 + ord(c) // 64, 128 + ord(c) % 64] END))"
+    bits = f"flatten(list_transform({octets}, b -> [CAST(b AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))"
+    return f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || {bits}, lambda a, x: {step}), 4294967295)".replace("c -> ", "lambda c: ").replace("b -> ", "lambda b: ")
+
+
+_OP11_SQL = f"""WITH RECURSIVE runs AS (
+  SELECT id, run, count(*) AS k FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{spelling.LETTERS}')) AS run FROM documents)
+  WHERE length(run) >= {spelling.MIN_LETTERS} GROUP BY id, run),
+hashed AS (SELECT run, k, {_crc32_sql("id || ':' || run")} AS h FROM runs),
+w AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+    SELECT k, CASE WHEN h % {spelling.DAMAGE} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= {spelling.MIN_LETTERS} GROUP BY word HAVING sum(k) >= {spelling.MIN_COUNT}),
+v AS (SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS less FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM w)),
+gone AS (SELECT DISTINCT v.word AS a, w.word AS b FROM v JOIN w ON v.less = w.word),
+near AS (SELECT a.word AS word, b.word AS near FROM v a JOIN v b ON a.p = b.p AND a.less = b.less AND a.word <> b.word
+         UNION SELECT a, b FROM gone UNION SELECT b, a FROM gone),
+best AS (SELECT near.word, near.near, m.n AS near_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+                row_number() OVER (PARTITION BY near.word ORDER BY m.n DESC, near.near) AS r FROM near JOIN w m ON m.word = near.near),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {spelling.DOMINANT} * w.n THEN near END AS form,
+             CASE WHEN near_n >= {spelling.DOMINANT} * w.n THEN near_n END AS form_n FROM w LEFT JOIN best ON best.word = w.word AND r = 1),
+chain AS (SELECT word, form AS step FROM f WHERE form IS NOT NULL
+          UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.step WHERE f.form IS NOT NULL),
+ends AS (SELECT chain.word, step FROM chain JOIN f ON f.word = step WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(step, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN ends ON ends.word = f.word"""
+
+
+_OP12_SQL = rf"""WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, ''))) || ':{mixing.SEED}') AS key FROM documents),
+s AS (SELECT source, source_size, [{', '.join(map(str, mixing.WEIGHTS))}][CAST(place % {len(mixing.WEIGHTS)} AS INT) + 1] AS w, {mixing.MOST_REPEATS} * source_size AS most FROM (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source)),
+level AS (
+  SELECT CAST((SELECT sum(source_size) FROM s) AS HUGEINT) AS words, CAST((SELECT sum(w) FROM s) AS HUGEINT) AS weights
+  UNION
+  SELECT CAST((SELECT sum(source_size) FROM s) AS HUGEINT) - coalesce(sum(CASE WHEN level.words * s.w > level.weights * s.most THEN s.most END), 0),
+         CAST(coalesce(sum(CASE WHEN level.words * s.w > level.weights * s.most THEN 0 ELSE s.w END), 0) AS HUGEINT)
+  FROM level, s GROUP BY level.words, level.weights),
+last AS (SELECT words, weights FROM level ORDER BY weights LIMIT 1),
+t AS (SELECT s.*, CASE WHEN words * w > weights * most THEN CAST(most AS DOUBLE) ELSE CAST(words AS DOUBLE) * w / CAST(weights AS DOUBLE) END AS target FROM s, last),
+p AS (SELECT doc_id, d.source, size, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS want,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (want // greatest(source_size, 1)) + greatest(0, least(size, want % greatest(source_size, 1) - start)) AS BIGINT) AS taken FROM p"""
+
+
+#: Least cost by row and state of the role pattern, forwards (a plain dynamic programme, not the operator's search).
+_OP13_SQL = rf"""WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+r AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+                     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                     WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE 'good' END AS fault,
+             lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM o),
+c AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+             count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+             count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+wrote(q, role, after) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+kept(q, initial, after) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+written(q, after, cost, edits, body) AS (
+  SELECT unnest(range(4)), unnest(range(4)), 0, '', '' UNION ALL
+  SELECT q, after, 3, 'I', chr(10) || role || ':' FROM wrote UNION ALL
+  SELECT a.q, b.after, 6, 'II', chr(10) || a.role || ':' || chr(10) || b.role || ':' FROM wrote a JOIN wrote b ON b.q = a.after),
+edits(q, fault, initial, after, cost, edit, role, keeps) AS (
+  SELECT q, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), q, 4, 'D', CAST(NULL AS VARCHAR), false FROM wrote UNION ALL
+  SELECT q, fault, initial, after, x, 'K', NULL, true FROM kept, (VALUES ('good', 0), ('truncated', 3)) AS g(fault, x) UNION ALL
+  SELECT q, fault, NULL, after, 3 + x, 'R', role, true FROM wrote, (VALUES ('good', 0), ('truncated', 3)) AS g(fault, x)),
+dp AS (
+  SELECT conv_id, n, CAST(0 AS BIGINT) AS i, 0 AS q, CAST(0 AS BIGINT) AS cost, '' AS edits, '' AS body FROM c
+  UNION ALL
+  SELECT conv_id, n, i, q, cost, edits, body FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, edits) AS best FROM (
+      SELECT dp.conv_id, dp.n, dp.i + 1 AS i, e.after AS q, dp.cost + written.cost + coalesce(e.cost, 0) AS cost, dp.edits || written.edits || coalesce(e.edit, '') AS edits,
+             dp.body || written.body || CASE WHEN e.keeps THEN chr(10) || coalesce(e.role, r.role) || ':' || r.text ELSE '' END AS body
+      FROM dp JOIN written ON written.q = dp.q JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1
+      JOIN edits e ON e.q = written.after AND coalesce(e.fault, r.fault) = r.fault AND coalesce(e.initial, r.role[1]) = r.role[1]))
+  WHERE best = 1),
+done AS (
+  SELECT dp.conv_id, dp.cost + written.cost AS cost, dp.edits || written.edits AS edits, dp.body || written.body AS body,
+         row_number() OVER (PARTITION BY dp.conv_id ORDER BY dp.cost + written.cost, dp.edits || written.edits) AS best
+  FROM dp JOIN written ON written.q = dp.q WHERE dp.i = dp.n AND written.after IN (0, 3))
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(edits, '') AS audit, sha256(coalesce(substr(body, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM a.conv_id AND best = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": _op1_sql(),
         "op2_repeated_bytes": _OP2_SQL,
         "op5_nearest_vectors": _OP5_SQL,
         "op6_chat_format": _OP6_SQL,
+        "op11_spelling_variants": _OP11_SQL,
+        "op12_source_mix": _OP12_SQL,
+        "op13_turn_repair": _OP13_SQL,
     }

@@ -13,7 +13,7 @@ TABLES = ("documents", "embeddings", "conversations")
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = set(E.queries())
-    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 14))
     assert set(registry.queries()) <= names and "pipeline" in names
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
