@@ -26,8 +26,8 @@ def main(argv=None):
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--threshold", type=int, default=100)
     s.add_argument("--trend-minutes", type=int, default=60)
-    s.add_argument("--counter-ttl-days", type=int, default=None)
-    s.add_argument("--compact-every", type=int, default=10)
+    s.add_argument("--lateness-minutes", type=int, default=None, help="clicks that much behind the newest minute are rejected as late")
+    s.add_argument("--keep-rows", action="store_true", help="write the surviving clicks too")
     s.add_argument("--top-k", type=int, default=3)
     s.add_argument("--processing-time", default="5 seconds")
     s.add_argument("--available-now", action="store_true")
@@ -41,8 +41,8 @@ def main(argv=None):
         _, q = run_stream(spark, a.state, a.checkpoint, path=a.source,
                           kafka=json.loads(a.kafka) if a.kafka else None,
                           threshold=a.threshold, available_now=a.available_now, processing_time=a.processing_time,
-                          trend_minutes=a.trend_minutes, counter_ttl_days=a.counter_ttl_days,
-                          compact_every=a.compact_every, top_k=a.top_k)
+                          trend_minutes=a.trend_minutes, lateness_minutes=a.lateness_minutes,
+                          keep_rows=a.keep_rows, top_k=a.top_k)
         q.awaitTermination()
 
 

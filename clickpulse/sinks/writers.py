@@ -1,15 +1,13 @@
-"""Batch writers.
+"""Batch writers.
 
 Every writer is keyed so that a rerun replaces what the failed attempt wrote:
 ``replace_table`` overwrites, ``upsert_partitions`` overwrites only the
-partitions present in the data, per-batch snapshots overwrite ``batch=<id>``.
+partitions present in the data. The outputs of the ad stream (K6-K8) go by manifests, see ``manifests``.
 """
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.sources.adlog import encode_ad_log
@@ -40,22 +38,6 @@ def upsert_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None
      .partitionBy(*partition_by).parquet(path))
 
 
-def write_batch_snapshot(df: DataFrame, root: str, batch_id: int) -> str:
-    """Replace-all snapshot for one micro-batch (K7, K8): ``<root>/batch=<id>``.
-    One directory per batch, written whole, so readers never see a half-deleted
-    key set (defect D6)."""
-    path = os.path.join(root, f"batch={batch_id}")
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
-    return path
-
-
-def read_latest_snapshot(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The newest ``batch=<id>`` snapshot under ``root`` (partition pruning on ``batch``)."""
-    allv = spark.read.schema(f"{schema}, batch BIGINT").option("basePath", root).parquet(root)
-    latest = allv.select(F.max("batch")).scalar()
-    return allv.where(F.col("batch") == latest).drop("batch")
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                mode: str = "append", batchsize: int = 1000) -> None:
     """JDBC write (K3, K4): one connection and batched inserts per partition;

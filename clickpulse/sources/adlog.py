@@ -27,14 +27,14 @@ def encode_ad_log(clicks: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return clicks.select(*keep, F.when(sound, F.concat_ws(",", *fields)).alias("value"))
 
 
-def decode_ad_log(lines: DataFrame, keep: tuple[str, ...] = (), latest: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """``value`` lines -> (clicks, rejects).
+def judge_ad_log(lines: DataFrame, keep: tuple[str, ...] = (), latest: Column | None = None) -> DataFrame:
+    """``value`` lines with their fields and ``reason``, the first reason to reject a line (null: none).
 
     A line is accepted when its first five fields are there and not blank, and
     the first is a plausible time in epoch ms: from ``EARLIEST_MS`` to
     ``latest`` (a timestamp; default: ``MAX_AHEAD`` after now, when the batch is
-    read). Fields are trimmed; extra ones are ignored, as in the reference. Rejects
-    keep the raw line and the first reason that applies.
+    read: in a stream, the time that its checkpoint holds for the batch, also when it is replayed). Fields
+    are trimmed; extra ones are ignored, as in the reference.
     """
     # The fields once as a column: an expression used for every field would be evaluated for each.
     parts = F.expr("transform(split(coalesce(value, ''), ','), x -> nullif(trim(x), ''))")
@@ -43,19 +43,28 @@ def decode_ad_log(lines: DataFrame, keep: tuple[str, ...] = (), latest: Column |
     fields = [text(0).try_cast("long").alias("ts")] + [
         text(i).alias(name) for i, name in enumerate(AD_LINE_FIELDS[1:], start=1)]
     parsed = split.select(*keep, "value", F.size("_parts").alias("_fields"), *fields)
+    return _judge(parsed, latest).select(*keep, "value", *AD_LINE_FIELDS, "reason")
+
+
+def _judge(parsed: DataFrame, latest: Column | None) -> DataFrame:
     latest = F.current_timestamp() + F.expr(f"INTERVAL {MAX_AHEAD}") if latest is None else latest
     blank = F.lit(False)
     for name in AD_LINE_FIELDS[1:]:
         blank = blank | F.col(name).isNull()
-    reason = (F.when(F.col("ts").isNull(), F.lit("bad timestamp"))
-              .when(F.col("_fields") < len(AD_LINE_FIELDS), F.lit("too few fields"))
-              .when(F.col("ts") < EARLIEST_MS, F.lit("timestamp too early"))
-              .when(F.col("ts") > F.unix_millis(latest), F.lit("timestamp too late"))
-              .when(blank, F.lit("blank field")))
-    judged = parsed.withColumn("_reason", reason)
-    good = judged.where("_reason IS NULL").select(*keep, *AD_LINE_FIELDS)
-    bad = judged.where("_reason IS NOT NULL").select(*keep, "value", F.col("_reason").alias("reason"))
-    return good, bad
+    return parsed.withColumn("reason", F.when(F.col("ts").isNull(), F.lit("bad timestamp"))
+                             .when(F.col("_fields") < len(AD_LINE_FIELDS), F.lit("too few fields"))
+                             .when(F.col("ts") < EARLIEST_MS, F.lit("timestamp too early"))
+                             .when(F.col("ts") > F.unix_millis(latest), F.lit("timestamp too late"))
+                             .when(blank, F.lit("blank field")))
+
+
+def _parted(judged: DataFrame, keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    return judged.where("reason IS NULL").select(*keep, *AD_LINE_FIELDS), judged.where("reason IS NOT NULL").select(*keep, "value", "reason")
+
+
+def decode_ad_log(lines: DataFrame, keep: tuple[str, ...] = (), latest: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """``value`` lines -> (clicks, rejects), as ``judge_ad_log`` says. Rejects keep the raw line and the reason."""
+    return _parted(judge_ad_log(lines, keep, latest), keep)
 
 
 def event_time(ts_millis: str | Column = "ts") -> Column:

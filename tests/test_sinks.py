@@ -1,4 +1,4 @@
-"""Writers and versioned state."""
+"""Writers and manifests."""
 
 import os
 
@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 
 from clickpulse.plans import cut_lineage, write_and_reread
 from clickpulse.session import checkpoint_dir
-from clickpulse.sinks import (
-    VersionedTable, read_latest_snapshot, replace_table, upsert_partitions, write_batch_snapshot,
-)
-from clickpulse.sinks.versioned import distinct_rows, summed
+from clickpulse.sinks import Manifests, SharedFiles, replace_table, upsert_partitions
+from clickpulse.sinks.manifests import KEPT
 from clickpulse.sources import read_ad_lines
 from clickpulse.sinks.writers import write_ad_log
 from tests import helpers as h
@@ -30,13 +28,6 @@ def test_upsert_replaces_only_touched_days(spark, scratch):
     assert _s(got) == [("d1", "x", 1), ("d2", "x", 5), ("d2", "y", 1)]
 
 
-def test_batch_snapshots_latest(spark, scratch):
-    root = os.path.join(scratch, "snap")
-    for i in range(3):
-        write_batch_snapshot(spark.createDataFrame([(f"v{i}",)], "a string"), root, i)
-    assert _s(read_latest_snapshot(spark, root, "a STRING")) == [("v2",)]
-
-
 def test_replace_table_path(spark, scratch):
     p = os.path.join(scratch, "t")
     replace_table(spark.range(3), p)
@@ -44,21 +35,6 @@ def test_replace_table_path(spark, scratch):
     assert spark.read.parquet(p).count() == 2
 
 
-def test_versioned_table_compaction(spark, scratch):
-    t = VersionedTable(spark, os.path.join(scratch, "vt"), "k STRING, clicks BIGINT", summed(["k"]), every=2)
-    for n in range(5):
-        t.write_delta(spark.createDataFrame([("a", 1), (f"b{n % 2}", n)], "k string, clicks bigint"), n)
-        assert _s(t.read_before(n)) == _s(t.read_upto(n - 1)) if n else t.read_before(0).count() == 0
-        t.maybe_compact(n)
-    assert _s(t.read_upto(4)) == [("a", 5), ("b0", 6), ("b1", 4)]
-    assert os.path.isdir(os.path.join(scratch, "vt", "base", "epoch=2"))
-    s = VersionedTable(spark, os.path.join(scratch, "set"), "u STRING", distinct_rows, every=2)
-    for n, users in enumerate([["x"], [], ["x", "y"]]):
-        s.write_delta(spark.createDataFrame([(u,) for u in users], "u string"), n)
-        s.maybe_compact(n)
-    assert _s(s.read_upto(2)) == [("x",), ("y",)]
-
-
 def test_lineage_cuts_use_shared_folder(spark):
     d = checkpoint_dir(spark)
     df = spark.range(10).withColumn("x", F.col("id") * 2)
@@ -74,66 +50,33 @@ def test_ad_log_text_sink_roundtrip(spark, scratch):
     assert [r.value for r in read_ad_lines(spark, p).collect()] == [f"{h.ms('2019-11-26 10:00:00')},north,bj,3,5"]
 
 
-def test_retention_at_compaction(spark, scratch):
-    from clickpulse.sinks.versioned import newer_than
-    from clickpulse.streaming.ad_stream import newer_than_day
-    mins = VersionedTable(spark, os.path.join(scratch, "m"), "adid STRING, minute_ts TIMESTAMP_NTZ, clicks BIGINT",
-                          summed(["adid", "minute_ts"]), every=2, retain=newer_than("minute_ts", "60 minutes"))
-    mk = lambda rows: spark.createDataFrame(rows, "adid string, minute_ts string, clicks bigint").selectExpr(
-        "adid", "CAST(minute_ts AS TIMESTAMP_NTZ) AS minute_ts", "clicks")
-    mins.write_delta(mk([("1", "2019-11-26 08:00:00", 1), ("1", "2019-11-26 09:30:00", 2)]), 0)
-    mins.maybe_compact(0)
-    mins.write_delta(mk([("1", "2019-11-26 10:00:00", 3)]), 1)
-    mins.maybe_compact(1)                       # base of epoch 1 keeps (10:00 - 60 min, 10:00]
-    got = sorted((str(r.minute_ts), r.clicks) for r in mins.read_before(2).collect())
-    assert got == [("2019-11-26 09:30:00", 2), ("2019-11-26 10:00:00", 3)]
-
-    days = VersionedTable(spark, os.path.join(scratch, "d"), "day STRING, userid STRING, adid STRING, clicks BIGINT",
-                          summed(["day", "userid", "adid"]), every=1, partition_by="day", retain=newer_than_day(2))
-    days.write_delta(spark.createDataFrame([("2019-11-24", "u", "1", 5), ("2019-11-25", "u", "1", 1),
-                                            ("2019-11-26", "u", "1", 2)], "day string, userid string, adid string, "
-                                                                         "clicks bigint"), 0)
-    days.maybe_compact(0)
-    assert sorted(r.day for r in days.read_before(1).collect()) == ["2019-11-25", "2019-11-26"]
-    assert [r.clicks for r in days.read_before(1, only=["2019-11-26"]).collect()] == [2]
-
-
 def test_replace_catalog_table(spark):
     replace_table(spark.range(5), "clickpulse_replace_probe")
     replace_table(spark.range(3), "clickpulse_replace_probe")     # drop-and-replace, rerunnable
     assert spark.table("clickpulse_replace_probe").count() == 3
 
 
-def test_state_read_prunes_to_touched_days(spark, scratch):
-    from clickpulse.plans import plan_text
-    t = VersionedTable(spark, os.path.join(scratch, "pd"), "day STRING, k STRING, clicks BIGINT",
-                       summed(["day", "k"]), every=2, partition_by="day")
-    rows = [(f"2019-11-{d:02d}", "a", 1) for d in range(1, 21)]
-    t.write_delta(spark.createDataFrame(rows, "day string, k string, clicks bigint"), 0)
-    t.maybe_compact(0)
-    t.write_delta(spark.createDataFrame(rows, "day string, k string, clicks bigint"), 1)
-    t.maybe_compact(1)
-    df = t.read_before(2, only=["2019-11-05"])
-    text = plan_text(df)
-    assert text.count("PartitionFilters: [isnotnull(day") >= 1 and "2019-11-05" in text
-    assert [(r.day, r.clicks) for r in df.collect()] == [("2019-11-05", 2)]
-
-
-def test_one_future_row_does_not_expire_the_others(spark, scratch):
-    from clickpulse.sinks.versioned import newer_than
-    from clickpulse.streaming.ad_stream import newer_than_day
-    rows = [("1", "2019-11-26 08:00:00", 1), ("1", "2019-11-26 09:30:00", 2), ("1", "2199-01-01 00:00:00", 3)]
-    df = spark.createDataFrame(rows, "adid string, minute_ts string, clicks bigint").selectExpr(
-        "adid", "CAST(minute_ts AS TIMESTAMP_NTZ) AS minute_ts", "clicks", "substr(minute_ts, 1, 10) AS day")
-    assert sorted(r.clicks for r in newer_than("minute_ts", "60 minutes")(df).collect()) == [2, 3]
-    assert sorted(r.clicks for r in newer_than_day(2)(df).collect()) == [1, 2, 3]
-    assert newer_than("minute_ts", "60 minutes")(df.where("clicks = 3")).count() == 1
-
-
-def test_old_epochs_are_removed_and_state_stays_right(spark, scratch):
-    t = VersionedTable(spark, os.path.join(scratch, "t"), "k STRING, clicks BIGINT", summed(["k"]), every=1)
-    for n in range(6):
-        t.write_delta(spark.createDataFrame([("a", 1)], "k string, clicks bigint"), n)
-        t.maybe_compact(n)
-    assert [tuple(r) for r in t.read_before(6).collect()] == [("a", 6)]
-    assert sorted(os.listdir(os.path.join(scratch, "t", "delta"))) == ["epoch=4", "epoch=5"]
+def test_manifests_name_what_belongs_together_and_remove_the_rest(spark, scratch):
+    m, files = Manifests(spark, scratch), SharedFiles(spark)
+    served = {}
+    for n in range(50):
+        for day in {n // 10, 4 - n % 5}:          # each batch changes a day or two
+            os.makedirs(os.path.join(scratch, "out", f"batch={n}", f"day={day}"))
+            served[day] = n
+        m.publish({"batch": n, "folders": [f"out/batch={b}/day={d}" for d, b in served.items()]})
+        assert m.newest()["batch"] == n
+        for b in m.batches():                      # whatever a reader holds is there whole
+            assert all(files.exists(os.path.join(scratch, f)) for f in m.get(b)["folders"])
+    assert len(m.batches()) == KEPT
+    left = [f for b in files.names(os.path.join(scratch, "out")) for f in files.names(os.path.join(scratch, "out", b))]
+    assert len(left) <= len(served) + 2 * KEPT
+    assert m.get(3) is None and m.get(-1) is None
+
+
+def test_text_files_appear_whole(spark, scratch):
+    files = SharedFiles(spark)
+    path = os.path.join(scratch, "a", "note")
+    files.write(path, "one")
+    files.write(path, "zwei \u00e9")
+    assert files.read(path) == "zwei \u00e9" and files.names(os.path.dirname(path)) == ["note"] or files.names(os.path.dirname(path)) == [".note.crc", "note"]
+    assert files.names(os.path.join(scratch, "nothing")) == []

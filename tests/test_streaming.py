@@ -34,7 +34,7 @@ def _run(spark, scratch, batches, threshold, **kw):
     _write_batches(src, batches)
     lines = read_ad_stream(spark, src, max_files_per_trigger=1)
     job, q = start_ad_stream(lines, os.path.join(scratch, "state"), os.path.join(scratch, "ckpt"),
-                               threshold=threshold, available_now=True, **kw)
+                               threshold=threshold, available_now=True, keep_rows=True, **kw)
     q.awaitTermination()
     return job, q
 
@@ -50,11 +50,11 @@ def test_three_batches_blacklist_effect_from_next_batch(spark, scratch):
          [_line(f"2019-11-26 10:01:1{i}", f"o{i}", "3") for i in range(6)]
     b3 = [_line("2019-11-26 10:02:00", "u1", "1"), _line("2019-11-26 10:02:01", "u1", "2"),
           _line("2019-11-26 10:02:02", "o1", "2")]
-    job, q = _run(spark, scratch, [b1, b2, b3], threshold=8, compact_every=2)
+    job, q = _run(spark, scratch, [b1, b2, b3], threshold=8)
     kept = {r.batch: r.n for r in job.survivors().groupBy("batch").agg(F.count("*").alias("n")).collect()}
     assert kept == {0: 8, 1: 10, 2: 1}
     assert [r.userid for r in job.blacklisted(2).collect()] == ["u1"]
-    assert job.blacklist.read_before(1).count() == 0 and job.blacklist.read_before(2).count() == 1
+    assert job.blacklisted(0).count() == 0 and job.blacklisted(1).count() == 1
 
 
 def _brute_force_stream(batches, threshold):
@@ -86,7 +86,7 @@ def _sf_batches(spark, n_batches=4):
 
 def test_stream_matches_brute_force_on_test_data(spark, scratch):
     batches = _sf_batches(spark)
-    job, q = _run(spark, scratch, batches, threshold=2, compact_every=3)
+    job, q = _run(spark, scratch, batches, threshold=2)
     kept, black = _brute_force_stream(batches, 2)
     got = sorted(tuple(r)[:5] for r in job.survivors().collect())
     assert got == sorted(x for b in kept for x in b)
@@ -95,28 +95,115 @@ def test_stream_matches_brute_force_on_test_data(spark, scratch):
 
 def test_stream_equals_batch_when_nobody_crosses(spark, scratch):
     batches = _sf_batches(spark)
-    job, q = _run(spark, scratch, batches, threshold=100, compact_every=2)
+    job, q = _run(spark, scratch, batches, threshold=100)
     last = len(batches) - 1
     clicks = AdapterTables(spark, SF_SMALL).clicks().drop("event_id")
     want = op.day_area_city_ad_counts(clicks)
-    got = job.area_counts.read_upto(last)
+    got = job.day_area_city_ad_counts()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
-    serving = (spark.read.schema("area STRING, city STRING, adid STRING, clicks BIGINT, day STRING")
-               .parquet(os.path.join(job.root, "serving", "day_area_city_ad_counts")))
-    assert sorted(map(tuple, serving.select(*got.columns).collect())) == sorted(map(tuple, got.collect()))
-    # the published Q7 snapshot of the last batch covers the days that batch touched
-    snap = spark.read.parquet(os.path.join(job.root, "out", "day_area_ad_top3_json", f"batch={last}"))
+    # the published Q7 covers all days, whichever batch changed them last
+    top3 = job.day_area_ad_top3_json()
     want7 = op.day_area_ad_top3_json(op.day_area_ad_top3(op.day_area_ad_counts(want)))
-    want7 = want7.join(snap.select("day").distinct(), "day", "left_semi")
-    assert sorted(map(tuple, snap.collect())) == sorted(map(tuple, want7.select(*snap.columns).collect()))
-    # Q8 trend snapshot equals the batch trend over all clicks
-    trend = spark.read.parquet(os.path.join(job.root, "out", "ad_minute_trend", f"batch={last}"))
-    assert sorted(map(tuple, trend.collect())) == sorted(map(tuple, op.ad_minute_trend(clicks).collect()))
+    assert sorted(map(tuple, top3.collect())) == sorted(map(tuple, want7.select(*top3.columns).collect()))
+    # Q8 equals the batch trend over all clicks
+    assert sorted(map(tuple, job.trend().collect())) == sorted(map(tuple, op.ad_minute_trend(clicks).collect()))
+    assert job.published()["batch"] == last and q.lastProgress["stateOperators"][0]["numRowsDroppedByWatermark"] == 0
+    assert "rocksdbPutCount" in q.lastProgress["stateOperators"][0]["customMetrics"]
+
+
+def _files(root):
+    """Every file below ``root`` but the stores' own checksums, with its bytes."""
+    out = {}
+    for d, _, names in os.walk(root):
+        for n in names:
+            if not n.endswith(".crc"):
+                with open(os.path.join(d, n), "rb") as f:
+                    out[os.path.relpath(os.path.join(d, n), root)] = f.read()
+    return out
+
+
+def _again(spark, scratch, last, **kw):
+    """Run batch ``last`` again, from a copy of the checkpoint without its commit."""
+    ck, ck2 = os.path.join(scratch, "ckpt"), os.path.join(scratch, f"ckpt-copy-{time.time()}")
+    shutil.copytree(ck, ck2, ignore=lambda d, names: [n for n in names if d.endswith("commits") and n in (str(last), f".{last}.crc")])
+    lines = read_ad_stream(spark, os.path.join(scratch, "in"), max_files_per_trigger=1)
+    job, q = start_ad_stream(lines, os.path.join(scratch, "state"), ck2, available_now=True, keep_rows=True, **kw)
+    q.awaitTermination()
+    assert q.lastProgress is not None and q.lastProgress["batchId"] == last
+    return job
+
+
+def test_replay_with_the_clock_moved_on_leaves_every_file_as_it_is(spark, scratch):
+    now = int(time.time() * 1000)
+    edge = now + 24 * 3600 * 1000 + 90_000         # too late now, but not 90 s from now
+    old = [f"{now - 7200_000 + i},north,beijing,u{i % 3},1" for i in range(9)]
+    job, _ = _run(spark, scratch, [old[:4], old[4:] + [f"{edge},north,beijing,u9,1"]], threshold=3, lateness_minutes=600)
+    assert [(r.value.split(",")[3], r.reason) for r in job.rejects().collect()] == [("u9", "timestamp too late")]
+    before = _files(os.path.join(scratch, "state"))
+    blocked = sorted(r.userid for r in job.blacklisted().collect())
+    assert blocked == ["u0", "u1", "u2"]
+    time.sleep(max(0, (edge - 24 * 3600 * 1000) / 1000 - time.time()) + 1)
+    again = _again(spark, scratch, 1, threshold=3, lateness_minutes=600)
+    assert _files(os.path.join(scratch, "state")) == before
+    assert sorted(r.userid for r in again.blacklisted().collect()) == blocked
+
+
+def test_replay_of_a_batch_that_failed_before_its_manifest(spark, scratch):
+    batches = _sf_batches(spark, 3)
+    job, _ = _run(spark, scratch, batches, threshold=2, lateness_minutes=100 * 24 * 60)
+    tables = lambda j: [sorted(map(tuple, t.collect())) for t in (j.day_area_city_ad_counts(), j.day_area_ad_top3_json(), j.trend(), j.survivors(), j.blacklisted())]
+    want = tables(job)
+    os.remove(os.path.join(scratch, "state", "manifest", f"{2:012d}.json"))
+    assert job.published()["batch"] == 1
+    assert tables(_again(spark, scratch, 2, threshold=2, lateness_minutes=100 * 24 * 60)) == want
+
+
+def test_late_clicks_are_kept_and_counted(spark, scratch):
+    b1 = [_line("2019-11-26 10:00:00", "u1", "1"), _line("2019-11-26 12:00:30", "u2", "1")]
+    b2 = [_line("2019-11-26 10:59:59", "u1", "1"), _line("2019-11-26 11:00:00", "u1", "1"), _line("2019-11-25 09:00:00", "u3", "2"), _line("2019-11-29 00:00:00", "u1", "1")]
+    b3 = [_line("2019-11-28 22:00:00", "u4", "1"), _line("2019-11-28 23:30:00", "u4", "1"), "nonsense"]
+    job, q = _run(spark, scratch, [b1, b2, b3], threshold=100, lateness_minutes=60)
+    late = job.rejects().where("reason = 'late'")
+    assert sorted(r.value for r in late.collect()) == sorted([b2[0], b2[2], b3[0]])
+    assert [job.manifests.get(n)["late"] for n in range(3)] == [0, 2, 1] and job.manifests.get(2)["rejects"] == 2
+    assert late.count() == sum(job.manifests.get(n)["late"] for n in range(3))
+    totals = {(r.day, r.adid): r.clicks for r in job.day_area_city_ad_counts().collect()}
+    assert totals == {("2019-11-26", "1"): 3, ("2019-11-29", "1"): 1, ("2019-11-28", "1"): 1}
+    assert all(p["stateOperators"][0]["numRowsDroppedByWatermark"] == 0 for p in q.recentProgress if p["stateOperators"])
+
+
+def test_outputs_belong_to_one_batch_and_their_folders_stay_few(spark, scratch):
+    batches = [[_line(f"2019-11-{20 + n % 3} 10:{n:02d}:00", f"u{n}", str(n % 2)), _line(f"2019-11-26 10:{n:02d}:00", "u1", "1")] for n in range(9)]
+    job, _ = _run(spark, scratch, batches[:5], threshold=100)
+    held = job.published()
+    totals = sorted(map(tuple, job.day_area_city_ad_counts(held).collect()))
+    assert held["batch"] == 4 and sum(r[-1] for r in totals) == 10
+    _write_batches(os.path.join(scratch, "in"), batches[:7])      # a reader holds batch 4 while two more are published
+    lines = read_ad_stream(spark, os.path.join(scratch, "in"), max_files_per_trigger=1)
+    job, q = start_ad_stream(lines, os.path.join(scratch, "state"), os.path.join(scratch, "ckpt"), threshold=100, available_now=True, keep_rows=True, keep_batches=2)
+    q.awaitTermination()
+    assert job.published()["batch"] >= 5
+    assert sorted(map(tuple, job.day_area_city_ad_counts(held).collect())) == totals
+    assert sum(r.clicks for r in job.day_area_city_ad_counts().collect()) == 14
+    for name in os.listdir(os.path.join(job.root, "out")):
+        folders = [d for b in os.listdir(os.path.join(job.root, "out", name)) for d in os.listdir(os.path.join(job.root, "out", name, b)) if d.startswith("day=")]
+        assert len(folders) <= 4 + 2 * 3
+    assert len([b for b in os.listdir(job.path("survivors")) if b.startswith("batch=")]) == 2
+
+
+def test_blacklist_folders_are_put_together(spark, scratch, monkeypatch):
+    from clickpulse.streaming import ad_stream
+    monkeypatch.setattr(ad_stream, "MERGED", 2)
+    batches = [[_line(f"2019-11-26 10:0{n}:00", f"u{n}", "1"), _line(f"2019-11-26 10:0{n}:01", f"u{max(0, n - 1)}", "1")] for n in range(6)]
+    job, _ = _run(spark, scratch, batches, threshold=1)
+    assert sorted(r.userid for r in job.blacklisted().collect()) == [f"u{n}" for n in range(6)]
+    assert job.survivors().count() == 7                        # u0 twice in its own batch; each other user's second click is dropped
+    assert len(job._numbers("feedback", "blacklist")) <= 5
 
 
 def test_replay_from_copied_checkpoint_changes_nothing(spark, scratch):
     batches = _sf_batches(spark, 3)
-    job, q = _run(spark, scratch, batches, threshold=2, compact_every=2)
+    job, q = _run(spark, scratch, batches, threshold=2)
     before = sorted(map(tuple, job.survivors().collect()))
     # copy the checkpoint without the last commit: the last batch runs again
     ck, ck2 = os.path.join(scratch, "ckpt"), os.path.join(scratch, "ckpt-copy")
@@ -124,7 +211,7 @@ def test_replay_from_copied_checkpoint_changes_nothing(spark, scratch):
                                                       or d.endswith("commits") and n == ".2.crc"])
     lines = read_ad_stream(spark, os.path.join(scratch, "in"), max_files_per_trigger=1)
     job2, q2 = start_ad_stream(lines, os.path.join(scratch, "state"), ck2, threshold=2,
-                                 available_now=True, compact_every=2)
+                                 available_now=True, keep_rows=True)
     q2.awaitTermination()
     assert q2.lastProgress is not None and q2.lastProgress["batchId"] == 2
     assert sorted(map(tuple, job2.survivors().collect())) == before
@@ -156,13 +243,13 @@ def test_batch_of_only_bad_lines(spark, scratch):
     b1 = [_line("2019-11-26 10:00:00", "u1", "1"), _line("2019-11-26 10:00:01", "u1", "1")]
     b2 = ["garbage", "1,2", "x,a,b,c,d"]
     b3 = [_line("2019-11-26 10:05:00", "u1", "1"), _line("2019-11-26 10:05:01", "u2", "1")]
-    job, q = _run(spark, scratch, [b1, b2, b3], threshold=3, compact_every=2)
+    job, q = _run(spark, scratch, [b1, b2, b3], threshold=3)
     kept = {r.batch: r.n for r in job.survivors().groupBy("batch").agg(F.count("*").alias("n")).collect()}
     assert kept == {0: 2, 2: 2}
     rejects = spark.read.parquet(os.path.join(job.root, "rejects", "batch=1"))
-    assert rejects.count() == 3
+    assert rejects.count() == 3 == job.rejects().count()
     assert [r.userid for r in job.blacklisted(2).collect()] == ["u1"]
-    totals = {(r.day, r.adid): r.clicks for r in job.area_counts.read_upto(2).collect()}
+    totals = {(r.day, r.adid): r.clicks for r in job.day_area_city_ad_counts().collect()}
     assert totals == {("2019-11-26", "1"): 4}
 
 
@@ -171,23 +258,23 @@ def test_processing_time_trigger(spark, scratch):
     _write_batches(src, [[_line("2019-11-26 10:00:00", "u1", "1")], [_line("2019-11-26 10:00:01", "u2", "2")]])
     lines = read_ad_stream(spark, src, max_files_per_trigger=1)
     job, q = start_ad_stream(lines, os.path.join(scratch, "state"), os.path.join(scratch, "ckpt"),
-                             threshold=100, processing_time="1 second")
+                             threshold=100, processing_time="1 second", keep_rows=True)
     try:
         q.processAllAvailable()
     finally:
         q.stop()
     assert job.survivors().count() == 2
-    assert {r.adid: r.clicks for r in job.area_counts.read_upto(q.lastProgress["batchId"]).collect()} \
+    assert {r.adid: r.clicks for r in job.day_area_city_ad_counts().collect()} \
         == {"1": 1, "2": 1}
 
 
 def test_damaged_and_future_lines_do_not_stop_or_steer_the_stream(spark, scratch):
     bad = ["9223372036854775807,north,beijing,u9,1", f"{h.ms('2199-01-01 00:00:00')},north,beijing,u9,1", "1574762400000,n,c, ,1"]
     good = [_line(f"2019-11-26 10:0{i}:00", "u1", "1") for i in range(4)]
-    job, q = _run(spark, scratch, [good[:2] + bad, good[2:]], threshold=100, compact_every=1)
+    job, q = _run(spark, scratch, [good[:2] + bad, good[2:]], threshold=100)
     assert q.exception() is None
     assert job.survivors().count() == 4
-    assert sorted((r.minute, r.clicks) for r in job.trend(1).collect()) == [(f"2019-11-26 10:0{i}", 1) for i in range(4)]
+    assert sorted((r.minute, r.clicks) for r in job.trend().collect()) == [(f"2019-11-26 10:0{i}", 1) for i in range(4)]
 
 
 def test_state_of_another_checkpoint_is_refused(spark, scratch):
