@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from clickpulse import operators as op  # noqa: E402
 from clickpulse.sources import AdapterTables, decode_ad_log, encode_ad_log  # noqa: E402
+from clickpulse.sources.catalog import area_product_top3_sql  # noqa: E402
 
 # The training-data operators and their pipeline are optional: without them the rest still works.
 # What is there is imported as usual, errors included.
@@ -121,6 +122,25 @@ def _decode_damaged(spark, sf_dir):
     return decode_ad_log(_damaged_lines(spark, sf_dir), keep=("event_id",))
 
 
+def _hostile_clicks(spark, sf_dir):
+    """The clicks with texts that need quoting, by their id."""
+    how = F.col("event_id") % 6
+    city = (F.when(how == 0, F.concat(F.col("city"), F.lit(", \"old\" town"))).when(how == 1, F.concat(F.lit("\n"), F.col("city"), F.lit("\r\n")))
+            .when(how == 2, F.concat(F.lit(" \\n"), F.col("city"), F.lit("\\ "))).when(how == 3, F.concat(F.lit("\""), F.col("city"), F.lit("\"\""))).otherwise(F.col("city")))
+    return _t(spark, sf_dir).clicks().withColumn("city", city).withColumn("adid", F.when(how == 4, F.lit(" ")).otherwise(F.col("adid")))
+
+
+def _quoted(spark, sf_dir):
+    """Quoted lines, some cut after three fields or with one more."""
+    lines = encode_ad_log(_hostile_clicks(spark, sf_dir), keep=("event_id",), quoted=True)
+    how = F.col("event_id") % 11
+    return lines.withColumn("value", F.when(how == 9, F.regexp_extract("value", '^("([^"]|"")*",){2}"([^"]|"")*"', 0)).when(how == 10, F.concat("value", F.lit(',"more, ""and"" more"'))).otherwise(F.col("value")))
+
+
+def _decode_quoted(spark, sf_dir):
+    return decode_ad_log(_quoted(spark, sf_dir), keep=("event_id",), quoted=True)
+
+
 def _merge(spark, sf_dir):
     clicks = op.with_time(_t(spark, sf_dir).clicks())
     keys = ["day", "area", "city", "adid"]
@@ -169,11 +189,15 @@ def click_log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "area_product_top3": _flagship,
         "area_product_top3_visits": lambda s, d: op.area_product_top3(
             _t(s, d).visits(), _t(s, d).cities(), _t(s, d).products()),
+        "area_product_top3_sql": lambda s, d: area_product_top3_sql(_t(s, d)),
         # Q5 - Q8 (batch twins of the stream)
         "encode_ad_log": lambda s, d: encode_ad_log(_t(s, d).clicks(), keep=("event_id",)),
         "decode_ad_log": _decode,
         "decode_ad_log_damaged": lambda s, d: _decode_damaged(s, d)[0],
         "decode_ad_log_rejects": lambda s, d: _decode_damaged(s, d)[1],
+        "encode_ad_log_quoted": lambda s, d: encode_ad_log(_hostile_clicks(s, d), keep=("event_id",), quoted=True),
+        "decode_ad_log_quoted": lambda s, d: _decode_quoted(s, d)[0],
+        "decode_ad_log_quoted_rejects": lambda s, d: _decode_quoted(s, d)[1],
         "user_day_ad_counts": lambda s, d: op.user_day_ad_counts(_t(s, d).clicks()),
         "blacklist_users": lambda s, d: op.blacklist_users(_t(s, d).clicks(), BLACKLIST_THRESHOLD),
         "blacklist_filtered_clicks": _survivors,
@@ -266,6 +290,13 @@ survivors_t AS (
     WHEN 3 THEN CAST(ts AS VARCHAR) || ',' || area || ',' || city || ', ,' || adid
     WHEN 4 THEN '-1,' || area || ',' || city || ',' || userid || ',' || adid
   END AS value FROM clicks)""",
+    "hostile": """hostile AS (
+  SELECT event_id, ts, area, CASE event_id % 6 WHEN 0 THEN city || ', "old" town' WHEN 1 THEN chr(10) || city || chr(13) || chr(10)
+      WHEN 2 THEN ' \\n' || city || '\\ ' WHEN 3 THEN '"' || city || '""' ELSE city END AS city, userid,
+    CASE WHEN event_id % 6 = 4 THEN ' ' ELSE adid END AS adid FROM clicks),
+quoted AS (
+  SELECT *, '"' || CAST(ts AS VARCHAR) || '","' || area || '","'
+      || replace(replace(replace(replace(city, '\\', '\\\\'), chr(10), '\\n'), chr(13), '\\r'), '"', '""') || '"' AS head, '"' || userid || '","' || adid || '"' AS tail FROM hostile)""",
     "minutes": """mc AS (
   SELECT adid, date_trunc('minute', event_time) AS minute_ts, count(*) AS clicks
   FROM survivors_t GROUP BY adid, date_trunc('minute', event_time)),
@@ -465,6 +496,7 @@ SELECT p.area, p.click_product_id, p.product_count, s.city_click_ratio
 FROM pc p JOIN share s ON p.area = s.area AND p.click_product_id = s.click_product_id""",
         "area_product_top3": _top3_sql(("cities", "products", "li_clicks"), "li_clicks"),
         "area_product_top3_visits": _top3_sql(("cities", "products", "ev", "visits"), "visits"),
+        "area_product_top3_sql": _top3_sql(("cities", "products", "ev", "visits"), "visits"),
         "encode_ad_log": _with("cities", "ev", "clicks") + """
 SELECT event_id, CAST(ts AS VARCHAR) || ',' || area || ',' || city || ',' || userid || ',' || adid AS value
 FROM clicks""",
@@ -475,6 +507,13 @@ FROM clicks""",
 SELECT event_id, value, CASE event_id % 7 WHEN 0 THEN 'too few fields' WHEN 1 THEN 'bad timestamp'
   WHEN 2 THEN 'timestamp too late' WHEN 3 THEN 'blank field' ELSE 'timestamp too early' END AS reason
 FROM damaged WHERE event_id % 7 < 5""",
+        "encode_ad_log_quoted": _with("cities", "ev", "clicks", "hostile") + "SELECT event_id, head || ',' || tail AS value FROM quoted",
+        "decode_ad_log_quoted": _with("cities", "ev", "clicks", "hostile")
+        + "SELECT event_id, ts, area, city, userid, adid FROM hostile WHERE event_id % 11 <> 9 AND event_id % 6 <> 4",
+        "decode_ad_log_quoted_rejects": _with("cities", "ev", "clicks", "hostile") + """
+SELECT event_id, CASE event_id % 11 WHEN 9 THEN head WHEN 10 THEN head || ',' || tail || ',"more, ""and"" more"' ELSE head || ',' || tail END AS value,
+       CASE WHEN event_id % 11 = 9 THEN 'too few fields' ELSE 'blank field' END AS reason
+FROM quoted WHERE event_id % 11 = 9 OR event_id % 6 = 4""",
         "user_day_ad_counts": _with("cities", "ev", "clicks", "clicks_t") + """
 SELECT day, userid, adid, count(*) AS clicks FROM clicks_t GROUP BY day, userid, adid""",
         "blacklist_users": _with("cities", "ev", "clicks", "clicks_t") + f"""

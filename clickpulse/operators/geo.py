@@ -1,13 +1,12 @@
 """Q4: top products per area by clicks, with the city share text.
 
 Plan shape (checked with ``explain``):
-1. clicks x cities (a dimension, broadcast after its size check) -> partial+final count per
-   (area, city, product): the only shuffle that sees click rows, and it carries
-   pre-aggregated counts.
-2. per (area, product) total -> ``rank()`` per area, ``rk <= k``: WindowGroupLimit
-   partial before the shuffle, so an area's window only sees ~k rows per task.
-3. city lists are built only for the surviving (area, product) pairs (their
-   join side is tiny; AQE broadcasts it) and are bounded by the number of cities.
+1. clicks x cities (a dimension) -> partial + final count per (area, city, product): the only shuffle that
+   sees click rows, and it carries pre-aggregated counts.
+2. one exchange by (area, product) carries these counts to both the totals and the city lists (a list is
+   bounded by the number of cities).
+3. ``rank()`` per area over the totals, ``rk <= k``: WindowGroupLimit before the
+   shuffle, so an area's window only sees ~k rows per task; the share text is made for what is left.
 4. products are joined last, to the few survivors (AQE broadcasts the survivors
    when products is large, or the planner broadcasts products when it is small).
 """
@@ -66,22 +65,18 @@ def area_product_rank(visits: DataFrame, cities: DataFrame, weight: str | None =
             .select("area", "click_product_id", "product_count", "rk"))
 
 
-def _city_lists(geo_counts: DataFrame, groups: DataFrame) -> DataFrame:
-    """City share text for the (area, click_product_id, product_count) rows in ``groups``."""
-    return (geo_counts.join(groups.select("area", "click_product_id"), ["area", "click_product_id"], "left_semi")
-            .groupBy("area", "click_product_id")
-            .agg(F.collect_list(F.struct(F.col("clicks").alias("c"), F.col("city_name").alias("city")))
+def _city_lists(geo_counts: DataFrame) -> DataFrame:
+    """(area, click_product_id, product_count, city_counts): total and city list of every pair, from one exchange."""
+    return (geo_counts.groupBy("area", "click_product_id")
+            .agg(F.sum("clicks").cast("long").alias("product_count"),
+                 F.collect_list(F.struct(F.col("clicks").alias("c"), F.col("city_name").alias("city")))
                  .alias("city_counts")))
 
 
 def city_click_ratio(visits: DataFrame, cities: DataFrame, top_cities: int = 2,
                      label: str = OTHER_LABEL, weight: str | None = None) -> DataFrame:
     """(area, click_product_id, product_count, city_click_ratio) for every pair (A2)."""
-    g = click_geo_counts(visits, cities, weight)
-    return (g.groupBy("area", "click_product_id")
-            .agg(F.sum("clicks").cast("long").alias("product_count"),
-                 F.collect_list(F.struct(F.col("clicks").alias("c"), F.col("city_name").alias("city")))
-                 .alias("city_counts"))
+    return (_city_lists(click_geo_counts(visits, cities, weight))
             .select("area", "click_product_id", "product_count",
                     share_text("city_counts", "product_count", top_cities, label)
                     .alias("city_click_ratio")))
@@ -95,12 +90,9 @@ def area_product_top3(visits: DataFrame, cities: DataFrame, products: DataFrame,
     ``rank()`` keeps ties, so an area may return more than k products. Products
     whose id is unknown to ``products`` drop out (inner join, as in the reference).
     """
-    g = click_geo_counts(visits, cities, weight)
-    top = top_k_per_group(_product_counts(g), ["area"], [F.desc("product_count")], k, ties=True)
-    shares = _city_lists(g, top)
+    top = top_k_per_group(_city_lists(click_geo_counts(visits, cities, weight)), ["area"], [F.desc("product_count")], k, ties=True)
     prods = (products.select(F.col("product_id").alias("click_product_id"), "product_name"))
-    return (top.join(shares, ["area", "click_product_id"])
-            .join(prods, "click_product_id")
+    return (top.join(prods, "click_product_id")
             .select("area",
                     F.col("click_product_id").alias("product_id"),
                     "product_name", "product_count",

@@ -47,11 +47,23 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     df.write.jdbc(url=url, table=table, mode=mode, properties=props)
 
 
-def write_ad_log(clicks: DataFrame, path: str | None = None, kafka: dict | None = None) -> None:
+def write_ad_log(clicks: DataFrame, path: str | None = None, kafka: dict | None = None, quoted: bool = False, rejects: str | None = None) -> None:
     """Producer half of the message bus (K11): one CSV line per click, to Kafka
-    (``kafka.bootstrap.servers``, ``topic``) or to text files."""
-    lines = encode_ad_log(clicks)
+    (``kafka.bootstrap.servers``, ``topic``) or to text files.
+
+    Rows that the plain format can't hold go to ``rejects`` (parquet, whole rows); without it such a row is an error
+    that names it. The ``quoted`` format holds every row."""
+    keep = tuple(clicks.columns)
+    lines = encode_ad_log(clicks.select(F.struct(*keep).alias("_click"), *keep), keep=("_click",), quoted=quoted)
+    if quoted:
+        values = lines.select("value")
+    elif rejects:
+        lines.where("value IS NULL").select("_click.*").write.mode("overwrite").parquet(rejects)
+        values = lines.where("value IS NOT NULL").select("value")
+    else:
+        wrong = F.raise_error(F.concat(F.lit("a field holds the delimiter or a line break: "), F.to_json("_click")))
+        values = lines.select(F.coalesce("value", wrong).alias("value"))
     if kafka:
-        lines.write.format("kafka").options(**kafka).save()
+        values.write.format("kafka").options(**kafka).save()
     else:
-        lines.write.mode("overwrite").text(path)
+        values.write.mode("overwrite").text(path)

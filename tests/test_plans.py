@@ -124,3 +124,22 @@ def test_lineitem_clicks_are_the_same_rows_under_any_broadcast_limit(spark):
         assert sorted(map(tuple, click_counts_from_lineitem(spark, SF_SMALL).collect())) == a
     finally:
         spark.conf.set(limit, before)
+
+
+def test_q4_counts_by_city_are_exchanged_once_more_for_totals_and_lists(spark):
+    for key in ("area_product_top3", "area_product_top3_visits", "area_product_top3_sql"):
+        text = plan_text(E.queries()[key](spark, SF_SMALL), "simple")
+        by_city = [ln for ln in text.splitlines() if "Exchange hashpartitioning(area#" in ln and "city_name#" in ln]
+        by_pair = [ln for ln in text.splitlines() if "Exchange hashpartitioning(area#" in ln and "city_name#" not in ln and "click_product_id#" in ln]
+        assert len(by_city) == 1 and len(by_pair) == 1, (key, text)
+        assert "WindowGroupLimit" in text
+
+
+def test_city_ratio_runs_as_sql(spark):
+    from clickpulse.functions import register_city_ratio
+    register_city_ratio(spark, "ratio_probe")
+    rows = [("n", "a", 21), ("n", "b", 79), ("n", "c", 900), ("s", "z", 1)]
+    spark.createDataFrame(rows, "area string, city string, clicks bigint").createOrReplaceTempView("probe_counts")
+    got = {r.area: r.r for r in spark.sql("SELECT area, ratio_probe(collect_list(struct(clicks AS c, city))) AS r FROM probe_counts GROUP BY area").collect()}
+    assert got == {"n": "c:90.0%,b:7.9%,other:2.1%", "s": "z:100.0%,other:0.0%"}
+

@@ -1,14 +1,17 @@
 """Sources: schema assertion, named views for SQL users, helpers."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from clickpulse import operators as op
 from clickpulse.functions import parse_day
 from clickpulse.schemas import VISITS, SchemaMismatch, assert_schema
-from clickpulse.sinks import with_task_id
-from clickpulse.sources import AdapterTables
+from clickpulse.sinks import with_task_id, write_ad_log
+from clickpulse.sources import AdapterTables, decode_ad_log, read_ad_lines
 from clickpulse.sources.catalog import register_views
+from tests import helpers as h
 from tests.conftest import SF_SMALL
 
 
@@ -93,3 +96,43 @@ def test_click_log_under_its_own_names(spark, scratch):
     t.users().drop("age").write.parquet(os.path.join(scratch, "bad", "user_info.parquet"))
     with pytest.raises(SchemaMismatch):
         ClickLogTables(spark, os.path.join(scratch, "bad")).users()
+
+
+HOSTILE = ["a,b", '"', '""', 'say "no", twice', "\n", "\r\n", "\\", "\\n", "\\\\n", "x\\", " lead", "trail ", ",", '",', "\u00e9\u4e2d\U0001f600", "\t", "a\\\r\n\\\\", "''", "%s"]
+
+
+def test_quoted_lines_round_trip_through_text_files(spark, scratch):
+    import itertools
+    rows = [(1574762400000 + i, a + "1", b + "2", "u" + a, b + "3") for i, (a, b) in enumerate(itertools.product(HOSTILE, HOSTILE))]
+    clicks = h.clicks(spark, rows, with_id=False)
+    path = os.path.join(scratch, "quoted")
+    write_ad_log(clicks, path=path, quoted=True)
+    lines = read_ad_lines(spark, path)
+    assert lines.count() == len(rows)                    # a record is a line
+    good, bad = decode_ad_log(lines, quoted=True)
+    assert bad.count() == 0 and sorted(map(tuple, good.collect())) == sorted(rows)
+
+
+def test_quoted_reader_rejects_what_is_damaged(spark):
+    lines = {'"1574762400000","n","c","u","1"': None, '1574762400000,n,c,u,1': None, '"1574762400000","n","c","u"': "too few fields",
+             '"x","n","c","u","1"': "bad timestamp", '"1574762400000","n","c"," ","1"': "blank field", '"1574762400000","n","c","u","1","more"': None,
+             "": "bad timestamp", '"1","n","c","u","1"': "timestamp too early", '"9999999999999999","n","c","u","1"': "timestamp too late", '"1574762400000","n","c","u","1': None,
+             '"1574762400000,n,c,u,1': "bad timestamp"}
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    _, bad = decode_ad_log(df, quoted=True)
+    got = {r.value: r.reason for r in bad.collect()}
+    want = {k: v for k, v in lines.items() if v}
+    got.pop('"1574762400000","n","c","u","1', None)      # a last quote that is missing: either way
+    assert got == want
+
+
+def test_plain_writer_keeps_rows_apart_that_it_cannot_write(spark, scratch):
+    rows = [(1574762400000, "n", "c", "u", "1"), (1574762400001, "n", "a,b", "u", "1"), (1574762400002, "n", "c\n", "u", "1")]
+    clicks = h.clicks(spark, rows)
+    path, apart = os.path.join(scratch, "plain"), os.path.join(scratch, "apart")
+    write_ad_log(clicks, path=path, rejects=apart)
+    assert [r.value for r in read_ad_lines(spark, path).collect()] == ["1574762400000,n,c,u,1"]
+    assert sorted(r.ts for r in spark.read.parquet(apart).collect()) == [1574762400001, 1574762400002]
+    with pytest.raises(Exception, match="delimiter"):
+        write_ad_log(clicks, path=os.path.join(scratch, "error"))
+
