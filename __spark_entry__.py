@@ -13,7 +13,6 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +23,11 @@ from clickpulse import operators as op  # noqa: E402
 from clickpulse.sources import AdapterTables, decode_ad_log, encode_ad_log  # noqa: E402
 from clickpulse.sources.catalog import area_product_top3_sql  # noqa: E402
 
-# The training-data operators and their pipeline are optional: without them the rest still works.
-# What is there is imported as usual, errors included.
-_LLM = find_spec("clickpulse.llm")
-if _LLM and _LLM.origin and find_spec("corpus_pipeline"):
+# The training-data operators and their pipeline are optional: where they, or a package they need, can't be imported, the rest still works.
+try:
     import corpus_pipeline
     from clickpulse.llm import registry as llm_registry
-else:
+except ImportError:
     corpus_pipeline = llm_registry = None
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
@@ -141,6 +138,13 @@ def _decode_quoted(spark, sf_dir):
     return decode_ad_log(_quoted(spark, sf_dir), keep=("event_id",), quoted=True)
 
 
+def _damaged_lists(spark, sf_dir):
+    """The visits with a piece of text, an empty entry or a number too large in some id lists, by their id."""
+    how = F.col("event_id") % 5
+    more = lambda c: F.when(how == 0, F.concat(c, F.lit(",x1"))).when(how == 1, F.concat(F.lit(","), c)).when(how == 2, F.concat(c, F.lit(",99999999999999999999"))).otherwise(F.col(c))
+    return _t(spark, sf_dir).visits().withColumns({c: more(c) for c in ("order_category_ids", "pay_category_ids")})
+
+
 def _merge(spark, sf_dir):
     clicks = op.with_time(_t(spark, sf_dir).clicks())
     keys = ["day", "area", "city", "adid"]
@@ -168,6 +172,8 @@ def click_log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _t(s, d).visits(), _t(s, d).users(), FILTER_PARAMS_CITY, cities=_t(s, d).cities()),
         # Q1 / Q2
         "category_action_counts": lambda s, d: op.category_action_counts(_t(s, d).visits()),
+        "unreadable_category_ids": lambda s, d: op.unreadable_category_ids(_damaged_lists(s, d)),
+        "category_action_counts_damaged": lambda s, d: op.category_action_counts(_damaged_lists(s, d)),
         "category_top10": lambda s, d: op.category_top10(_t(s, d).visits()),
         "category_session_counts": lambda s, d: op.category_session_counts(_t(s, d).visits()),
         "category_session_top10": lambda s, d: op.category_session_top10(_t(s, d).visits()),
@@ -206,9 +212,9 @@ def click_log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_area_ad_top3": _q7_top3,
         "day_area_ad_top3_json": _q7_json,
         "day_top3_document": lambda s, d: op.day_top3_document(_q7_json(s, d)),
-        "ad_minute_trend": lambda s, d: op.ad_minute_trend(_survivors(s, d)),
-        "ad_minute_trend_json": lambda s, d: op.ad_minute_trend_json(op.ad_minute_trend(_survivors(s, d))),
-        "ad_two_day_trend": lambda s, d: op.ad_minute_trend(_survivors(s, d), 2 * 24 * 60),
+        "ad_minute_trend": lambda s, d: op.ad_recent_trend(_t(s, d).clicks, 60, BLACKLIST_THRESHOLD),
+        "ad_minute_trend_json": lambda s, d: op.ad_minute_trend_json(op.ad_recent_trend(_t(s, d).clicks, 60, BLACKLIST_THRESHOLD)),
+        "ad_two_day_trend": lambda s, d: op.ad_recent_trend(_t(s, d).clicks, 2 * 24 * 60, BLACKLIST_THRESHOLD),
         "ad_last_hour_sliding": lambda s, d: op.ad_last_hour_sliding(_survivors(s, d)),
         "ad_sliding_2m_1m": lambda s, d: op.ad_last_hour_sliding(_survivors(s, d), 2, 1),
         "merge_counts": _merge,
@@ -470,6 +476,12 @@ def click_log_oracle_sql() -> dict[str, str]:
         "filtered_visits": _filter_sql(),
         "filtered_visits_city": _filter_city_sql(),
         "category_action_counts": _with("ev", "visits") + "," + _ACTIONS + "\nSELECT * FROM counts",
+        "unreadable_category_ids": _with("ev", "visits") + """
+SELECT action, CASE event_id % 5 WHEN 0 THEN 'x1' WHEN 1 THEN '' ELSE '99999999999999999999' END AS id_text, count(*) AS mentions
+FROM (SELECT event_id, CASE WHEN order_category_ids IS NOT NULL THEN 'order' ELSE 'pay' END AS action FROM visits
+      WHERE click_category_id = -1 AND (order_category_ids IS NOT NULL OR pay_category_ids IS NOT NULL))
+WHERE event_id % 5 < 3 GROUP BY 1, 2""",
+        "category_action_counts_damaged": _with("ev", "visits") + "," + _ACTIONS + "\nSELECT * FROM counts",
         "category_top10": _with("ev", "visits") + "," + _ACTIONS + _TOP10,
         "category_session_counts": _with("ev", "visits") + """
 SELECT click_category_id AS category_id, session_id, count(*) AS click_count

@@ -7,6 +7,8 @@ date (D12). Event order is (ts, event_id) when ``event_id`` is present.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,6 +131,28 @@ def ad_minute_trend(clicks: DataFrame, minutes: int = 60, anchor: Column | None
             .select("adid", minute_text("minute_ts").alias("minute"), "clicks"))
 
 
+def last_surviving_minute(clicks: DataFrame, crossings: DataFrame, later: int = 0) -> Column:
+    """The minute of the last click that passes the blacklist, or one ``later`` minutes after it, as a scalar subquery: each user's
+    last click, or, of a blacklisted user, the crossing click (which passes, and none after it). Users are joined, not clicks."""
+    last = clicks.groupBy("userid").agg(F.max("ts").alias("last"))
+    at = crossings.select("userid", F.col("crossing.ts").alias("crossed"))
+    shift = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(later))
+    return last.join(at, "userid", "left").agg((minute_of(event_time(F.max(F.coalesce("crossed", "last")))) + shift).alias("anchor")).scalar()
+
+
+def ad_recent_trend(clicks: Callable[[Column | None], DataFrame], minutes: int = 60, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+    """``ad_minute_trend`` of the clicks that pass the blacklist, reading only its window for the trend itself (Q8).
+
+    ``clicks(first)`` gives the clicks from ``first`` on (a wall-clock time; None: all). The crossings need every click of the
+    past, by (day, user, ad); the trend's own scan gets the window's begin as a bound of the stored time, by a scalar subquery that Spark
+    fills in before it opens the files, so files and row groups before it aren't read. The window ends with the last click that
+    passes, so it needs no bound at its end."""
+    crossings = blacklist_crossings(clicks(None), threshold)
+    recent = clicks(last_surviving_minute(clicks(None), crossings, 1 - minutes))
+    return (_minute_counts(blacklist_filtered_clicks(recent, threshold, crossings))
+            .select("adid", minute_text("minute_ts").alias("minute"), "clicks"))
+
+
 def ad_minute_trend_json(trend: DataFrame) -> DataFrame:
     """(adid, trend_json) like ``[{"2024-01-30 23:05":2},...]`` in minute order (K8)."""
     pairs = F.array_sort(F.collect_list(F.struct("minute", "clicks")))

@@ -29,6 +29,15 @@ def category_actions(visits: DataFrame) -> DataFrame:
             .where(F.col("category_id").isNotNull()))
 
 
+def unreadable_category_ids(visits: DataFrame) -> DataFrame:
+    """(action, id_text, mentions): entries of the order and pay lists that are no ids. The counts leave them out;
+    this is what they left out (F1)."""
+    listed = (F.when(F.col("click_category_id") != -1, F.lit(None)).when(F.col("order_category_ids").isNotNull(), F.struct(F.lit("order").alias("action"), F.col("order_category_ids").alias("ids")))
+              .when(F.col("pay_category_ids").isNotNull(), F.struct(F.lit("pay").alias("action"), F.col("pay_category_ids").alias("ids"))))
+    entries = visits.select(listed.alias("l")).where("l IS NOT NULL").select("l.action", F.explode(F.split("l.ids", ",")).alias("id_text"))
+    return entries.where(F.col("id_text").try_cast("bigint").isNull()).groupBy("action", "id_text").agg(F.count(F.lit(1)).alias("mentions"))
+
+
 def category_action_counts(visits: DataFrame) -> DataFrame:
     """(category_id, click_count, order_count, pay_count) for every category seen (A3, A4)."""
     a = F.col("action")

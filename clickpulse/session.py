@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     # explode); a 1 MB coalescing floor would squeeze a small input into one task
     # before that. At scale partitions are far above either floor.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # Q0: the users that the filters leave are turned into a bloom filter on a large visit log before it is shuffled.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64m",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.session import pin_utc
@@ -95,11 +95,15 @@ def visits_from_events(spark: SparkSession, where: str, params: dict | None = No
     return ev.selectExpr(*_VISIT_SQL)
 
 
-def clicks_from_events(spark: SparkSession, where: str) -> DataFrame:
+def clicks_from_events(spark: SparkSession, where: str, first: Column | None = None) -> DataFrame:
     """Ad clicks ``(event_id, ts, area, city, userid, adid)``; ``event_id`` is the
-    record id used as order tie-break (the wire format itself has no id)."""
+    record id used as order tie-break (the wire format itself has no id). ``first``, a wall-clock timestamp,
+    reaches the scan as a bound of the stored time, which the derived epoch ms could not."""
     pin_utc(spark)
-    ev = read_table(spark, where, "events").selectExpr("event_id", "ts", "user_id", _K_SQL)
+    ev = read_table(spark, where, "events")
+    if first is not None:
+        ev = ev.where(F.col("ts") >= first)
+    ev = ev.selectExpr("event_id", "ts", "user_id", _K_SQL)
     geo = cities_from_nation(spark, where).selectExpr("city_id AS geo_key", "city_name AS city", "area")
     return (ev.join(geo, (ev.user_id % 25) == geo.geo_key)
             .selectExpr("event_id", "unix_millis(CAST(ts AS TIMESTAMP)) AS ts", "area", "city",
@@ -150,7 +154,9 @@ class AdapterTables:
     def products(self) -> DataFrame:
         return self._get("products", products_from_part)
 
-    def clicks(self) -> DataFrame:
+    def clicks(self, first: Column | None = None) -> DataFrame:
+        if first is not None:
+            return clicks_from_events(self.spark, self.where, first)
         return self._get("clicks", clicks_from_events)
 
     def lineitem_clicks(self) -> DataFrame:

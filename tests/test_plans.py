@@ -143,3 +143,25 @@ def test_city_ratio_runs_as_sql(spark):
     got = {r.area: r.r for r in spark.sql("SELECT area, ratio_probe(collect_list(struct(clicks AS c, city))) AS r FROM probe_counts GROUP BY area").collect()}
     assert got == {"n": "c:90.0%,b:7.9%,other:2.1%", "s": "z:100.0%,other:0.0%"}
 
+
+def test_trend_window_reaches_the_scan(spark):
+    for key in ("ad_minute_trend", "ad_minute_trend_json", "ad_two_day_trend"):
+        text = plan_text(E.queries()[key](spark, SF_SMALL))
+        pushed = [ln for ln in text.splitlines() if ln.startswith("PushedFilters") and "GreaterThanOrEqual(ts,ScalarSubquery" in ln]
+        assert pushed, key
+
+
+def test_filtered_users_filter_a_large_visit_log_before_its_shuffle(spark):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    want = sorted(map(tuple, E.queries()["filtered_visits"](spark, SF_SMALL).collect()))
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = E.queries()["filtered_visits"](spark, SF_SMALL)
+        text = plan_text(df, "simple")
+        assert "might_contain" in text and "bloom_filter_agg" in text
+        assert sorted(map(tuple, df.collect())) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
