@@ -2,14 +2,17 @@
 
 Document frequencies cover all training rows. The weights are fitted with
 follow-the-regularised-leader (per-coordinate rates, L1 and L2 penalties) on at
-most ``FIT_PER_LANG`` rows of each language, chosen by a hash of the id, and
+most ``FIT_PER_LANG`` different rows of each language, chosen by a hash of id, text and language (so
+null or repeated ids are rows like any other, and equal rows are learned from once), and
 their probabilities are calibrated with one temperature on a fifth of that
 sample. Both are bounded by parameters, whatever the size of the corpus;
-prediction runs over every whole text.
+prediction runs over every whole text. Every language of the training rows is learned; more than ``MAX_LANGS``
+of them, which the model's table on the driver can't hold, are an error.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
-so is every text if no row can be learned from. Rows with a null language are predicted but not
-learned from; repeated rows are all returned; an empty table gives an empty result.
+so is every text if no row can be learned from (``accepted`` then keeps every text with a letter). Rows with a null language are predicted but not
+learned from; repeated rows are all returned; of equally probable languages the first by name is taken; a very long text is
+one slice of a batch; an empty table gives an empty result; only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ LENGTHS = (1, 2, 3)
 FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
 FIT_PER_LANG = 500
-MAX_LANGS = 256
+MAX_LANGS = 512
 SLICE = 1 << 19
 EPOCHS, BATCH = 4, 16
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.001
@@ -182,22 +185,23 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     """Learn from the rows of ``train`` with a language and a text; None if there are none."""
     T.small_batches(train.sparkSession)
     rows = train.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not top:
+    rows = rows.select(F.xxhash64("id", "text", "lang").alias("key"), "text", "lang")
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().limit(MAX_LANGS + 1).collect())
+    if len(langs) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    if not langs:
         return None
-    langs = sorted(r["lang"] for r in top)
     seen = rows.select("text").mapInArrow(_document_frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     found = dict(zip(seen.column(0).to_pylist(), seen.column(1).to_pylist(), strict=True))
     total, df = found.pop(-1), np.zeros(FEATURES)
     df[list(found)] = list(found.values())
     idf = np.log((1 + total) / (1 + df)) + 1
     # The first rows of each shard of a language, then of the language: no task gets a share from every other one.
-    picked = rows.where(F.col("lang").isin(langs)).select("id", "lang", F.expr("pmod(xxhash64(id, 1), 64)").alias("shard"))
+    picked = rows.select("key", "lang").distinct().withColumn("shard", F.expr("pmod(xxhash64(key), 64)"))
     for group in ("lang, shard", "lang"):
-        order = F.expr(f"row_number() OVER (PARTITION BY {group} ORDER BY xxhash64(id), id)")
-        picked = picked.select("id", "lang", "shard", order.alias("n")).where(F.col("n") <= per_lang)
-    keep = F.broadcast(picked.select("id", "lang").distinct()) if len(langs) * per_lang <= 200_000 else picked.select("id", "lang").distinct()
-    sample = rows.join(keep, ["id", "lang"], "left_semi").dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(len(langs) * per_lang)
+        picked = picked.select("key", "lang", "shard", F.expr(f"row_number() OVER (PARTITION BY {group} ORDER BY key)").alias("n")).where(F.col("n") <= per_lang)
+    keep = F.broadcast(picked.select("key")) if len(langs) * per_lang <= 200_000 else picked.select("key")
+    sample = rows.join(keep, "key", "left_semi").dropDuplicates(["key"]).orderBy("key")
     got = sample.select("text", "lang").mapInArrow(_vectors, "lang string, feature array<int>, n array<int>").toArrow()
     place = {x: i for i, x in enumerate(langs)}
     labels = np.array([place[x] for x in got.column("lang").to_pylist()], dtype=np.int64)
@@ -243,7 +247,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is recognised with at least ``min_score``."""
-    predict = predictor(fit(docs.where(~held_out(F.col(id_col))), id_col, text_col, lang_col))
-    p = predict(F.col(text_col))
+    """The rows of ``docs``, all columns, whose language is recognised with at least ``min_score``; without a row to learn from,
+    those with a letter."""
+    model = fit(docs.where(~held_out(F.col(id_col))), id_col, text_col, lang_col)
+    if model is None:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
+    p = predictor(model)(F.col(text_col))
     return docs.where((p["lang_pred"] != UNKNOWN) & (p["score"] >= min_score))
