@@ -15,7 +15,7 @@ Defined cases: vectors that are null, empty, zero, or hold a null or non-finite
 component, and rows without an id, take no part; vectors of different lengths
 are never compared; rows that have the query's own id are not candidates; query
 rows with one id are answered once; repeated candidate rows are candidates
-each; an empty table gives an empty result.
+each; equal scores go to the smaller id; an empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -134,7 +134,8 @@ class _Best:
             part = slice(lo, lo + step)
             signs = np.unpackbits(codes[part], axis=1, count=dims).astype(np.float32) * 2 - 1
             about = (self.turned @ signs.T) / (np.sqrt(dims) * fit[part])
-            first = np.argpartition(-about, min(self.k, about.shape[1]) - 1, axis=1)[:, :self.k]
+            # One more than asked for: the query's own row may be among them.
+            first = np.argpartition(-about, min(self.k + 1, about.shape[1]) - 1, axis=1)[:, :self.k + 1]
             q = np.repeat(np.arange(len(self.ids)), first.shape[1])
             self._take(q, first.ravel(), rows[part], vectors[part])
             open_ = about + slack[part] >= self.score[:, -1:]
