@@ -386,10 +386,12 @@ whole_characters = F.arrow_udf(_whole_characters, StringType())
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
-    """The rows of ``docs``, all columns, their texts without the repeats (a character cut in two goes with them);
-    ``chars_col``, if there is one, is counted anew."""
-    out = remove_repeats(docs, id_col, text_col).select("rest", whole_characters("kept").alias("kept"))
-    new = {text_col: F.col("kept")}
+    """The rows of ``docs``, all columns, their texts without the repeats (a character cut in two goes with them; a null text
+    stays null); ``chars_col``, if there is one, is counted anew."""
+    null = "_no_text"
+    out = remove_repeats(docs.withColumn(null, F.col(text_col).isNull()), id_col, text_col).select("rest", whole_characters("kept").alias("kept"))
+    kept = F.when(~F.col("rest")[null], F.col("kept"))
+    new = {text_col: kept}
     if chars_col in docs.columns:
-        new[chars_col] = F.length("kept").cast(docs.schema[chars_col].dataType)
+        new[chars_col] = F.when(F.col("rest")[null], F.col("rest")[chars_col]).otherwise(F.length("kept").cast(docs.schema[chars_col].dataType))
     return out.select(*(new.get(c, F.col("rest")[c]).alias(c) for c in docs.columns))

@@ -123,11 +123,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, but only the first (by id, then text) of each component."""
+    """The rows of ``docs``, all columns, but only the first of each component: by id, then by a hash of its text (of equal rows, any one)."""
     T.small_batches(docs.sparkSession)
     key = "_row_key"
-    tagged = write_and_reread(docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), fingerprint_of(F.col(text_col)).alias("fp"), F.monotonically_increasing_id().alias(key)), "simhash-docs")
-    thin = tagged.select("id", "fp", key)
-    best = F.row_number().over(Window.partitionBy("component").orderBy(F.col("id").asc_nulls_last(), key))
+    tagged = write_and_reread(docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), fingerprint_of(F.col(text_col)).alias("fp"), F.xxhash64(text_col).alias("said"), F.monotonically_increasing_id().alias(key)), "simhash-docs")
+    thin = tagged.select("id", "fp", "said", key)
+    best = F.row_number().over(Window.partitionBy("component").orderBy(F.col("id").asc_nulls_last(), "said", key))
     first = thin.join(components(thin), "fp").select(key, best.alias("n")).where("n = 1").select(key)
     return tagged.join(first, key, "left_semi").select("row.*")

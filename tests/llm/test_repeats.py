@@ -93,3 +93,9 @@ def test_many_equal_rows_spread_over_chunks(spark):
     sizes = [r["count"] for r in out.groupBy("chunk").count().collect()]
     assert sum(sizes) == len(items) and chunks > 10 and max(sizes) < 60
     assert run(spark, items, chunk_bytes=20_000) == plain(items)
+
+
+def test_null_texts_stay_null_in_the_filter(spark):
+    out = repeats.without_repeats(docs(spark, [None, "", "text"], extra=[(9, None, "en", "s", 4)]))
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect()) == [(0, None, None), (1, "", 0), (2, "text", 4), (9, None, 4)]
+

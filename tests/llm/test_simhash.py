@@ -88,3 +88,12 @@ def test_one_of_each_keeps_all_columns(spark):
     assert out.columns == df.columns
     want = {c for _, _, c in plain([*enumerate(texts), (3, "One")])}
     assert [r[0] for r in rows(out, "doc_id")] == sorted(want, key=repr) or sorted(r[0] for r in rows(out, "doc_id")) == sorted(want)
+
+
+def test_the_kept_row_does_not_depend_on_the_order_of_rows(spark):
+    words = [f"w{i}" for i in range(4000)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(["first", *words[1:]])]
+    made = [(5, t, "en", "s", 1) for t in texts]
+    kept = [[r.text for r in simhash.one_of_each(docs(spark, [], extra=x)).collect()] for x in (made, made[::-1])]
+    assert kept[0] == kept[1]
+
