@@ -39,7 +39,7 @@ MIN_LETTERS, MIN_COUNT, DAMAGE, DOMINANT = 5, 3, 97, 2
 
 GROUPS = 16
 #: Words of a subtree in one task, visitors searched at a time, (word, visitor) cells and pairs of words compared at once.
-SUBTREE, VISITORS, CELLS, PAIRS = 20_000, 4096, 1 << 14, 1 << 15
+SUBTREE, VISITORS, CELLS, PAIRS = 8_000, 4096, 1 << 14, 1 << 15
 #: Longer words are compared one by one.
 SHORT = 32
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -67,14 +67,17 @@ def letter_groups(words: DataFrame, groups: int = GROUPS) -> list[str]:
     return out
 
 
-def _levels(words: DataFrame, groups: list[str], most: int) -> int:
-    """The first counts by which the trie is cut: the fewest with no more than ``most`` words to a subtree, else all."""
+def _levels(words: DataFrame, groups: list[str], most: int) -> tuple[int, bool]:
+    """The first counts by which the trie is cut: the fewest with no more than ``most`` words to a subtree, else all; and
+    whether a subtree is larger even so."""
     counts = [F.length("word") - F.length(F.translate("word", g, "")) if g else F.lit(0) for g in groups]
     names = [f"g{i}" for i in range(len(groups))]
     vectors = words.select(*(c.alias(n) for c, n in zip(counts, names, strict=True))).groupBy(*names).count()
     sums = vectors.rollup(*names).agg(F.sum("count").alias("words"), F.grouping_id().alias("rolled"))
     largest = {r["rolled"]: r["most"] for r in sums.groupBy("rolled").agg(F.max("words").alias("most")).collect()}
-    return next((n for n in range(1, len(groups)) if largest.get((1 << (len(groups) - n)) - 1, 0) <= most), len(groups))
+    size = lambda n: largest.get((1 << (len(groups) - n)) - 1, 0)
+    levels = next((n for n in range(1, len(groups)) if size(n) <= most), len(groups))
+    return levels, size(levels) > most
 
 
 class Letters:
@@ -263,15 +266,19 @@ def _search(groups: list[str]):
 def near_words(words: DataFrame, most: int = SUBTREE) -> DataFrame:
     """``words``: word (of ``LETTERS``) and n, each word once. (``word``, ``near``, ``n_near``) of all near words, both ways."""
     groups = letter_groups(words)
-    levels = _levels(words, groups, most)
+    levels, large = _levels(words, groups, most)
     placed = words.select("word", "n").mapInArrow(_place(groups, levels), "subtree long, kind byte, word string, n long")
-    # Subtrees that are too large even so, with their parts (fewer than words / most).
+    dealt = _split(placed, most) if large else placed.withColumn("part", F.lit(0))
+    ordered = dealt.repartition("subtree", "part").select("subtree", "part", "kind", "word", "n").sortWithinPartitions("subtree", "part", "kind", "word")
+    return ordered.mapInArrow(_search(groups), "word string, near string, n_near long")
+
+
+def _split(placed: DataFrame, most: int) -> DataFrame:
+    """Subtrees of more than ``most`` words in parts, each visited by all visitors."""
     large = placed.where("kind = 0").groupBy("subtree").count().where(F.col("count") > most).select("subtree", F.ceil(F.col("count") / most).cast("int").alias("parts"))
     split = placed.join(large, "subtree", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
-    dealt = split.select("subtree", F.explode(F.when(F.col("kind") == 0, F.array(own)).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))).alias("part"), "kind", "word", "n")
-    ordered = dealt.repartition("subtree", "part").sortWithinPartitions("subtree", "part", "kind", "word")
-    return ordered.mapInArrow(_search(groups), "word string, near string, n_near long")
+    return split.select("subtree", F.explode(F.when(F.col("kind") == 0, F.array(own)).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))).alias("part"), "kind", "word", "n")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
