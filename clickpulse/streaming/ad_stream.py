@@ -188,12 +188,12 @@ class AdStreamJob:
         manifest = {"batch": n, "clock": seen["now"], "days": days, "rejects": seen["rejects"], "late": seen["late"],
                     "anchor": later(before["anchor"], seen["anchor"]), "newest": later(before["newest"], seen["newest"]),
                     "served": before["served"] | {d: n for d in days}, "minutes": n if days else before["minutes"]}
-        manifest["folders"] = [f for d, b in manifest["served"].items() for f in (self._q6(b, d), self._q7(b, d))] + ([self._minutes(manifest["minutes"])] if manifest["minutes"] is not None else [])
+        manifest["folders"] = [f(b) for b in sorted(set(manifest["served"].values())) for f in (self._q6, self._q7)] + ([self._minutes(manifest["minutes"])] if manifest["minutes"] is not None else [])
         actions = []
         if seen["rejects"]:
             actions.append(lambda: self._save(out.where("kind = 'reject'").select("value", "reason"), "rejects", f"batch={n}"))
         if seen["crossed"]:
-            actions.append(lambda: self._save(out.where(crossed).select("userid").distinct(), "aside", "blacklist", f"batch={n}"))
+            actions.append(lambda: self._save(out.where(crossed).select("userid"), "aside", "blacklist", f"batch={n}"))
         if self.lateness is not None and manifest["newest"] is not None:
             actions.append(lambda: self._save(self.spark.range(1).select(F.lit(manifest["newest"]).cast("long").alias("newest")), "aside", "clock", f"batch={n}"))
         if self.keep_rows:
@@ -201,8 +201,7 @@ class AdStreamJob:
         if days:
             totals = self._day_totals(out, days, before)
             top3 = ads.day_area_ad_top3_json(ads.day_area_ad_top3(ads.day_area_ad_counts(totals), self.top_k))
-            actions += [lambda: self._save(totals, "out", "day_area_city_ad_counts", f"batch={n}", by="day"),
-                        lambda: self._save(top3, "out", "day_area_ad_top3_json", f"batch={n}", by="day"),
+            actions += [lambda: self._save(totals, self._q6(n)), lambda: self._save(top3, self._q7(n)),
                         lambda: self._save(self._minute_totals(out, before, manifest), self._minutes(n))]
         _together(*actions)
         self.manifests.publish(manifest)
@@ -210,28 +209,26 @@ class AdStreamJob:
             if old <= n - self.keep_batches:
                 self.files.delete(self.path("survivors", f"batch={old}"))
 
-    def _q6(self, batch: int, day: str) -> str:
-        return f"out/day_area_city_ad_counts/batch={batch}/day={day}"
+    # An output folder holds the days that its batch changed; the manifest says which days are still read from it.
+    def _q6(self, batch: int) -> str:
+        return f"out/day_area_city_ad_counts/batch={batch}"
 
-    def _q7(self, batch: int, day: str) -> str:
-        return f"out/day_area_ad_top3_json/batch={batch}/day={day}"
+    def _q7(self, batch: int) -> str:
+        return f"out/day_area_ad_top3_json/batch={batch}"
 
     def _minutes(self, batch: int) -> str:
         return f"out/ad_minute_counts/batch={batch}"
 
-    def _save(self, df: DataFrame, *where: str, by: str | None = None) -> None:
-        # REBALANCE: few files, and still a split of a value that is too large.
-        w = (df.hint("rebalance", by) if by else df.hint("rebalance")).write.mode("overwrite")
-        (w.partitionBy(by) if by else w).parquet(self.path(*where))
+    def _save(self, df: DataFrame, *where: str) -> None:
+        df.hint("rebalance").write.mode("overwrite").parquet(self.path(*where))  # few files, none too large
 
-    def _days(self, kind: str, cols: str, served: dict[str, int], of) -> DataFrame:
-        """The served folders of some days, as one table with ``day``."""
+    def _days(self, cols: str, served: dict[str, int], of) -> DataFrame:
+        """The rows of some days, each from the folder that serves it."""
         out = None
         for batch in sorted(set(served.values())):
-            paths = [self.path(of(batch, d)) for d, b in served.items() if b == batch]
-            part = self.spark.read.schema(f"{cols}, day STRING").option("basePath", self.path("out", kind, f"batch={batch}")).parquet(*paths)
+            part = self.spark.read.schema(f"day STRING, {cols}").parquet(self.path(of(batch))).where(F.col("day").isin([d for d, b in served.items() if b == batch]))
             out = part if out is None else out.unionByName(part)
-        return self.spark.createDataFrame([], f"{cols}, day STRING") if out is None else out
+        return self.spark.createDataFrame([], f"day STRING, {cols}") if out is None else out
 
     def _day_totals(self, out: DataFrame, days: list[str], before: dict) -> DataFrame:
         """All totals of the days that changed: the changed ones, and the stored ones that didn't."""
@@ -240,7 +237,7 @@ class AdStreamJob:
         if not stored:
             return changed
         keys = ["day", "area", "city", "adid"]
-        old = self._days("day_area_city_ad_counts", Q6_COLS, stored, self._q6).join(changed.select(*keys), keys, "left_anti")
+        old = self._days(Q6_COLS, stored, self._q6).join(changed.select(*keys), keys, "left_anti")
         return changed.unionByName(old.select(*changed.columns))
 
     def _minute_totals(self, out: DataFrame, before: dict, manifest: dict) -> DataFrame:
@@ -263,12 +260,12 @@ class AdStreamJob:
     def day_area_city_ad_counts(self, manifest: dict | None = None) -> DataFrame:
         """Q6 totals: day, area, city, adid, clicks."""
         m = manifest or self.published()
-        return self._days("day_area_city_ad_counts", Q6_COLS, m["served"], self._q6).select("day", "area", "city", "adid", "clicks")
+        return self._days(Q6_COLS, m["served"], self._q6).select("day", "area", "city", "adid", "clicks")
 
     def day_area_ad_top3_json(self, manifest: dict | None = None) -> DataFrame:
         """Q7: day, area, top3_json."""
         m = manifest or self.published()
-        return self._days("day_area_ad_top3_json", "area STRING, top3_json STRING", m["served"], self._q7).select("day", "area", "top3_json")
+        return self._days("area STRING, top3_json STRING", m["served"], self._q7).select("day", "area", "top3_json")
 
     def trend(self, manifest: dict | None = None) -> DataFrame:
         """Q8: adid, minute, clicks of the last ``trend_minutes`` minutes, ending with the latest one that isn't ahead of the clock."""

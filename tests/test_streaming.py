@@ -186,8 +186,7 @@ def test_outputs_belong_to_one_batch_and_their_folders_stay_few(spark, scratch):
     assert sorted(map(tuple, job.day_area_city_ad_counts(held).collect())) == totals
     assert sum(r.clicks for r in job.day_area_city_ad_counts().collect()) == 14
     for name in os.listdir(os.path.join(job.root, "out")):
-        folders = [d for b in os.listdir(os.path.join(job.root, "out", name)) for d in os.listdir(os.path.join(job.root, "out", name, b)) if d.startswith("day=")]
-        assert len(folders) <= 4 + 2 * 3
+        assert len([b for b in os.listdir(os.path.join(job.root, "out", name)) if b.startswith("batch=")]) <= 4 + 2
     assert len([b for b in os.listdir(job.path("survivors")) if b.startswith("batch=")]) == 2
 
 
