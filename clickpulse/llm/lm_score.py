@@ -1,7 +1,8 @@
 """Operator 4: log-likelihood of whole documents by a gated recurrent language model.
 
-Word counts cover all training rows. Documents are dealt into chunks; a chunk
-sends its distinct words once, as sorted 64-bit keys with their training
+Word counts cover all training rows. Documents are dealt into chunks and tokenised once: a chunk writes
+its distinct words, as sorted 64-bit keys, and its documents as places in that list, from which the network is
+trained and the documents are scored. A chunk also sends its words with their training
 counts; a range of keys meets in one group, which adds the counts up and answers every
 chunk that asked. So a very frequent word costs an entry a chunk, not an entry an occurrence, and no vocabulary is
 broadcast but the ``HEAD`` most frequent words.
@@ -9,12 +10,14 @@ broadcast but the ``HEAD`` most frequent words.
 The network (see ``gru``) has a word layer for those; every other word, seen or
 not, belongs to a class by its last two bytes, and has its count's share in it,
 one unit being left for unseen words. So the probabilities of all words sum to one.
-It is trained on every training row, in ``ROUNDS``: each task trains on its own rows from
-the common parameters, and the parameters are averaged, weighted by tokens, by Spark.
+It is trained on every training row, in ``ROUNDS``: each chunk trains on its own rows, in the order of their ids, from
+the common parameters, and the parameters are averaged, weighted by tokens, by Spark. Chunks go by a hash of the rows and
+are equally large whatever the corpus, so neither the input's partitions nor the number of tasks change the model.
 
 Defined cases: a null or empty text is its end alone; repeated rows are scored
-each and, in training, counted each; with no training row every count is 0 and both scores
-are the base formula's; an empty table gives an empty result.
+each and, in training, counted each (so many that they would fill a chunk are spread over all of them, by a number each is given
+once); with no training row every count is 0 and both scores are the base formula's; an empty table gives an empty result; a very long
+text is a chunk's part like any other, its state carried to its end; only the named columns are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -25,13 +28,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm import gru
 from clickpulse.llm import textcols as T
-from clickpulse.llm.repeats import _pack, _unpack
+from clickpulse.llm.repeats import _pack, _unpack, dealt
 from clickpulse.plans import write_and_reread
 
 HEAD, HEAD_CLASSES = 2048, 32
@@ -41,9 +43,13 @@ CHUNK_BYTES = 16 << 20
 #: Shares of the training rows, by a hash of the id, for one round of training each (of 16).
 ROUNDS = ((0, 1), (1, 4), (4, 16))
 TRAIN_LANES, SCORE_LANES = 256, 256
-#: Tokens trained on, or scored, at a time.
-BATCH_TOKENS = 1_000_000
+#: Tokens trained on at a time, and in one row of the written table.
+BATCH_TOKENS, PART_TOKENS = 1_000_000, 1 << 17
 BLOCKS = 64
+#: Chunks to one range of keys: a range's group holds so many chunks' shares, rows are fewer than chunks by chunks.
+CHUNKS_A_RANGE = 8
+#: Kinds of a chunk's rows besides its documents' (by round, then those held out): its words, and what it sends to a range.
+WORDS, SENT = len(ROUNDS) + 1, len(ROUNDS) + 2
 
 _SYMBOL = T.mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9))
 #: The end of a document: a key that no word has (its tail bits say a class that words with these bits can have, its hash is fixed).
@@ -79,19 +85,41 @@ def _cuts(ordered: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(ordered, np.array([(b << 64) // buckets for b in range(buckets)] + [(1 << 64) - 1], dtype=np.uint64))
 
 
-def _send_words(buckets: int):
-    def send(rows: pa.Table) -> pa.Table:
-        every, offsets = documents(rows.column("text"))
-        train = np.repeat(rows.column("train").combine_chunks().to_numpy(zero_copy_only=False), np.diff(offsets))
+_TOKENS = "kind int, bucket long, chunk long, keys binary, counts binary, ids binary, lengths binary"
+
+
+def _tokenise(buckets: int):
+    def tokenise(rows: pa.Table) -> pa.Table:
+        col = lambda name: rows.column(name).combine_chunks()
+        ids = pc.fill_null(col("id"), 0).to_numpy()
+        order = np.lexsort((col("key").to_numpy(), ids, col("id").is_valid().to_numpy(zero_copy_only=False)))
+        every, offsets = documents(col("text").take(pa.array(order)))
+        kind = col("kind").to_numpy()[order]
         words, which = np.unique(every, return_inverse=True)
-        counts = np.bincount(which[train], minlength=len(words)).astype(np.uint64)
+        counts = np.bincount(which[np.repeat(kind < len(ROUNDS), np.diff(offsets))], minlength=len(words)).astype(np.uint64)
         cuts = _cuts(words, buckets)
-        used = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+        null = pc.invert(col("id").is_valid()).to_numpy(zero_copy_only=False)[order]
+        found: list[tuple] = [(WORDS, -1, _pack(words), None, None, None)]
+        found += [(SENT, b, _pack(words[cuts[b]:cuts[b + 1]]), _bytes(counts[cuts[b]:cuts[b + 1]]), None, None) for b in range(buckets) if cuts[b] < cuts[b + 1]]
+        for k in range(len(ROUNDS) + 1):
+            own = np.flatnonzero(kind == k)
+            if len(own):
+                at = which[T.ragged(offsets[own], np.diff(offsets)[own])[0]]
+                found.append((k, -1, None, null[own].tobytes(), ids[order][own].tobytes(), _bytes(np.diff(offsets)[own])))
+                found += [(k, lo, _bytes(at[lo:lo + PART_TOKENS]), None, None, None) for lo in range(0, len(at), PART_TOKENS)]
         T.trim()
-        return pa.table({"bucket": pa.array(used, pa.int64()), "chunk": pa.array([rows.column("chunk")[0].as_py()] * len(used), pa.int64()),
-                         "keys": pa.array([_pack(words[cuts[b]:cuts[b + 1]]) for b in used], pa.binary()),
-                         "counts": pa.array([_bytes(counts[cuts[b]:cuts[b + 1]]) for b in used], pa.binary())})
-    return send
+        kinds, ranges, blobs, more, names, lengths = zip(*found, strict=True)
+        return pa.table({"kind": pa.array(kinds, pa.int32()), "bucket": pa.array(ranges, pa.int64()), "chunk": pa.array([col("chunk")[0].as_py()] * len(found), pa.int64()), "keys": pa.array(blobs, pa.binary()),
+                         "counts": pa.array(more, pa.binary()), "ids": pa.array(names, pa.binary()), "lengths": pa.array(lengths, pa.binary())})
+    return tokenise
+
+
+def _pieces(rows: pa.Table) -> tuple[np.ndarray, list[dict]]:
+    """A chunk's words, and its documents by kind: places of their tokens among the words, lengths, ids, which ids are null."""
+    found = sorted(rows.to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
+    words = next(_unpack(r["keys"]) for r in found if r["kind"] == WORDS)
+    return words, [{"which": np.concatenate([_ints(p["keys"]) for p in found if p["kind"] == r["kind"] and p["keys"]]), "offsets": np.concatenate([[0], np.cumsum(_ints(r["lengths"]))]),
+                    "ids": np.frombuffer(r["ids"], np.int64), "null": np.frombuffer(r["counts"], bool)} for r in found if r["kind"] < WORDS and r["ids"] is not None]
 
 
 def _bytes(values: np.ndarray) -> bytes:
@@ -160,11 +188,11 @@ class Model:
 
 
 def _train(model: Model, rate: float):
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, tokens = gru.Gru(model.shape, model.params), 0
-        for batch in batches:
-            every, offsets = documents(batch.column(0))
-            ids = model.ids(every)
+    def train(rows: pa.Table) -> pa.Table:
+        words, pieces = _pieces(rows)
+        net, tokens, own = gru.Gru(model.shape, model.params), 0, model.ids(words)
+        for piece in pieces:
+            ids, offsets = own[piece["which"]], piece["offsets"]
             lo = 0
             while lo < len(offsets) - 1:
                 hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BATCH_TOKENS, side="right")) - 1)
@@ -172,10 +200,9 @@ def _train(model: Model, rate: float):
                 lo = hi
             tokens += len(ids)
         T.trim()
-        if tokens:
-            blocks = np.array_split(net.flat, BLOCKS)
-            yield pa.RecordBatch.from_pydict({"block": pa.array(range(BLOCKS), pa.int32()), "part": pa.array([TaskContext.get().partitionId() % BLOCKS] * BLOCKS, pa.int32()),
-                                              "weight": pa.array([float(tokens)] * BLOCKS), "params": pa.array([b.tobytes() for b in blocks], pa.binary())})
+        blocks = np.array_split(net.flat, BLOCKS) if tokens else []
+        return pa.table({"block": pa.array(range(len(blocks)), pa.int32()), "part": pa.array([rows.column("chunk")[0].as_py() % BLOCKS] * len(blocks), pa.int32()),
+                         "weight": pa.array([float(tokens)] * len(blocks), pa.float64()), "params": pa.array([b.tobytes() for b in blocks], pa.binary())})
     return train
 
 
@@ -188,8 +215,8 @@ def _mean(rows: pa.Table) -> pa.Table:
     return pa.table({"block": rows.column("block")[:1], "part": rows.column("part")[:1], "weight": pa.array([weights.sum()]), "params": pa.array([(total / weights.sum()).astype(np.float32).tobytes()], pa.binary())})
 
 
-def fit(train: DataFrame, met: DataFrame) -> Model | None:
-    """``train``: id and text of the training rows; ``met``: the counted words."""
+def fit(tokens: DataFrame, met: DataFrame) -> Model | None:
+    """``tokens``: the chunks' documents and words; ``met``: the counted words."""
     corpus = met.where("chunk = -1").select("keys", "counts")
     top = corpus.mapInArrow(_top, "key long, n long").orderBy(F.desc("n"), "key").limit(HEAD).toArrow()
     if not len(top):
@@ -205,9 +232,8 @@ def fit(train: DataFrame, met: DataFrame) -> Model | None:
     heads = np.add.reduceat(counts, borders[:-1])
     order = np.argsort(found)
     model = Model(shape, gru.start(shape, counts, np.concatenate([heads, tail_tokens])), found[order], order, tail_tokens, tail_words, int(all_tokens.sum()), int(all_words.sum()))
-    for k, (lo, hi) in enumerate(ROUNDS):
-        share = F.pmod(F.xxhash64("id"), F.lit(16))
-        rows = train.where((share >= lo) & (share < hi)).select("text").mapInArrow(_train(model, gru.RATE / (1 + k)), _PARAMS)
+    for k in range(len(ROUNDS)):
+        rows = tokens.where(F.col("kind").isin(k, WORDS)).groupBy("chunk").applyInArrow(_train(model, gru.RATE / (1 + k)), _PARAMS)
         mean = rows.groupBy("block", "part").applyInArrow(_mean, _PARAMS).groupBy("block").applyInArrow(_mean, _PARAMS)
         got = sorted(mean.select("block", "params").collect())
         if got:
@@ -220,10 +246,7 @@ _SCORED = "id long, n_tokens long, n_known long, base_score double, score double
 
 def _score(model: Model | None, buckets: int):
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        if not len(rows):
-            return pa.table({"id": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()), "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
-        every, offsets = documents(rows.column("text"))
-        words, which = np.unique(every, return_inverse=True)
+        words, pieces = _pieces(rows)
         cuts = _cuts(words, buckets)
         count = np.zeros(len(words), np.int64)
         for b, blob in zip(answers.column("bucket").to_pylist(), answers.column("counts").to_pylist(), strict=True):
@@ -234,19 +257,20 @@ def _score(model: Model | None, buckets: int):
             ids = model.ids(words)
             cls = np.maximum(ids - model.shape.words, 0)
             inside = np.where(ids < model.shape.words, 0.0, np.log10((count + 1.0) / (model.tail_tokens + model.tail_words + 1)[cls]))
-            stream = ids[which]
             net = gru.Gru(model.shape, model.params)
+        # All documents together: a long one then runs beside all others.
+        which = np.concatenate([p["which"] for p in pieces])
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p["offsets"]) for p in pieces]))])
+        names, null = (np.concatenate([p[c] for p in pieces]) for c in ("ids", "null"))
+        plain = T.per_segment(base[which], offsets, np.float64)
+        total = plain
+        if model:
+            stream = ids[which]
             total = T.per_segment(inside[which], offsets, np.float64)
-            lo = 0
-            while lo < len(offsets) - 1:
-                hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BATCH_TOKENS, side="right")) - 1)
-                total[lo:hi] += net.log_likelihood([stream[offsets[i]:offsets[i + 1]] for i in range(lo, hi)], SCORE_LANES) / np.log(10)
-                lo = hi
-        else:
-            total = T.per_segment(base[which], offsets, np.float64)
+            total += net.log_likelihood([stream[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)], SCORE_LANES) / np.log(10)
+        known = T.per_segment((count > 0)[which], offsets)
         T.trim()
-        return pa.table({"id": rows.column("id"), "n_tokens": pa.array(np.diff(offsets)), "n_known": pa.array(T.per_segment((count > 0)[which], offsets)),
-                         "base_score": pa.array(T.per_segment(base[which], offsets, np.float64)), "score": pa.array(total)})
+        return pa.table({"id": pa.array(names, mask=null), "n_tokens": pa.array(np.diff(offsets)), "n_known": pa.array(known), "base_score": pa.array(plain), "score": pa.array(total)})
     return score
 
 
@@ -258,12 +282,17 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row for each row of ``docs``: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``
     (log10); learns from the rows not held out."""
     T.small_batches(docs.sparkSession)
-    total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-    chunks = max(1, -(-total // chunk_bytes))
-    rows = docs.select(F.pmod(F.xxhash64(id_col, text_col), F.lit(chunks)).alias("chunk"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), (~held_out(F.col(id_col))).alias("train"))
-    words = rows.groupBy("chunk").applyInArrow(_send_words(chunks), "bucket long, chunk long, keys binary, counts binary")
-    met = write_and_reread(words.groupBy("bucket").applyInArrow(_meet_words, _MET), "lm-words")
-    model = fit(rows.where("train").select("id", "text"), met)
+    rows, chunks = dealt(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", "text", chunk_bytes)
+    buckets = max(1, -(-chunks // CHUNKS_A_RANGE))
+    share = F.pmod(F.xxhash64("id"), F.lit(16))
+    kind = F.lit(len(ROUNDS))
+    for k, (lo, hi) in enumerate(ROUNDS):
+        kind = F.when(~held_out(F.col("id")) & (share >= lo) & (share < hi), k).otherwise(kind)
+    shaped = rows.select("chunk", "id", "text", F.xxhash64("id", "text").alias("key"), kind.cast("int").alias("kind"))
+    tokens = write_and_reread(shaped.groupBy("chunk").applyInArrow(_tokenise(buckets), _TOKENS), "lm-tokens")
+    met = write_and_reread(tokens.where(F.col("kind") == SENT).select("bucket", "chunk", "keys", "counts").groupBy("bucket").applyInArrow(_meet_words, _MET), "lm-words")
+    documents_of = tokens.where(F.col("kind") <= WORDS).select("kind", "bucket", "chunk", "keys", "counts", "ids", "lengths")
+    model = fit(documents_of, met)
     answers = met.where("chunk >= 0").select("chunk", "bucket", "counts")
-    scored = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(model, chunks), _SCORED)
+    scored = documents_of.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(model, buckets), _SCORED)
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens if model else 0).cast("long").alias("train_tokens"), "base_score", "score")

@@ -45,6 +45,23 @@ def test_held_out_likelihood_beats_word_frequencies(spark):
     assert out["sum(score)"] > out["sum(base_score)"] + 0.2 * out["sum(n_tokens)"]
 
 
+def test_scores_do_not_depend_on_the_layout(spark):
+    table = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "text")
+    found = []
+    for parts in (1, 8, 32):
+        out = rows(lm_score.score_documents(table.repartition(parts, "doc_id"), chunk_bytes=1 << 19), "doc_id", "score", "n_tokens")
+        found.append(np.array([s / n for _, s, n in out]))
+    assert np.abs(found[0] - found[1]).max() < 1e-3 and np.abs(found[0] - found[2]).max() < 1e-3
+
+
+def test_equal_rows_that_would_fill_a_chunk_are_spread(spark):
+    items = [(1, "the same words again and again")] * 300 + [(i, f"word{i} and the same") for i in range(2, 40)]
+    df = spark.createDataFrame(items, "doc_id LONG, text STRING")
+    got = rows(lm_score.score_documents(df, chunk_bytes=2000))
+    assert [g[:5] for g in got] == [w[:5] for w in plain(items)]
+    assert len({g[6] for g in got if g[0] == 1}) == 1
+
+
 def _net():
     shape = gru.Shape((0, 1, 4, 9), 3, 5)
     return shape, np.random.default_rng(0).standard_normal(shape.total) * 0.3
