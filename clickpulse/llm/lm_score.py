@@ -10,7 +10,7 @@ broadcast but the ``HEAD`` most frequent words.
 The network (see ``gru``) has a word layer for those; every other word, seen or
 not, belongs to a class by its last two bytes, and has its count's share in it,
 one unit being left for unseen words. So the probabilities of all words sum to one.
-It is trained on every training row, in ``ROUNDS``: each chunk trains on its own rows, in the order of their ids, from
+It is trained on every training row, in ``ROUNDS``: each trainer trains on the rows of its few chunks, in the order of their ids, from
 the common parameters, and the parameters are averaged, weighted by tokens, by Spark. Chunks go by a hash of the rows and
 are equally large whatever the corpus, so neither the input's partitions nor the number of tasks change the model.
 
@@ -39,7 +39,9 @@ from clickpulse.plans import write_and_reread
 HEAD, HEAD_CLASSES = 2048, 32
 TAIL_BITS = 6
 TAILS = 1 << TAIL_BITS
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
+#: Chunks that one trainer trains on, one after the other.
+CHUNKS_A_TRAINER = 2
 #: Shares of the training rows, by a hash of the id, for one round of training each (of 16).
 ROUNDS = ((0, 1), (1, 4), (4, 16))
 TRAIN_LANES, SCORE_LANES = 256, 256
@@ -47,7 +49,7 @@ TRAIN_LANES, SCORE_LANES = 256, 256
 BATCH_TOKENS, PART_TOKENS = 1_000_000, 1 << 17
 BLOCKS = 64
 #: Chunks to one range of keys: a range's group holds so many chunks' shares, rows are fewer than chunks by chunks.
-CHUNKS_A_RANGE = 8
+CHUNKS_A_RANGE = 16
 #: Kinds of a chunk's rows besides its documents' (by round, then those held out): its words, and what it sends to a range.
 WORDS, SENT = len(ROUNDS) + 1, len(ROUNDS) + 2
 
@@ -189,19 +191,21 @@ class Model:
 
 def _train(model: Model, rate: float):
     def train(rows: pa.Table) -> pa.Table:
-        words, pieces = _pieces(rows)
-        net, tokens, own = gru.Gru(model.shape, model.params), 0, model.ids(words)
-        for piece in pieces:
-            ids, offsets = own[piece["which"]], piece["offsets"]
-            lo = 0
-            while lo < len(offsets) - 1:
-                hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BATCH_TOKENS, side="right")) - 1)
-                net.train(ids[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], TRAIN_LANES, rate)
-                lo = hi
-            tokens += len(ids)
+        net, tokens = gru.Gru(model.shape, model.params), 0
+        for chunk in sorted(set(rows.column("chunk").to_pylist())):
+            words, pieces = _pieces(rows.filter(pc.equal(rows.column("chunk"), chunk)))
+            own = model.ids(words)
+            for piece in pieces:
+                ids, offsets = own[piece["which"]], piece["offsets"]
+                lo = 0
+                while lo < len(offsets) - 1:
+                    hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + BATCH_TOKENS, side="right")) - 1)
+                    net.train(ids[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], TRAIN_LANES, rate)
+                    lo = hi
+                tokens += len(ids)
         T.trim()
         blocks = np.array_split(net.flat, BLOCKS) if tokens else []
-        return pa.table({"block": pa.array(range(len(blocks)), pa.int32()), "part": pa.array([rows.column("chunk")[0].as_py() % BLOCKS] * len(blocks), pa.int32()),
+        return pa.table({"block": pa.array(range(len(blocks)), pa.int32()), "part": pa.array([rows.column("trainer")[0].as_py() % BLOCKS] * len(blocks), pa.int32()),
                          "weight": pa.array([float(tokens)] * len(blocks), pa.float64()), "params": pa.array([b.tobytes() for b in blocks], pa.binary())})
     return train
 
@@ -215,7 +219,7 @@ def _mean(rows: pa.Table) -> pa.Table:
     return pa.table({"block": rows.column("block")[:1], "part": rows.column("part")[:1], "weight": pa.array([weights.sum()]), "params": pa.array([(total / weights.sum()).astype(np.float32).tobytes()], pa.binary())})
 
 
-def fit(tokens: DataFrame, met: DataFrame) -> Model | None:
+def fit(tokens: DataFrame, met: DataFrame, trainers: int) -> Model | None:
     """``tokens``: the chunks' documents and words; ``met``: the counted words."""
     corpus = met.where("chunk = -1").select("keys", "counts")
     top = corpus.mapInArrow(_top, "key long, n long").orderBy(F.desc("n"), "key").limit(HEAD).toArrow()
@@ -233,7 +237,7 @@ def fit(tokens: DataFrame, met: DataFrame) -> Model | None:
     order = np.argsort(found)
     model = Model(shape, gru.start(shape, counts, np.concatenate([heads, tail_tokens])), found[order], order, tail_tokens, tail_words, int(all_tokens.sum()), int(all_words.sum()))
     for k in range(len(ROUNDS)):
-        rows = tokens.where(F.col("kind").isin(k, WORDS)).groupBy("chunk").applyInArrow(_train(model, gru.RATE / (1 + k)), _PARAMS)
+        rows = tokens.where(F.col("kind").isin(k, WORDS)).withColumn("trainer", F.col("chunk") % trainers).groupBy("trainer").applyInArrow(_train(model, gru.RATE / (1 + k)), _PARAMS)
         mean = rows.groupBy("block", "part").applyInArrow(_mean, _PARAMS).groupBy("block").applyInArrow(_mean, _PARAMS)
         got = sorted(mean.select("block", "params").collect())
         if got:
@@ -292,7 +296,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tokens = write_and_reread(shaped.groupBy("chunk").applyInArrow(_tokenise(buckets), _TOKENS), "lm-tokens")
     met = write_and_reread(tokens.where(F.col("kind") == SENT).select("bucket", "chunk", "keys", "counts").groupBy("bucket").applyInArrow(_meet_words, _MET), "lm-words")
     documents_of = tokens.where(F.col("kind") <= WORDS).select("kind", "bucket", "chunk", "keys", "counts", "ids", "lengths")
-    model = fit(documents_of, met)
+    model = fit(documents_of, met, -(-chunks // CHUNKS_A_TRAINER))
     answers = met.where("chunk >= 0").select("chunk", "bucket", "counts")
     scored = documents_of.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(model, buckets), _SCORED)
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens if model else 0).cast("long").alias("train_tokens"), "base_score", "score")
