@@ -20,7 +20,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = repeats.remove_repeats(_read(spark, sf_dir, "documents"))
+    out = repeats.remove_repeats(_read(spark, sf_dir, "documents"), nulls_last=False)
     return out.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -23,7 +23,8 @@ besides is bounded by distinct strings of a chunk, so copies and common passages
 are merged before they meet. Hash collisions cost time only: stretches and suffixes are compared by their bytes.
 
 Defined cases: a null text is empty; a text below ``WINDOW`` bytes is left
-whole; a null id counts as larger than any other; rows with equal ids don't
+whole; a null id counts as larger than any other, or (``nulls_last=False``, as the
+query has it) is smaller or larger than none, its text left whole; rows with equal ids don't
 affect each other; an empty table gives an empty result; other columns are
 carried in a struct, so their names can't clash.
 """
@@ -127,12 +128,17 @@ def _flags(blob: bytes, n: int) -> np.ndarray:
 class Chunk:
     """The documents of one chunk, their runs, and what of them other documents hold."""
 
-    def __init__(self, docs: pa.Table, cfg: tuple[int, int, int]):
-        self.window, self.gram, self.buckets = cfg
+    def __init__(self, docs: pa.Table, cfg: tuple[int, int, int, bool]):
+        self.window, self.gram, self.buckets, nulls_last = cfg
+        # Every step reads the chunk anew, its rows in any order; what they send each other goes by places.
+        self.docs = docs = docs.take(pc.sort_indices(docs.select(["id", "text"]).combine_chunks(), sort_keys=[("id", "ascending"), ("text", "ascending")]))
         ids = docs.column("id").combine_chunks()
         self.ids = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False) if len(ids) else np.zeros(0, np.int64)
         self.data, self.offsets = T.flat(docs.column("text"))
         self.runs = runs(self.data, self.offsets, self.window, self.gram)
+        if ids.null_count and not nulls_last:
+            own = ids.is_valid().to_numpy(zero_copy_only=False)[self.runs.row]
+            self.runs = Runs(self.runs.first[own], self.runs.last[own], self.runs.hash[own], self.runs.row[own])
         self.hashes, self.which = np.unique(self.runs.hash, return_inverse=True)
         self.cuts = np.searchsorted(self.hashes, [(b << HASH_BITS) // self.buckets for b in range(self.buckets + 1)])
 
@@ -335,7 +341,7 @@ def _cut(cfg):
         size = np.diff(own.offsets)
         T.trim()
         kept = T.binary(own.data[~gone], np.concatenate([[0], np.cumsum(size - removed)])).cast(pa.binary())
-        return pa.table({"rest": docs.column("rest"), "n_bytes": pa.array(size), "n_removed": pa.array(removed), "n_spans": pa.array(T.per_segment(begins, own.offsets)), "kept": kept})
+        return pa.table({"rest": own.docs.column("rest"), "n_bytes": pa.array(size), "n_removed": pa.array(removed), "n_spans": pa.array(T.per_segment(begins, own.offsets)), "kept": kept})
     return cut
 
 
@@ -362,12 +368,13 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> tupl
     return once.select(*out).unionByName(spread.withColumn("chunk", F.pmod(F.xxhash64("key", "copy"), F.lit(chunks))).select(*out)), chunks
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES,
+                   nulls_last: bool = True) -> DataFrame:
     """One row for each row of ``docs``: ``rest`` (a struct of its columns but the text), ``n_bytes``,
     ``n_removed``, ``n_spans`` and ``kept``, the remaining bytes of the text."""
     T.small_batches(docs.sparkSession)
     rows, chunks = dealt(docs, id_col, text_col, chunk_bytes)
-    cfg = (window, gram, chunks)
+    cfg = (window, gram, chunks, nulls_last)
     by_chunk = rows.groupBy("chunk")
     anchors = by_chunk.applyInArrow(_send_anchors(cfg), "bucket long, chunk long, hashes binary, shared binary")
     held = anchors.groupBy("bucket").applyInArrow(_meet_anchors, _ANSWER)

@@ -2,10 +2,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from clickpulse.llm import repeats
+from clickpulse.llm import registry, repeats
 from tests.llm.helpers import docs, rows, with_clashes
 
 
@@ -99,3 +101,36 @@ def test_null_texts_stay_null_in_the_filter(spark):
     out = repeats.without_repeats(docs(spark, [None, "", "text"], extra=[(9, None, "en", "s", 4)]))
     assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect()) == [(0, None, None), (1, "", 0), (2, "text", 4), (9, None, 4)]
 
+
+def test_null_ids_are_left_whole_by_the_query(spark, scratch):
+    rng = random.Random(10)
+    prose = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
+    shared = prose(120)
+    items = [(None, shared), (4, shared), (None, prose(20) + shared), (9, prose(30) + shared), (2, prose(80)), (None, None)]
+    docs(spark, [], extra=[(i, t, "en", "s", 0) for i, t in items]).write.parquet(f"{scratch}/documents.parquet")
+    got = sorted((tuple(r) for r in registry.op2_repeated_bytes(spark, scratch).collect()), key=repr)
+    numbered = plain([(i, t) for i, t in items if i is not None])
+    whole = [(None, len(t or ""), 0, 0, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in items if i is None]
+    assert got == sorted(numbered + whole, key=repr)
+
+
+def test_steps_agree_whatever_the_order_of_a_chunks_rows():
+    rng = random.Random(11)
+    prose = lambda n: "".join(rng.choice("ab ") for _ in range(n))
+    base = [prose(300) for _ in range(4)]
+    items = [(i, prose(40).join(rng.choice(base)[rng.randrange(100):rng.randrange(200, 300)] for _ in range(3))) for i in range(40)]
+    chunks = [items[:20], items[20:]]
+    cfg = (repeats.WINDOW, repeats.GRAM, 2, True)
+
+    def shuffled(k):
+        some = rng.sample(chunks[k], len(chunks[k]))
+        return pa.table({"chunk": pa.array([k] * len(some)), "id": pa.array([i for i, _ in some]), "text": pa.array([t for _, t in some]), "rest": pa.array([{"doc_id": i} for i, _ in some])})
+
+    def meet(rows, step):
+        return pa.concat_tables([step(rows.filter(pc.equal(rows.column("bucket"), b))) for b in set(rows.column("bucket").to_pylist())])
+
+    own = lambda rows, k: rows.filter(pc.equal(rows.column("chunk"), k))
+    held = meet(pa.concat_tables([repeats._send_anchors(cfg)(shuffled(k)) for k in range(2)]), repeats._meet_anchors)
+    earlier = meet(pa.concat_tables([repeats._send_texts(cfg)(shuffled(k), own(held, k)) for k in range(2)]), repeats._meet_texts(cfg))
+    out = [r for k in range(2) for r in repeats._cut(cfg)(shuffled(k), pa.concat_tables([own(held, k), own(earlier, k)])).to_pylist()]
+    assert sorted(((r["rest"]["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in out), key=repr) == plain(items)
