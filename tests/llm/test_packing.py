@@ -1,6 +1,8 @@
 import itertools
 import random
 
+from pyspark.sql import functions as F
+
 from clickpulse.llm import packing
 from tests.llm.helpers import docs, rows, with_clashes, words
 
@@ -57,3 +59,11 @@ def test_long_lengths_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(packing, "MOST_LENGTHS", 4)
     out = packing.pack(df, buckets=5).collect()
     assert len(out) == 7 and 0 < sum(r.padding for r in out) <= sum(r.pad_to for r in out) / 2048
+
+
+def test_every_length_counts_however_many_there_are(spark):
+    n = (1 << 16) + 3000
+    histogram = packing._histogram(spark.range(n).select(F.col("id").alias("n_tokens")))
+    assert histogram == [(i, 1, i) for i in range(n)]
+    tops = packing.boundaries(histogram, 2)
+    assert tops[-1] == n - 1 and tops[0] in (n // 2 - 1, n // 2)
