@@ -4,8 +4,9 @@ Unit vectors are rotated by one random orthogonal matrix and kept as the signs
 of their components, with one scalar: how well the signs stand for the vector.
 The inner product of a query with the signs, divided by that scalar, estimates
 the cosine; the error is bounded in probability by ``SPREAD`` standard
-deviations. A vector is compared exactly only if its upper bound reaches the
-query's fifth-best exact score so far.
+deviations. A vector goes on only if its upper bound reaches the
+query's fifth-best exact score so far; single-precision products of the unit vectors, ``ROUNDING``
+more than their error can be, then leave the few that are compared exactly.
 
 Every row is indexed and every query is compared with every code, in blocks of
 queries of bounded size; a task keeps its own best for each query, and a
@@ -37,6 +38,8 @@ MIN_DIMS = 16
 BLOCK_BYTES = 8 << 20
 #: Query by candidate estimates at a time, and exact comparisons at a time.
 CELLS, PAIRS = 1 << 21, 1 << 14
+#: What a single-precision product of unit vectors can be off, by component (2 ** -24 each for two inputs, a product and a sum), with room.
+ROUNDING = 2.0 ** -21
 
 _INDEX = "vec_id long, dims int, code binary, fit float, vector array<double>"
 _FOUND = "query_id long, vec_id long, score double"
@@ -102,7 +105,8 @@ class _Best:
 
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
         self.ids, self.queries, self.k = ids, queries, k
-        self.turned = _unit(queries).astype(np.float32) @ rotation(queries.shape[1])
+        self.unit = _unit(queries).astype(np.float32)
+        self.turned = self.unit @ rotation(queries.shape[1])
         self.score = np.full((len(ids), k), -np.inf)
         self.vec = np.full((len(ids), k), np.iinfo(np.int64).max)
 
@@ -140,8 +144,12 @@ class _Best:
             self._take(q, first.ravel(), rows[part], vectors[part])
             open_ = about + slack[part] >= self.score[:, -1:]
             open_[q, first.ravel()] = False  # compared already
-            q, r = np.nonzero(open_)
-            self._take(q, r, rows[part], vectors[part])
+            some = np.flatnonzero(open_.any(axis=0))
+            if len(some):
+                near = self.unit @ _unit(vectors[part][some]).astype(np.float32).T
+                near += np.float32(ROUNDING * (dims + 8))
+                q, r = np.nonzero(open_[:, some] & (near >= self.score[:, -1:]))
+                self._take(q, some[r], rows[part], vectors[part])
 
     def rows(self) -> pa.RecordBatch:
         q, place = np.nonzero(self.score > -np.inf)

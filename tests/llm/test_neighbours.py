@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clickpulse.llm import neighbours
@@ -52,3 +53,23 @@ def test_several_query_blocks(spark, monkeypatch):
 
 def test_no_rows(spark):
     assert run(spark, []) == [] and run(spark, [(0, [1.0])]) == []
+
+
+def test_few_pairs_are_compared_exactly(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((4000, 64)) * 10.0 ** rng.integers(-30, 30, (4000, 1))
+    x[3000:3010] = x[50]
+    ids, compared, plain_cosine = np.arange(len(x)), [], neighbours.exact_cosine
+    monkeypatch.setattr(neighbours, "exact_cosine", lambda a, b: compared.append(len(a)) or plain_cosine(a, b))
+    best = neighbours._Best(ids[::50], x[::50], 5)
+    for lo in range(0, len(x), 1000):
+        part = slice(lo, lo + 1000)
+        batch = pa.RecordBatch.from_pydict({"vec_id": pa.array(ids[part]), "vector": pa.array(x[part].tolist(), pa.list_(pa.float64()))})
+        found = next(neighbours._codes([batch]))
+        best.add(ids[part], np.frombuffer(b"".join(found.column("code").to_pylist()), np.uint8).reshape(1000, -1), found.column("fit").to_numpy(), x[part])
+    for place, q in enumerate(ids[::50]):
+        score = plain_cosine(np.repeat(x[q][None], len(x), axis=0), x)
+        score[q] = -2
+        near = np.lexsort((ids, -score))[:5]
+        assert best.vec[place].tolist() == near.tolist() and best.score[place].tolist() == score[near].tolist()
+    assert sum(compared) < 0.05 * len(best.ids) * len(x), sum(compared)
