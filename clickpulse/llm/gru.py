@@ -91,15 +91,22 @@ def _large(weights: np.ndarray, bias: np.ndarray) -> bool:
     return bool(np.abs(weights).sum(axis=1).max() + np.abs(bias).max() > 60)
 
 
-def _exp(logits: np.ndarray, large: bool) -> np.ndarray:
-    """exp(logits), shifted (in place) by each row's largest if they could be large."""
+def _logits(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, large: bool) -> np.ndarray:
+    """Logits, shifted by each row's largest if they could be large."""
+    logits = h @ weights
+    logits += bias
     if large:
         logits -= logits.max(axis=1, keepdims=True)
-    return np.exp(logits)
+    return logits
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(np.minimum(-x, np.float32(80))))
+    """In place."""
+    np.negative(x, out=x)
+    np.minimum(x, np.float32(80), out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 def _by_id(ids: np.ndarray) -> np.ndarray:
@@ -131,13 +138,18 @@ class Gru:
         out = np.empty((*ids.shape, n), dtype=np.float32)
         for t in range(len(ids)):
             h = h * keep[t][:, None]
-            x, v = self.p["gates"][ids[t]], h @ u
+            x, v = self.p["gates"].take(ids[t], axis=0), h @ u
             zr = _sigmoid(x[:, :2 * n] + v[:, :2 * n])
             z, r = zr[:, :n], zr[:, n:]
-            new = np.tanh(x[:, 2 * n:] + r * v[:, 2 * n:])
+            new = r * v[:, 2 * n:]
+            new += x[:, 2 * n:]
+            np.tanh(new, out=new)
             if tape is not None:
                 tape.append((h, z, r, new, v[:, 2 * n:]))
-            h = out[t] = new + z * (h - new)
+            after = np.subtract(h, new, out=out[t])
+            after *= z
+            after += new
+            h = after
         return out
 
     def output(self, h: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray | None, dict | None, np.ndarray | None]:
@@ -145,12 +157,12 @@ class Gru:
         weights, instead the gradients of their weighted sum by parameter (negated, for descent) and by state."""
         p, cls = self.p, self.class_of[target]
         rows = np.arange(len(h))
-        logits = h @ p["class_w"] + p["class_b"]
-        e = _exp(logits, _large(p["class_w"].T, p["class_b"]))
-        total = _total(e)
+        e = _logits(h, p["class_w"], p["class_b"], _large(p["class_w"].T, p["class_b"]))
+        own_logit = e[rows, cls] if weight is None else None
+        total = _total(np.exp(e, out=e))
         score = grads = back = None
         if weight is None:
-            score = logits[rows, cls] - np.log(total)
+            score = own_logit - np.log(total)
         else:
             e *= (weight / total)[:, None]
             e[rows, cls] -= weight
@@ -165,12 +177,12 @@ class Gru:
             if not len(at) or b - a == 1:
                 continue
             own = h[at]
-            logits = own @ p["word_w"][a:b].T + p["word_b"][a:b]
-            e = _exp(logits, large)
-            total = _total(e)
+            e = _logits(own, p["word_w"][a:b].T, p["word_b"][a:b], large)
             k, own_target = np.arange(len(at)), target[at] - a
+            own_logit = e[k, own_target] if weight is None else None
+            total = _total(np.exp(e, out=e))
             if weight is None:
-                score[at] += logits[k, own_target] - np.log(total)
+                score[at] += own_logit - np.log(total)
             else:
                 own_weight = weight[at]
                 e *= (own_weight / total)[:, None]
@@ -183,9 +195,10 @@ class Gru:
 
     def _descend(self, name: str, at, grad: np.ndarray, rate: float) -> None:
         np.clip(grad, -CLIP, CLIP, out=grad)
-        seen = self.seen[name]
-        seen[at] += grad * grad
-        self.p[name][at] -= rate * grad / np.sqrt(seen[at])
+        seen = self.seen[name][at]
+        seen += grad * grad
+        self.seen[name][at] = seen
+        self.p[name][at] -= rate * grad / np.sqrt(seen)
 
     def train(self, ids: np.ndarray, offsets: np.ndarray, most_lanes: int, rate: float = RATE) -> None:
         """One pass of truncated backpropagation over documents (ids back to back, each one's end last)."""
@@ -200,17 +213,22 @@ class Gru:
             inner = np.empty((*ids.shape, 3 * n), dtype=np.float32)  # by the gates' inputs from the state
             new_in = np.empty_like(out)  # by the new state's input from the token
             dh = np.zeros_like(out[0])
+            before, z, r, new, v = map(np.stack, zip(*tape, strict=True))
+            far, rest, flat, shut = before - new, 1 - z, 1 - new * new, 1 - r
             for t in range(len(ids) - 1, -1, -1):
-                before, z, r, new, v = tape[t]
                 dh += back[t]
-                dn = dh * (1 - z) * (1 - new * new)
-                new_in[t] = dn
-                inner[t, :, :n] = dh * (before - new) * z * (1 - z)
-                inner[t, :, n:2 * n] = dn * v * r * (1 - r)
-                inner[t, :, 2 * n:] = dn * r
-                dh = (dh * z + inner[t] @ self.p["state"].T) * keep[t][:, None]
-            before = np.stack([x[0] for x in tape]).reshape(-1, n)
-            self._descend("state", slice(None), before.T @ inner.reshape(-1, 3 * n), rate)
+                dn = np.multiply(dh, rest[t], out=new_in[t])
+                dn *= flat[t]
+                dz, dr = dh * far[t], dn * v[t]
+                dz *= z[t]
+                dr *= r[t]
+                np.multiply(dz, rest[t], out=inner[t, :, :n])
+                np.multiply(dr, shut[t], out=inner[t, :, n:2 * n])
+                np.multiply(dn, r[t], out=inner[t, :, 2 * n:])
+                dh *= z[t]
+                dh += inner[t] @ self.p["state"].T
+                dh *= keep[t][:, None]
+            self._descend("state", slice(None), before.reshape(-1, n).T @ inner.reshape(-1, 3 * n), rate)
             inner[:, :, 2 * n:] = new_in  # now by the inputs from the token
             order = _by_id(ids.ravel())
             ordered = ids.ravel()[order]

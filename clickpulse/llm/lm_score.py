@@ -90,6 +90,16 @@ def _cuts(ordered: np.ndarray, buckets: int) -> np.ndarray:
 _TOKENS = "kind int, bucket long, chunk long, keys binary, counts binary, ids binary, lengths binary"
 
 
+def _distinct(every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and each one's place among them (only the distinct ones are sorted)."""
+    coded = pa.array(every).dictionary_encode()
+    words = coded.dictionary.to_numpy()
+    order = np.argsort(words)
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words))
+    return words[order], place[coded.indices.to_numpy()]
+
+
 def _tokenise(buckets: int):
     def tokenise(rows: pa.Table) -> pa.Table:
         col = lambda name: rows.column(name).combine_chunks()
@@ -97,7 +107,7 @@ def _tokenise(buckets: int):
         order = np.lexsort((col("key").to_numpy(), ids, col("id").is_valid().to_numpy(zero_copy_only=False)))
         every, offsets = documents(col("text").take(pa.array(order)))
         kind = col("kind").to_numpy()[order]
-        words, which = np.unique(every, return_inverse=True)
+        words, which = _distinct(every)
         counts = np.bincount(which[np.repeat(kind < len(ROUNDS), np.diff(offsets))], minlength=len(words)).astype(np.uint64)
         cuts = _cuts(words, buckets)
         null = pc.invert(col("id").is_valid()).to_numpy(zero_copy_only=False)[order]
@@ -145,7 +155,7 @@ def _meet_words(rows: pa.Table) -> pa.Table:
     """The sums, by key, for each chunk that sent it, and once for the corpus (chunk -1)."""
     lists = [_unpack(x) for x in rows.column("keys").to_pylist()]
     counts = np.concatenate([_ints(x) for x in rows.column("counts").to_pylist()])
-    words, which = np.unique(np.concatenate(lists), return_inverse=True)
+    words, which = _distinct(np.concatenate(lists))
     total = np.bincount(which, counts, minlength=len(words)).astype(np.int64)
     at = np.cumsum([0, *map(len, lists)])
     known = total > 0

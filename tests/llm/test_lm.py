@@ -107,3 +107,10 @@ def test_classes_have_about_equal_mass():
     counts = np.array([50, 20, 10, 5, 5, 4, 3, 2, 1])
     borders = gru.classes_by_mass(counts, 3)
     assert borders[0] == 0 and borders[-1] == 9 and list(borders) == sorted(set(borders))
+
+
+def test_distinct_keys_are_those_of_a_full_sort():
+    every = np.random.default_rng(12).integers(0, 1 << 64, 500, dtype=np.uint64)[np.random.default_rng(13).integers(0, 500, 20_000)]
+    for some in (every, every[:1], np.full(9, lm_score.END)):
+        want = np.unique(some, return_inverse=True)
+        assert all(np.array_equal(a, b) for a, b in zip(lm_score._distinct(some), want, strict=True))
